@@ -1,0 +1,2 @@
+"""Empty on purpose: the capabilities covered here are batch only (forecasts are
+regenerated offline), so there is no streaming operator to provide."""
