@@ -51,9 +51,7 @@ def rolling_columns(spec: PanelSpec = DEFAULT) -> dict[str, Column]:
     for w in ROLLING_WINDOWS:
         before = spec.series().rowsBetween(-w, -1)
         out[f"roll_mean_{w}"] = F.avg(spec.target).over(before)
-        # A single prior value has no sample deviation: NULL rather than NaN.
-        several = F.count(spec.target).over(before) > 1
-        out[f"roll_std_{w}"] = F.when(several, F.stddev_samp(spec.target).over(before))
+        out[f"roll_std_{w}"] = F.stddev_samp(spec.target).over(before)
     return out
 
 

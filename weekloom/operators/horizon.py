@@ -25,8 +25,12 @@ def extend(history: DataFrame, horizon: int, spec: PanelSpec = DEFAULT) -> DataF
     the partitioning by key is kept for the windows that follow.
     """
     is_last = F.lead(spec.time).over(spec.series()).isNull()
-    steps = F.when(is_last, F.sequence(F.lit(0), F.lit(horizon))).otherwise(F.array(F.lit(0)))
-    rows = history.select(*spec.columns, F.explode(steps).alias("step"))
+    steps = F.when(F.col("_is_last"), F.sequence(F.lit(0), F.lit(horizon))).otherwise(
+        F.array(F.lit(0))
+    )
+    rows = history.select(*spec.columns, is_last.alias("_is_last")).select(
+        *spec.columns, F.explode(steps).alias("step")
+    )
     return rows.select(
         *spec.keys,
         weeks_after(F.col(spec.time), F.col("step")).alias(spec.time),
