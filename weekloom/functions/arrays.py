@@ -6,26 +6,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def from_end(hist: Column, k: int) -> Column:
+    return F.element_at(hist, -k)
+
+
 def tail_mean(hist: Column, width: int) -> Column:
     total = F.aggregate(F.slice(hist, -width, width), F.lit(0.0), lambda acc, x: acc + x)
     return total / F.lit(float(width))
 
 
 def tail_std(hist: Column, width: int) -> Column:
-    """Sample standard deviation of the last ``width`` values."""
-    mean = tail_mean(hist, width)
-    squares = F.aggregate(
+    """Sample standard deviation of the last ``width`` values, in one pass.
+
+    Deviations are taken from the last value, which keeps the sums small enough for
+    the subtraction of squares to be exact to rounding.
+    """
+    anchor = from_end(hist, 1)
+    sums = F.aggregate(
         F.slice(hist, -width, width),
-        F.lit(0.0),
-        lambda acc, x: acc + (x - mean) * (x - mean),
+        F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("dd")),
+        lambda acc, x: F.struct(
+            (acc["d"] + (x - anchor)).alias("d"),
+            (acc["dd"] + (x - anchor) * (x - anchor)).alias("dd"),
+        ),
+        lambda acc: (acc["dd"] - acc["d"] * acc["d"] / F.lit(float(width)))
+        / F.lit(float(width - 1)),
     )
-    return F.sqrt(squares / F.lit(float(width - 1)))
-
-
-def from_end(hist: Column, k: int) -> Column:
-    return F.element_at(hist, -k)
+    return F.sqrt(F.greatest(sums, F.lit(0.0)))
 
 
 def push(hist: Column, value: Column, width: int) -> Column:
     """Append a value to a full history and keep the last ``width``."""
     return F.concat(F.slice(hist, -(width - 1), width - 1), F.array(value))
+
+
+def dot(values: Column, weights: list[float]) -> Column:
+    """Inner product of an array column with fixed weights."""
+    fixed = F.array(*[F.lit(float(w)) for w in weights])
+    products = F.zip_with(values, fixed, lambda x, w: x * w)
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)

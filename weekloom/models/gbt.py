@@ -8,9 +8,11 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.functions.arrays import push
 from weekloom.models import state as recursion
 from weekloom.operators.encode import encode_keys
 from weekloom.operators.features import TREE_FEATURES, complete_cases
+from weekloom.operators.horizon import weeks_after
 from weekloom.sources.staging import stage
 from weekloom.spec import DEFAULT, FORECAST_WEEKS, PanelSpec
 
@@ -28,7 +30,7 @@ DEFAULT_PARAMS = {
 }
 
 # Steps of recursion between two lineage cuts.
-CUT_EVERY = 8
+CUT_EVERY = 4
 
 
 class PooledTrees:
@@ -98,13 +100,24 @@ class PooledTrees:
         """
         spec = self.spec
         now = recursion.history_state(panel, spec, origin).join(self.codes, self.key)
-        now = now.withColumn("path", F.array().cast("array<double>"))
+        now = now.withColumns(
+            {"path": F.array().cast("array<double>"), "_step": F.lit(1)}
+        )
         keep = [*spec.keys, "state_encoded", "last_date", "origin"]
+        # The step is a column, so every step is the same plan and its compiled code is reused.
+        day = weeks_after(F.col("last_date"), F.col("_step"))
+        features = recursion.from_row(day)
+        value = F.col("prediction")
         for step in range(1, horizon + 1):
-            featured = now.withColumns(recursion.next_features(step))
-            scored = self.model.transform(self._assembled(featured))
-            after = recursion.advanced(F.col("prediction"))
-            now = scored.select(*keep, *[c.alias(n) for n, c in after.items()])
+            scored = self.model.transform(self._assembled(now.withColumns(features)))
+            now = scored.select(
+                *keep,
+                push(F.col("hist"), value, recursion.HISTORY).alias("hist"),
+                (F.col("hist_sum") + value).alias("hist_sum"),
+                (F.col("hist_count") + 1).alias("hist_count"),
+                F.concat("path", F.array(value)).alias("path"),
+                (F.col("_step") + 1).alias("_step"),
+            )
             if step % CUT_EVERY == 0 and step < horizon:
                 now = stage(now, "recursion")
         return recursion.unroll(now, NAME, spec)

@@ -8,12 +8,13 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.functions.arrays import dot, push
 from weekloom.models import state as recursion
 from weekloom.operators.features import SEQUENCE_FEATURES, build_features, complete_cases
+from weekloom.operators.horizon import weeks_after
 from weekloom.operators.scale import (
     fit_features,
     fit_target,
-    scale_features,
     unscale_target,
     unscaled,
 )
@@ -22,7 +23,6 @@ from weekloom.sources.staging import stage
 from weekloom.spec import DEFAULT, FORECAST_WEEKS, SEQUENCE_LENGTH, PanelSpec
 
 NAME = "seq_linear"
-CUT_EVERY = 8
 
 
 class SequenceRegression:
@@ -68,11 +68,13 @@ class SequenceRegression:
         back = unscale_target(scored, self.target_stats, "prediction", "forecast", self.spec)
         return back.select(*self.spec.cell, F.lit(NAME).alias("model"), "forecast")
 
-    def _scaled_vectors(self, rows: DataFrame) -> DataFrame:
-        scaled = scale_features(rows, self.feature_stats, SEQUENCE_FEATURES)
-        return scaled.withColumn(
-            "_vector", F.array(*[F.col(c).cast("float") for c in SEQUENCE_FEATURES])
-        )
+    def _scaled_vector(self, columns: dict[str, Column], ranges: Column) -> Column:
+        parts = []
+        for c in SEQUENCE_FEATURES:
+            lo, hi = ranges[c]["lo"], ranges[c]["hi"]
+            width = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
+            parts.append(((columns[c] - lo) / width).cast("float"))
+        return F.array(*parts)
 
     def predict_recursive(
         self, panel: DataFrame, horizon: int = FORECAST_WEEKS, origin: Column | None = None
@@ -80,43 +82,64 @@ class SequenceRegression:
         """``horizon`` weeks ahead for all series at once.
 
         The window ends at the last known row and predicts the next value; the feature
-        row of that week is then built from the values before it and pushed.
+        row of that week is then built from the values before it and pushed. A linear
+        model is an inner product, so the whole recursion is one fold expression per
+        series: no loop over jobs, no shuffle between steps.
         """
-        spec = self.spec
+        spec, keys = self.spec, list(self.spec.keys)
+        ranges = self.feature_stats.select(F.struct(*SEQUENCE_FEATURES).alias("ranges")).scalar()
         featured = build_features(panel.select(*spec.columns), spec, origin)
         recent = F.lead(spec.time, SEQUENCE_LENGTH).over(spec.series()).isNull()
-        vectors = self._scaled_vectors(complete_cases(featured, SEQUENCE_FEATURES))
+        usable = complete_cases(featured, SEQUENCE_FEATURES).withColumns(
+            {"_recent": recent, "_ranges": ranges}
+        )
+        vector = self._scaled_vector({c: F.col(c) for c in SEQUENCE_FEATURES}, F.col("_ranges"))
         windows = (
-            vectors.withColumn("_recent", recent)
-            .filter("_recent")
-            .groupBy(*spec.keys)
-            .agg(F.array_sort(F.collect_list(F.struct(spec.time, "_vector"))).alias("_rows"))
+            usable.filter("_recent")
+            .select(*keys, F.struct(spec.time, vector.alias("v")).alias("_row"))
+            .groupBy(*keys)
+            .agg(F.array_sort(F.collect_list("_row")).alias("_rows"))
             .filter(F.size("_rows") == SEQUENCE_LENGTH)
-            .select(*spec.keys, F.transform("_rows", lambda r: r["_vector"]).alias("window"))
+            .select(*keys, F.transform("_rows", lambda r: r["v"]).alias("window"))
         )
-        keys = list(spec.keys)
-        now = (
+        state = (
             recursion.history_state(panel, spec, origin)
             .join(windows, keys)
             .join(self.target_stats, keys)
-            .withColumn("path", F.array().cast("array<double>"))
+            .withColumn("_ranges", ranges)
         )
-        keep = [*keys, "last_date", "origin", "lo", "hi"]
-        for step in range(1, horizon + 1):
-            vector = array_to_vector(F.flatten("window"))
-            scored = self.model.transform(now.withColumn("features", vector))
-            scored = scored.withColumn(
-                "_value", unscaled(F.col("prediction"), F.col("lo"), F.col("hi"))
+        weights = [float(w) for w in self.model.coefficients]
+        intercept = F.lit(float(self.model.intercept))
+
+        def advance(acc: Column, step: Column) -> Column:
+            scaled = dot(F.flatten(acc["window"]), weights) + intercept
+            value = unscaled(scaled, F.col("lo"), F.col("hi"))
+            row = recursion.next_features(
+                acc["hist"],
+                acc["total"],
+                acc["n"],
+                weeks_after(F.col("last_date"), step),
+                F.col("origin"),
             )
-            scored = self._scaled_vectors(scored.withColumns(recursion.next_features(step)))
-            after = recursion.advanced(F.col("_value"))
-            pushed = recursion.push(F.col("window"), F.col("_vector"), SEQUENCE_LENGTH)
-            now = scored.select(
-                *keep, pushed.alias("window"), *[c.alias(n) for n, c in after.items()]
+            fresh = self._scaled_vector(row, F.col("_ranges"))
+            return F.struct(
+                push(acc["hist"], value, recursion.HISTORY).alias("hist"),
+                (acc["total"] + value).alias("total"),
+                (acc["n"] + 1).alias("n"),
+                push(acc["window"], fresh, SEQUENCE_LENGTH).alias("window"),
+                F.concat(acc["path"], F.array(value)).alias("path"),
             )
-            if step % CUT_EVERY == 0 and step < horizon:
-                now = stage(now, "recursion")
-        return recursion.unroll(now, NAME, spec)
+
+        start = F.struct(
+            F.col("hist").alias("hist"),
+            F.col("hist_sum").alias("total"),
+            F.col("hist_count").alias("n"),
+            F.col("window").alias("window"),
+            F.array().cast("array<double>").alias("path"),
+        )
+        steps = F.sequence(F.lit(1), F.lit(horizon))
+        path = F.aggregate(steps, start, advance, lambda acc: acc["path"])
+        return recursion.unroll(state.select(*keys, "last_date", path.alias("path")), NAME, spec)
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")

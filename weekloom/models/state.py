@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.functions.arrays import from_end, push, tail_mean, tail_std
+from weekloom.functions.arrays import from_end, tail_mean, tail_std
 from weekloom.functions.calendar import (
     calendar_columns,
     cyclical_columns,
@@ -43,17 +43,15 @@ def history_state(
     return state.withColumn("origin", origin)
 
 
-def next_features(step: int) -> dict[str, Column]:
-    """The 23 features of the row ``step`` weeks after ``last_date``, from the state.
-
-    Everything comes from values before that row, exactly as in training.
-    """
-    day, hist = weeks_after(F.col("last_date"), step), F.col("hist")
+def next_features(
+    hist: Column, total: Column, count: Column, day: Column, origin: Column
+) -> dict[str, Column]:
+    """The 23 features of the row dated ``day``, from the values before it only."""
     out = {
         **calendar_columns(day),
         **cyclical_columns(day),
         "is_holiday_week": holiday_week(day),
-        "week_index": weeks_between(day, F.col("origin")),
+        "week_index": weeks_between(day, origin),
     }
     for k in LAGS:
         out[f"lag_{k}"] = from_end(hist, k)
@@ -62,36 +60,35 @@ def next_features(step: int) -> dict[str, Column]:
         out[f"roll_std_{w}"] = tail_std(hist, w)
     last, before_last = from_end(hist, 1), from_end(hist, 2)
     out["pct_change_1"] = F.try_divide(last - before_last, before_last)
-    out["state_expanding_mean"] = F.col("hist_sum") / F.col("hist_count")
+    out["state_expanding_mean"] = total / count
     return out
 
 
+def from_row(day: Column) -> dict[str, Column]:
+    """``next_features`` over the state's own columns."""
+    return next_features(
+        F.col("hist"), F.col("hist_sum"), F.col("hist_count"), day, F.col("origin")
+    )
+
+
 def recursive_features(
     panel: DataFrame, spec: PanelSpec = DEFAULT, origin: Column | None = None
 ) -> DataFrame:
     """Features of the first week after every series, built from the state arrays."""
-    state = history_state(panel, spec, origin)
-    features = next_features(1)
-    return state.select(
-        *spec.keys,
-        weeks_after(F.col("last_date"), 1).alias(spec.time),
-        *[c.alias(name) for name, c in features.items()],
-    )
-
-
-def advanced(prediction: Column) -> dict[str, Column]:
-    """The state after a prediction has been accepted as the next value."""
-    return {
-        "hist": push(F.col("hist"), prediction, HISTORY),
-        "hist_sum": F.col("hist_sum") + prediction,
-        "hist_count": F.col("hist_count") + 1,
-        "path": F.concat(F.col("path"), F.array(prediction)),
-    }
+    day = weeks_after(F.col("last_date"), 1)
+    named = [c.alias(name) for name, c in from_row(day).items()]
+    return history_state(panel, spec, origin).select(*spec.keys, day.alias(spec.time), *named)
 
 
 def unroll(state: DataFrame, model: str, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """The predicted path as rows (keys, time, model, forecast)."""
-    steps = state.select(*spec.keys, "last_date", F.posexplode("path").alias("_step", "forecast"))
+    """The predicted path as rows (keys, time, model, forecast).
+
+    The path is never empty. The outer form keeps the optimizer from deriving a size
+    filter on it, which it would push through every step of the recursion, inlining
+    each prediction into the next.
+    """
+    points = F.posexplode_outer("path").alias("_step", "forecast")
+    steps = state.select(*spec.keys, "last_date", points)
     return steps.select(
         *spec.keys,
         weeks_after(F.col("last_date"), F.col("_step") + 1).alias(spec.time),

@@ -605,7 +605,8 @@ QUERIES: dict[str, str] = {
         blend_smape < best_smape AS improved FROM ensemble_check""",
     "ensemble_summary": """SELECT COUNT(*) FILTER (blend_smape < best_smape) AS improved_states,
         COUNT(*) AS total_states,
-        floor((AVG(floor((best_smape) * 1e2 + 0.2718) / 1e2 - floor((blend_smape) * 1e2 + 0.2718) / 1e2)) * 1e3 + 0.2718) / 1e3 AS mean_delta
+        floor(AVG(round(best_smape, 2) - round(blend_smape, 2)) * 1e3 + 0.2718) / 1e3
+            AS mean_delta
         FROM ensemble_check""",
     "final_forecast": """SELECT state, date, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used
         FROM final""",
