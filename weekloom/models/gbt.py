@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +50,10 @@ class PooledTrees:
     def key(self) -> str:
         return self.spec.keys[-1]
 
-    def _assembled(self, df: DataFrame) -> DataFrame:
-        assembler = VectorAssembler(
-            inputCols=list(TREE_FEATURES), outputCol="features", handleInvalid="error"
-        )
-        return assembler.transform(df)
+    @staticmethod
+    def _vector(columns: dict[str, Column] | None = None) -> Column:
+        values = {c: F.col(c) for c in TREE_FEATURES} if columns is None else columns
+        return array_to_vector(F.array(*[values[c].cast("double") for c in TREE_FEATURES]))
 
     def fit(self, featured: DataFrame) -> PooledTrees:
         """Fit on a feature panel with a ``split`` column; val rows stop the boosting."""
@@ -65,8 +64,8 @@ class PooledTrees:
             featured.filter(F.col("split").isin("train", "val")).join(self.codes, self.key),
             TREE_FEATURES,
         )
-        rows = self._assembled(rows).select(
-            "features",
+        rows = rows.select(
+            self._vector().alias("features"),
             F.col(self.spec.target).cast("double").alias("label"),
             (F.col("split") == "val").alias("is_val"),
         )
@@ -85,7 +84,7 @@ class PooledTrees:
     def predict_onestep(self, featured: DataFrame) -> DataFrame:
         """Predictions for rows whose features exist already."""
         rows = complete_cases(featured.join(self.codes, self.key), TREE_FEATURES)
-        scored = self.model.transform(self._assembled(rows))
+        scored = self.model.transform(rows.withColumn("features", self._vector()))
         return scored.select(
             *self.spec.cell, F.lit(NAME).alias("model"), F.col("prediction").alias("forecast")
         )
@@ -106,10 +105,12 @@ class PooledTrees:
         keep = [*spec.keys, "state_encoded", "last_date", "origin"]
         # The step is a column, so every step is the same plan and its compiled code is reused.
         day = weeks_after(F.col("last_date"), F.col("_step"))
-        features = recursion.from_row(day)
+        vector = self._vector(
+            {**recursion.from_row(day), "state_encoded": F.col("state_encoded")}
+        )
         value = F.col("prediction")
         for step in range(1, horizon + 1):
-            scored = self.model.transform(self._assembled(now.withColumns(features)))
+            scored = self.model.transform(now.withColumn("features", vector))
             now = scored.select(
                 *keep,
                 push(F.col("hist"), value, recursion.HISTORY).alias("hist"),

@@ -35,6 +35,32 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+@dataclass
+class TrainedModels:
+    """The pooled families, fitted once on the train rows and used for every horizon."""
+
+    trees: PooledTrees
+    linear: SequenceRegression
+    spec: PanelSpec = DEFAULT
+    origin: Column | None = None
+
+    def forecasts(self, history: DataFrame, horizon: int) -> DataFrame:
+        rows = history.select(*self.spec.columns)
+        models = (self.trees, self.linear)
+        return _union([m.predict_recursive(rows, horizon, self.origin) for m in models])
+
+
+def fit_trained(
+    features: DataFrame,
+    spec: PanelSpec = DEFAULT,
+    origin: Column | None = None,
+    tree_params: dict | None = None,
+) -> TrainedModels:
+    """Fit both pooled families on a stored feature table with a ``split`` column."""
+    trees = PooledTrees(spec, **(tree_params or {})).fit(features)
+    return TrainedModels(trees, SequenceRegression(spec).fit(features), spec, origin)
+
+
 @dataclass
 class Evaluation:
     """A panel cut by date, ready for scoring."""
@@ -60,23 +86,9 @@ class Evaluation:
         """Long validation forecasts of the families that need no training loop."""
         return closed_forecasts(self.labelled, self.horizon, self.spec)
 
-    def trained_forecasts(
-        self, origin: Column | None = None, tree_params: dict | None = None
-    ) -> DataFrame:
+    def trained_forecasts(self, models: TrainedModels) -> DataFrame:
         """Long validation forecasts of the pooled families, recursive from the train end."""
-        features = stage(
-            with_split(
-                build_features(self.labelled.select(*self.spec.columns), self.spec, origin),
-                self.val_start,
-                self.test_start,
-                self.spec,
-            ),
-            "features",
-        )
-        train = features.filter(F.col("split") == "train").select(*self.spec.columns)
-        trees = PooledTrees(self.spec, **(tree_params or {})).fit(features)
-        linear = SequenceRegression(self.spec).fit(features)
-        return _union([m.predict_recursive(train, self.horizon, origin) for m in (trees, linear)])
+        return models.forecasts(self.train, self.horizon)
 
     def metrics(self, forecasts: DataFrame) -> DataFrame:
         return forecast_metrics(forecasts, self.val, self.train, spec=self.spec)
@@ -150,14 +162,18 @@ def backtest_trained(
     """Metrics of the pooled families per series, model and fold.
 
     Only the few folds are looped over; within a fold everything is distributed.
+    Features look backwards only, so one stored feature table serves all folds.
     """
-    folds = backtest_folds(panel, spec=spec).orderBy("fold").collect()
+    origin = panel.agg(F.min(spec.time)).scalar() if origin is None else origin
+    features = stage(build_features(panel, spec, origin), "features")
     results = []
-    for fold in folds:
-        day = F.col(spec.time)
-        upto = panel.filter(day < F.lit(fold.val_end))
-        cut = evaluation(upto, str(fold.train_end), str(fold.val_end), spec)
-        scored = cut.metrics(cut.trained_forecasts(origin, tree_params))
+    for fold in backtest_folds(panel, spec=spec).orderBy("fold").collect():
+        start, end = str(fold.train_end), str(fold.val_end)
+        upto = features.filter(F.col(spec.time) < F.lit(fold.val_end))
+        rows = with_split(upto, start, end, spec)
+        cut = Evaluation(rows.select(*spec.columns, "split"), start, end, spec)
+        models = fit_trained(rows, spec, origin, tree_params)
+        scored = cut.metrics(cut.trained_forecasts(models))
         results.append(scored.withColumn("fold", F.lit(fold.fold)))
     return _union(results)
 
@@ -176,20 +192,17 @@ def select_and_forecast(
     cut = evaluation(panel, val_start, test_start, spec)
     families = list(CLOSED_FAMILIES)
     candidates = cut.closed_forecasts()
+    extra = []
     if with_trained:
         families += TRAINED_FAMILIES
-        candidates = candidates.unionByName(cut.trained_forecasts(tree_params=tree_params))
+        features = build_features(panel, spec)
+        features = stage(with_split(features, val_start, test_start, spec), "features")
+        models = fit_trained(features, spec, tree_params=tree_params)
+        candidates = candidates.unionByName(cut.trained_forecasts(models))
+        extra.append(models.forecasts(panel, horizon))
     candidates = stage(candidates, "candidates")
     metrics = stage(cut.metrics(candidates), "metrics")
     selection = stage(select_best(metrics, families, spec), "selection")
-    extra = []
-    if with_trained:
-        features = stage(
-            with_split(build_features(panel, spec), val_start, test_start, spec), "features"
-        )
-        history = features.select(*spec.columns)
-        for model in (PooledTrees(spec, **(tree_params or {})), SequenceRegression(spec)):
-            extra.append(model.fit(features).predict_recursive(history, horizon))
     forecasts = generate_forecasts(selection, panel, horizon, use_ensemble, extra, spec)
     return {
         "candidates": candidates,
