@@ -7,8 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Accepted layouts, tried in this order (day before month).
-DATE_LAYOUTS = ("yyyy-M-d", "d-M-yyyy", "M-d-yyyy", "yyyy-d-M")
+# Accepted layouts; within a shape the first that reads wins, so that an
+# ambiguous text is taken day before month.
+YEAR_FIRST = ("yyyy-M-d", "yyyy-d-M")
+YEAR_LAST = ("d-M-yyyy", "M-d-yyyy")
 
 # US federal holidays on a fixed day, as (month, day, first year).
 FIXED_HOLIDAYS = ((1, 1, 1870), (6, 19, 2021), (7, 4, 1870), (11, 11, 1978), (12, 25, 1870))
@@ -26,14 +28,20 @@ FLOATING_HOLIDAYS = (
 
 
 def parse_mixed_date(text: Column, on_error: str = "raise") -> Column:
-    """Text to DATE over ``DATE_LAYOUTS``; null or blank text gives NULL.
+    """Text in any of the accepted layouts to DATE; null or blank text gives NULL.
 
+    The place of the first separator picks the pair of layouts, so an ordinary text is
+    read at the first attempt and costs no failed parse.
     ``on_error='raise'`` fails the job on the first unreadable text, inside the same
     scan, so no separate counting pass is needed; ``'null'`` turns it into NULL.
     """
     day = F.regexp_replace(F.trim(text), r"[T ]\d{1,2}:.*$", "")
     day = F.translate(day, "/.", "--")
-    parsed = F.coalesce(*[F.try_to_timestamp(day, F.lit(p)).cast("date") for p in DATE_LAYOUTS])
+
+    def read(layouts: tuple[str, ...]) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(day, F.lit(p)).cast("date") for p in layouts])
+
+    parsed = F.when(F.instr(day, "-") == 5, read(YEAR_FIRST)).otherwise(read(YEAR_LAST))
     if on_error == "null":
         return parsed
     junk = parsed.isNull() & (F.trim(text) != "")

@@ -59,13 +59,14 @@ def dedupe_last(df: DataFrame, order_by: str, spec: PanelSpec = DEFAULT) -> Data
     """One row per (keys, time): the one with the largest ``order_by``.
 
     An aggregate rather than a window: repeats of a hot cell collapse before the
-    shuffle instead of being sorted in one task.
+    shuffle instead of being sorted in one task. ``order_by`` must not repeat within a
+    cell. Numeric columns keep this a hash aggregate.
     """
-    others = [c for c in df.columns if c not in spec.cell]
+    others = [c for c in df.columns if c not in (*spec.cell, order_by)]
     kept = df.groupBy(*spec.cell).agg(
-        F.max_by(F.struct(*others), F.col(order_by)).alias("_kept")
+        F.max(order_by).alias(order_by), *[F.max_by(c, order_by).alias(c) for c in others]
     )
-    return kept.select(*[c if c in spec.cell else F.col(f"_kept.{c}").alias(c) for c in df.columns])
+    return kept.select(*df.columns)
 
 
 def duplicate_count(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:

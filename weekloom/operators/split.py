@@ -77,9 +77,10 @@ def split_summary(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
 
 
 def missing_series(train: DataFrame, val: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Series seen in train but not in val."""
+    """Series seen in train but not in val; both sides are reduced to keys first."""
     keys = list(spec.keys)
-    return train.select(*keys).distinct().join(val.select(*keys), keys, "left_anti")
+    present = val.select(*keys).distinct()
+    return train.select(*keys).distinct().join(present, keys, "left_anti")
 
 
 def one_series(df: DataFrame, spec: PanelSpec = DEFAULT, **key: str) -> DataFrame:

@@ -56,10 +56,13 @@ def weekly_table(records: DataFrame, spec: PanelSpec = DEFAULT) -> WeeklyTable:
 def clean_records(
     raw: DataFrame, order_by: str, spec: PanelSpec = DEFAULT, on_error: str = "raise"
 ) -> DataFrame:
-    """Text dates parsed, the constant category dropped, repeats reduced to the last."""
+    """Text dates parsed and repeats reduced to the last.
+
+    Only the columns of the panel go on, so a category column, constant or not, is
+    never read.
+    """
     guards.require_columns(raw, spec)
-    rows = panel.drop_constant_column(raw, "category")
-    rows = panel.parse_dates(rows, spec, on_error)
+    rows = panel.parse_dates(raw.select(*spec.columns, order_by), spec, on_error)
     return panel.dedupe_last(rows, order_by, spec)
 
 
@@ -72,15 +75,13 @@ def run_ingestion(
 ) -> DataFrame:
     """Raw records to the imputed weekly panel, guarded on both sides.
 
-    With ``out`` the panel and the missing-week report are written there. The guards
-    run on stored intermediate tables, so the raw records are still read only once
-    for the panel itself.
+    The raw records are read once and never copied: emptiness, an all-null target and
+    a lone series show in the weekly means as they do in the records, so the input
+    guard runs there. With ``out`` the panel and the missing-week report are written.
     """
-    records = clean_records(raw, order_by, spec)
+    weekly = weekly_table(clean_records(raw, order_by, spec), spec)
     if check:
-        records = stage(records, "clean")
-        guards.validate_raw(records, spec)
-    weekly = weekly_table(records, spec)
+        guards.validate_raw(weekly.cells, spec)
     result = weekly.panel()
     if check:
         result = stage(result, "panel")

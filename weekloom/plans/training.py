@@ -21,7 +21,7 @@ from weekloom.operators.ensemble import final_forecast
 from weekloom.operators.features import build_features
 from weekloom.operators.metrics import forecast_metrics
 from weekloom.operators.selection import select_best
-from weekloom.operators.split import saturdays_between, with_split
+from weekloom.operators.split import saturdays_between, temporal_split, with_split
 from weekloom.sources.staging import stage
 from weekloom.spec import BACKTEST_WEEKS, DEFAULT, FORECAST_WEEKS, PanelSpec
 
@@ -63,9 +63,13 @@ def fit_trained(
 
 @dataclass
 class Evaluation:
-    """A panel cut by date, ready for scoring."""
+    """A panel cut by date, ready for scoring.
 
-    labelled: DataFrame
+    Train and val are date filters on the panel itself, which reach the scan of a
+    stored panel; a filter on the derived label would not.
+    """
+
+    panel: DataFrame
     val_start: str
     test_start: str
     spec: PanelSpec = DEFAULT
@@ -76,15 +80,18 @@ class Evaluation:
 
     @property
     def train(self) -> DataFrame:
-        return self.labelled.filter(F.col("split") == "train")
+        return temporal_split(self.panel, self.val_start, self.test_start, self.spec)["train"]
 
     @property
     def val(self) -> DataFrame:
-        return self.labelled.filter(F.col("split") == "val")
+        return temporal_split(self.panel, self.val_start, self.test_start, self.spec)["val"]
 
     def closed_forecasts(self) -> DataFrame:
         """Long validation forecasts of the families that need no training loop."""
-        return closed_forecasts(self.labelled, self.horizon, self.spec)
+        day = F.col(self.spec.time)
+        rows = self.panel.filter(day < F.lit(self.test_start).cast("date"))
+        labelled = with_split(rows, self.val_start, self.test_start, self.spec)
+        return closed_forecasts(labelled, self.train, self.horizon, self.spec)
 
     def trained_forecasts(self, models: TrainedModels) -> DataFrame:
         """Long validation forecasts of the pooled families, recursive from the train end."""
@@ -97,17 +104,19 @@ class Evaluation:
 def evaluation(
     panel: DataFrame, val_start: str, test_start: str, spec: PanelSpec = DEFAULT
 ) -> Evaluation:
-    return Evaluation(with_split(panel, val_start, test_start, spec), val_start, test_start, spec)
+    return Evaluation(panel.select(*spec.columns), val_start, test_start, spec)
 
 
-def closed_forecasts(labelled: DataFrame, horizon: int, spec: PanelSpec = DEFAULT) -> DataFrame:
+def closed_forecasts(
+    labelled: DataFrame, train: DataFrame, horizon: int, spec: PanelSpec = DEFAULT
+) -> DataFrame:
     """Every closed-form family on the val rows of a panel with a ``split`` column."""
-    train = labelled.filter(F.col("split") == "train").select(*spec.columns)
+    history = train.select(*spec.columns)
     return _union(
         [
             baseline_forecasts(labelled, spec),
-            seasonal_ar(train, horizon, spec),
-            decomposition(train, horizon, spec),
+            seasonal_ar(history, horizon, spec),
+            decomposition(history, horizon, spec),
         ]
     )
 
@@ -147,9 +156,9 @@ def backtest_closed(panel: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """
     rows = fold_rows(panel, backtest_folds(panel, spec=spec), spec)
     inner = PanelSpec(("fold", *spec.keys), spec.time, spec.target)
-    forecasts = closed_forecasts(rows, BACKTEST_WEEKS, inner)
     train = rows.filter(F.col("split") == "train")
     val = rows.filter(F.col("split") == "val")
+    forecasts = closed_forecasts(rows, train, BACKTEST_WEEKS, inner)
     return forecast_metrics(forecasts, val, train, spec=inner)
 
 
@@ -171,7 +180,7 @@ def backtest_trained(
         start, end = str(fold.train_end), str(fold.val_end)
         upto = features.filter(F.col(spec.time) < F.lit(fold.val_end))
         rows = with_split(upto, start, end, spec)
-        cut = Evaluation(rows.select(*spec.columns, "split"), start, end, spec)
+        cut = evaluation(upto, start, end, spec)
         models = fit_trained(rows, spec, origin, tree_params)
         scored = cut.metrics(cut.trained_forecasts(models))
         results.append(scored.withColumn("fold", F.lit(fold.fold)))

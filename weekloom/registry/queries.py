@@ -746,9 +746,7 @@ def recursive_seq(spark, sf_dir):
 @query(None)
 def evaluate_models(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
-    ev = training.Evaluation(
-        rows.select("state", "date", "sales", "split"), VAL_START, TEST_START
-    )
+    ev = training.evaluation(rows, VAL_START, TEST_START)
     models = training.fit_trained(rows, tree_params=TREES)
     forecasts = ev.closed_forecasts().unionByName(ev.trained_forecasts(models))
     return ev.metrics(stage(forecasts, "candidates"))
