@@ -127,6 +127,13 @@ def test_encoding_is_dense_and_sorted(spark):
     assert got == {n: i for i, n in enumerate(names)}
 
 
+def test_encoding_of_composite_keys(spark):
+    pairs = [(a, b) for a in "xyz" for b in ("p", "q")]
+    df = spark.createDataFrame(list(reversed(pairs)), "state string, segment string")
+    got = {(r.state, r.segment): r.state_encoded for r in encode_keys(df, ["state", "segment"]).collect()}
+    assert got == {pair: i for i, pair in enumerate(pairs)}
+
+
 def test_split_partitions_the_rows(featured):
     parts = split.temporal_split(featured, "2020-06-01", "2021-01-01")
     assert sum(p.count() for p in parts.values()) == featured.count()

@@ -113,7 +113,10 @@ def test_report_csv(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).first().smape == "1.5"
 
 
-def test_staged_tables_live_in_the_named_folder(spark):
+def test_staged_tables_live_in_the_named_folder_until_dropped(spark, tmp_path, monkeypatch):
+    assert staging.staged_root(spark).startswith(staging.shared_dir(spark))
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
     df = staging.stage(spark.range(5).toDF("id"), "unit")
-    assert df.inputFiles()[0].split("://")[-1].lstrip("/").startswith(staging.shared_dir(spark).split(":")[-1].lstrip("/")) 
-    assert df.count() == 5
+    assert df.count() == 5 and str(tmp_path) in df.inputFiles()[0]
+    assert staging.drop_staged(spark)
+    assert not any(p.name.startswith("unit") for p in tmp_path.rglob("*"))

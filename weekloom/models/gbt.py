@@ -46,9 +46,8 @@ class PooledTrees:
         self.model: GBTRegressionModel | None = None
         self.codes: DataFrame | None = None
 
-    @property
-    def key(self) -> str:
-        return self.spec.keys[-1]
+    def _coded(self, df: DataFrame) -> DataFrame:
+        return df.join(self.codes, list(self.spec.keys))
 
     @staticmethod
     def _vector(columns: dict[str, Column] | None = None) -> Column:
@@ -57,13 +56,10 @@ class PooledTrees:
 
     def fit(self, featured: DataFrame) -> PooledTrees:
         """Fit on a feature panel with a ``split`` column; val rows stop the boosting."""
-        self.codes = stage(
-            encode_keys(featured.filter(F.col("split") == "train"), self.key), "codes"
-        )
-        rows = complete_cases(
-            featured.filter(F.col("split").isin("train", "val")).join(self.codes, self.key),
-            TREE_FEATURES,
-        )
+        train = featured.filter(F.col("split") == "train")
+        self.codes = stage(encode_keys(train, self.spec.keys), "codes")
+        both = featured.filter(F.col("split").isin("train", "val"))
+        rows = complete_cases(self._coded(both), TREE_FEATURES)
         rows = rows.select(
             self._vector().alias("features"),
             F.col(self.spec.target).cast("double").alias("label"),
@@ -83,7 +79,7 @@ class PooledTrees:
 
     def predict_onestep(self, featured: DataFrame) -> DataFrame:
         """Predictions for rows whose features exist already."""
-        rows = complete_cases(featured.join(self.codes, self.key), TREE_FEATURES)
+        rows = complete_cases(self._coded(featured), TREE_FEATURES)
         scored = self.model.transform(rows.withColumn("features", self._vector()))
         return scored.select(
             *self.spec.cell, F.lit(NAME).alias("model"), F.col("prediction").alias("forecast")
@@ -98,7 +94,7 @@ class PooledTrees:
         The lineage is cut into a stored table every few steps.
         """
         spec = self.spec
-        now = recursion.history_state(panel, spec, origin).join(self.codes, self.key)
+        now = self._coded(recursion.history_state(panel, spec, origin))
         now = now.withColumns(
             {"path": F.array().cast("array<double>"), "_step": F.lit(1)}
         )

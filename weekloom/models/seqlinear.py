@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,20 +45,20 @@ class SequenceRegression:
         return windows.withColumn("features", array_to_vector(F.flatten("seq")))
 
     def fit(self, featured: DataFrame) -> SequenceRegression:
-        """Fit scalers and model on the train rows of a panel with a ``split`` column."""
+        """Fit scalers and model on the train rows of a panel with a ``split`` column.
+
+        The normal equations need a single pass, so the windows, which are twelve times
+        as wide as the rows they come from, are streamed through and never stored.
+        """
         train = featured.filter(F.col("split") == "train")
         self.target_stats = stage(fit_target(train, self.spec), "target-stats")
         self.feature_stats = stage(fit_features(train, SEQUENCE_FEATURES), "feature-stats")
         rows = self._windows(train).select(
             "features", F.col("target_scaled").cast("double").alias("label")
         )
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.model = LinearRegression(
-                regParam=self.reg_param, elasticNetParam=0.0, solver="normal"
-            ).fit(rows)
-        finally:
-            rows.unpersist()
+        self.model = LinearRegression(
+            regParam=self.reg_param, elasticNetParam=0.0, solver="normal"
+        ).fit(rows)
         return self
 
     def predict_onestep(self, featured: DataFrame) -> DataFrame:

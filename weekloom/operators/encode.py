@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.sources.staging import stage
 
 
-def encode_keys(df: DataFrame, key: str = "state", into: str = "state_encoded") -> DataFrame:
-    """(key, code): codes 0..n-1 by sorted key, learnt without a driver-side label list.
+def encode_keys(
+    df: DataFrame, keys: Sequence[str] = ("state",), into: str = "state_encoded"
+) -> DataFrame:
+    """(keys, code): codes 0..n-1 by sorted key, learnt without a driver-side label list.
 
     The distinct keys are range-sorted and stored with their (partition, position);
     a code is the position plus the sizes of the partitions before it. The only
-    ordered window is over those sizes: one row per sort partition.
+    ordered window is over those sizes: one row per sort partition, which is also all
+    that is broadcast.
     """
+    keys = list(keys)
     ordered = (
-        df.select(key)
-        .filter(F.col(key).isNotNull())
+        df.select(*keys)
+        .dropna(subset=keys)
         .distinct()
-        .orderBy(key)
+        .orderBy(*keys)
         .withColumn("_id", F.monotonically_increasing_id())
     )
     placed = stage(ordered, "keys").select(
-        key,
+        *keys,
         F.shiftright("_id", 33).alias("_part"),
         F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
     )
@@ -33,10 +39,4 @@ def encode_keys(df: DataFrame, key: str = "state", into: str = "state_encoded")
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     coded = placed.join(F.broadcast(offsets), "_part")
-    return coded.select(key, (F.col("_offset") + F.col("_pos")).cast("int").alias(into))
-
-
-def with_codes(
-    df: DataFrame, codes: DataFrame, key: str = "state", how: str = "inner"
-) -> DataFrame:
-    return df.join(codes, key, how)
+    return coded.select(*keys, (F.col("_offset") + F.col("_pos")).cast("int").alias(into))

@@ -29,9 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def staged_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/weekloom-{spark.sparkContext.applicationId}"
+
+
 def staged_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/weekloom-{app}/{label}-{uuid.uuid4().hex}"
+    return f"{staged_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -44,3 +47,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Delete every table this application has staged; results read from them go too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
