@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,8 @@ class SequenceRegression:
     def fit(self, featured: DataFrame) -> SequenceRegression:
         """Fit scalers and model on the train rows of a panel with a ``split`` column.
 
-        The normal equations need a single pass, so the windows, which are twelve times
-        as wide as the rows they come from, are streamed through and never stored.
+        The normal equations are one pass, but the fit also counts its rows for the
+        degrees of freedom; the windows are kept (spilling to disk) for that second read.
         """
         train = featured.filter(F.col("split") == "train")
         self.target_stats = stage(fit_target(train, self.spec), "target-stats")
@@ -56,9 +57,13 @@ class SequenceRegression:
         rows = self._windows(train).select(
             "features", F.col("target_scaled").cast("double").alias("label")
         )
-        self.model = LinearRegression(
-            regParam=self.reg_param, elasticNetParam=0.0, solver="normal"
-        ).fit(rows)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.model = LinearRegression(
+                regParam=self.reg_param, elasticNetParam=0.0, solver="normal"
+            ).fit(rows)
+        finally:
+            rows.unpersist()
         return self
 
     def predict_onestep(self, featured: DataFrame) -> DataFrame:

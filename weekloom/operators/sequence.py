@@ -22,7 +22,8 @@ def sequence_windows(
     """(keys, time, target_scaled, seq): the ``length`` complete rows before each row.
 
     Only full windows are kept. ``within`` names further columns (such as the split)
-    that a window may not cross. A window holds ``length`` rows, never a whole series.
+    that a window may not cross. The rows are picked by offset, which costs one
+    reference each, instead of being collected anew for every frame.
     """
     columns = list(SEQUENCE_FEATURES if columns is None else columns)
     usable = scale_target(complete_cases(df, columns), target_stats, spec)
@@ -31,11 +32,11 @@ def sequence_windows(
     for name in within:
         inner = inner.with_key(name)
     vector = F.array(*[F.col(c).cast("float") for c in columns])
-    seq = F.collect_list("_vector").over(inner.series().rowsBetween(-length, -1))
+    before = [F.lag("_vector", k).over(inner.series()) for k in range(length, 0, -1)]
     return (
         usable.withColumn("_vector", vector)
-        .withColumn("seq", seq)
-        .filter(F.size("seq") == length)
+        .withColumns({"_full": before[0].isNotNull(), "seq": F.array(*before)})
+        .filter("_full")
         .select(
             *inner.keys,
             spec.time,
