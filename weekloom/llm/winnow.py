@@ -169,8 +169,9 @@ def scan(index: Index, batch: pa.RecordBatch) -> tuple[list, list, list]:
         for j in range(size):
             marks[starts + j] = True
         text = words.text[starts]
-        cuts = np.flatnonzero(np.append(True, text[1:] != text[:-1])) if len(text) else []
-        for a, z in zip(cuts, [*cuts[1:], len(text)], strict=True):
+        turns = (np.flatnonzero(text[1:] != text[:-1]) + 1).tolist()
+        edges = [0, *turns, len(text)] if len(text) else []
+        for a, z in zip(edges, edges[1:], strict=False):
             own = items.setdefault(int(text[a]), set())
             for w in np.unique(number[a:z]):
                 own.update(part["owner"][part["ptr"][w] : part["ptr"][w + 1]].tolist())
