@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import quality, simhash, winnow
+from weekloom.llm import pii, quality, simhash, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,15 @@ def op7_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.round("score", 6).alias("score"),
     )
+
+
+@query
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    count = lambda r: F.size(F.filter("base", lambda x: x["rank"] == r)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+        F.sha2(pii.span_string("base"), 256).alias("base_sha256"),
+        pii.span_string("spans").alias("spans"),
+    )
