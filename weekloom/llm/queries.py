@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import pii, quality, simhash, winnow
+from weekloom.llm import pii, quality, simhash, toxicity, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,9 @@ def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_string("base"), 256).alias("base_sha256"),
         pii.span_string("spans").alias("spans"),
     )
+
+
+@query
+def op8_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "evidence")
