@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import chat, pii, quality, simhash, toxicity, urls, winnow
+from weekloom.llm import chat, html, pii, quality, simhash, toxicity, urls, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +93,9 @@ def op2_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", IMITATION), (-1, 1, "assistant", IMITATION)], rows.schema
     )
     return chat.formatted_digests(rows.unionByName(more))
+
+
+@query
+def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
