@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import chat, html, pii, quality, simhash, toxicity, urls, winnow
+from weekloom.llm import chat, html, idcoder, pii, quality, simhash, toxicity, urls, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +100,9 @@ def op2_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.main_text(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op4_context_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return idcoder.id_file_digests(table(spark, sf_dir, "documents"), path)
