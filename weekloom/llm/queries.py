@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import chat, html, idcoder, pii, quality, simhash, toxicity, urls, winnow
+from weekloom.llm import (
+    chat,
+    html,
+    idcoder,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    urls,
+    winnow,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,3 +117,10 @@ def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_context_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return idcoder.id_file_digests(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return pieces.decoded(encoded, model)
