@@ -76,7 +76,9 @@ class Vocabulary:
         for size, rows in found.items():
             rows.sort()
             codes = np.array([c for c, _ in rows], np.uint64)
-            self.tables[size] = (codes, np.array([i for _, i in rows], np.int32))
+            near = np.zeros(1 << 17, bool)  # most spans are no piece: a small table says so
+            near[(codes >> np.uint64(47)).astype(np.int64)] = True
+            self.tables[size] = (codes, np.array([i for _, i in rows], np.int32), near)
 
 
 @lru_cache(maxsize=2)
@@ -127,8 +129,10 @@ class Lattice:
         sums = prefix(points)
         for size in voc.sizes:
             at = np.flatnonzero(left >= size)
-            codes, ids = voc.tables[size]
+            codes, ids, near = voc.tables[size]
             code = hashes(sums, at, size)
+            maybe = near[(code >> np.uint64(47)).astype(np.int64)]
+            at, code = at[maybe], code[maybe]
             where = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             hit = codes[where] == code
             at, own = at[hit], ids[where[hit]]
@@ -149,27 +153,30 @@ class Lattice:
         order = np.argsort(left, kind="stable")
         cuts = np.searchsorted(left[order], np.arange(1, (left.max() if len(left) else 0) + 2))
         ahead = np.arange(1, wide + 1)
-        self.cum = np.zeros(self.weight.shape, np.float64)
-        for a, z in zip(cuts, cuts[1:], strict=False):
-            own = node[order[a:z]]
-            score = self.weight[own] + after[own[:, None] + ahead]
+        self.cum = np.ones(self.weight.shape, np.float64)
+        for n, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False), 1):
+            own, reach = node[order[a:z]], min(n, wide)
+            score = self.weight[own, :reach] + after[own[:, None] + ahead[:reach]]
             top = score.max(1)
-            share = np.exp(score - top[:, None])
-            mass = share.cumsum(1)
+            mass = np.exp(score - top[:, None]).cumsum(1)
             after[own] = top + np.log(mass[:, -1])
-            self.cum[own] = mass / mass[:, -1:]
+            self.cum[own, :reach] = mass / mass[:, -1:]
+        del self.weight
 
-    def chance(self, node: np.ndarray, size: np.ndarray) -> np.ndarray:
-        high = self.cum[node, size - 1]
-        return high - np.where(size > 1, self.cum[node, np.maximum(size - 2, 0)], 0.0)
 
-
-def uniform(*parts: np.ndarray | int) -> np.ndarray:
-    """Numbers in (0, 1) that depend on the parts alone."""
-    out = np.uint64(0x243F6A8885A308D3)
+def mixed(start: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
     for p in parts:
-        out = mix64((np.asarray(out) + np.asarray(p).astype(np.uint64)) * STEP + np.uint64(1))
-    return ((out >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+        start = mix64((start + np.asarray(p).astype(np.uint64)) * STEP + np.uint64(1))
+    return start
+
+
+def key_of(*parts: np.ndarray | int) -> np.ndarray:
+    return mixed(np.full(1, 0x243F6A8885A308D3, np.uint64), *parts)
+
+
+def uniform(key: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the key alone."""
+    return ((key >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
 def gumbel(u: np.ndarray) -> np.ndarray:
@@ -197,23 +204,23 @@ def forward(lat: Lattice, node: np.ndarray, stop: np.ndarray, unit: np.ndarray,
     active = np.flatnonzero(node < stop)
     counts = np.zeros(len(node), np.int64)
     now, parts, t = node.copy(), [], 0
+    key = mixed(key, round_, unit)
     while len(active):
         at = now[active]
-        u = uniform(key[active], round_, unit[active], t)
-        size = (lat.cum[at] <= u[:, None]).sum(1) + 1
-        size = np.minimum(size, lat.cum.shape[1])
-        parts.append((active, np.full(len(active), t), at, size))
+        u, rows, k = uniform(mixed(key[active], t)), lat.cum[at], np.arange(len(active))
+        size = np.minimum((rows <= u[:, None]).sum(1) + 1, rows.shape[1])
+        chance = rows[k, size - 1] - np.where(size > 1, rows[k, np.maximum(size - 2, 0)], 0.0)
+        parts.append((active, np.full(len(active), t), at, size, chance))
         now[active] += size
         counts[active] += 1
         active, t = active[now[active] < stop[active]], t + 1
     if not parts:
         empty = np.zeros(0, np.int64)
         return Steps(empty, empty, np.zeros(0), empty), counts
-    who, when, at, size = (np.concatenate(c) for c in zip(*parts, strict=True))
-    place = (np.cumsum(counts) - counts)[who] + when
-    out = [np.empty(len(who), np.int64) for _ in range(3)]
-    out[0][place], out[1][place], out[2][place] = at, size, unit[who]
-    return Steps(out[0], out[1], np.log(lat.chance(out[0], out[1])), out[2]), counts
+    who, when, at, size, chance = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.empty(len(who), np.int64)
+    order[(np.cumsum(counts) - counts)[who] + when] = np.arange(len(who))
+    return Steps(at[order], size[order], np.log(chance[order]), unit[who[order]]), counts
 
 
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -236,6 +243,7 @@ def segment(
     starts = ends - n_units
     docs = np.arange(len(texts))
     keys = keys.astype(np.int64).view(np.uint64)
+    seeds = key_of(keys)
 
     def suffix(doc: np.ndarray, first: np.ndarray, node: np.ndarray, stop: np.ndarray, round_: int):
         """Paths from a node to the end of its unit, then through the units from ``first``."""
@@ -248,13 +256,13 @@ def segment(
         units = np.concatenate([first - 1, rest])[order]
         who = who[order]
         base = np.where(units >= starts[who], units - starts[who], 0)
-        steps, n = forward(lat, nodes, stops, base, keys[who], round_)
+        steps, n = forward(lat, nodes, stops, base, seeds[who], round_)
         steps.unit = np.repeat(units, n)
         return steps, np.bincount(who, n, len(texts)).astype(np.int64)
 
     nothing = np.zeros(len(texts), np.int64)
     steps, counts = suffix(docs, starts, nothing, nothing, 0)
-    top = gumbel(uniform(keys, 0xA5, 0))
+    top = gumbel(uniform(key_of(keys, 0xA5)))
     heaps: list[list[tuple]] = [[] for _ in texts]  # (value, step, shut lengths, prefix logp)
     results: list[list[tuple]] = [[] for _ in texts]
     live, lead = docs, nothing  # texts of this round, edges of their paths that are not new
@@ -278,8 +286,10 @@ def segment(
         if len(own):
             with np.errstate(divide="ignore", invalid="ignore"):
                 spare = prior + np.log1p(-np.minimum(np.exp(logp), 1.0))
-                fresh = np.arange(len(own)) - np.repeat(first, counts[live]) >= lead[who]
-                noise = gumbel(uniform(keys[who], 0x5A, round_, np.arange(len(own)) - np.repeat(first, counts[live])))
+                index = np.arange(len(own)) - np.repeat(first, counts[live])
+                fresh = index >= lead[who]
+                round_key = np.repeat(mixed(seeds[live], 0x5A, round_), counts[live])
+                noise = gumbel(uniform(mixed(round_key, index)))
                 value = np.where(fresh & (spare > -1e300), below(top[who], spare + noise), -np.inf)
             has = np.flatnonzero(filled)
             for _ in range(samples - round_):
@@ -308,7 +318,7 @@ def segment(
         for j, (_, r) in enumerate(picked):
             share[j, np.array(r[2]) - 1] = 0.0
         mass = share.cumsum(1)
-        u = uniform(keys[live], 0xC3, round_, step * 0 + unit - starts[live]) * mass[:, -1]
+        u = uniform(mixed(seeds[live], 0xC3, round_, unit - starts[live])) * mass[:, -1]
         size = np.minimum((mass <= u[:, None]).sum(1), mass.shape[1] - 1) + 1
         chance = share[np.arange(len(live)), size - 1]
         left = mass[:, -1] - chance
@@ -316,7 +326,7 @@ def segment(
         for j, (d, r) in enumerate(picked):
             heaps[d].remove(r)
             if left[j] > 1e-12:
-                noise = gumbel(uniform(keys[d : d + 1], 0x77, round_))[0]
+                noise = gumbel(uniform(mixed(seeds[d : d + 1], 0x77, round_)))[0]
                 value_left = float(below(top[d], prior_at[j] + np.log(left[j]) + noise))
                 heaps[d].append((value_left, r[1], (*r[2], int(size[j])), r[3]))
         # The new paths: what came before the region, its edge, and a sampled rest.
