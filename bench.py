@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -17,6 +19,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from weekloom.registry.queries import QUERIES  # noqa: E402
+from weekloom.sources.staging import drop_staged  # noqa: E402
 
 HEADLINES = [
     "impute_weekly",
@@ -46,12 +49,14 @@ HEADLINES = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    folder_of_run = tempfile.mkdtemp(prefix="weekloom-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("weekloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", folder_of_run)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -63,6 +68,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        drop_staged(spark)
     print(
         json.dumps(
             {
@@ -75,6 +81,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    shutil.rmtree(folder_of_run, ignore_errors=True)
 
 
 if __name__ == "__main__":

@@ -9,11 +9,13 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from weekloom.sources.staging import drop_staged  # noqa: E402
+
 PANEL_SCHEMA = "state string, date date, sales double"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("weekloom-tests")
@@ -22,10 +24,12 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staged")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_staged(session)
     session.stop()
 
 

@@ -173,3 +173,31 @@ def test_fold_rows_are_half_open(spark):
     got = backtest.fold_rows(df, folds).groupBy("fold", "split").count().collect()
     assert {(r.fold, r.split): r["count"] for r in got} == {(1, "train"): 53, (1, "val"): 13, (2, "train"): 66, (2, "val"): 13}
     assert PanelSpec().with_key("fold").keys == ("state", "fold")
+
+
+def test_no_series_is_lost_without_its_best_model(spark):
+    day = date(2022, 1, 1)
+    rows = [
+        ("A", day, "naive", 5.0), ("B", day, "gbt", 7.0), ("B", day, "naive", 9.0), ("C", day, "x", 1.0),
+    ]
+    made = spark.createDataFrame(rows, "state string, date date, model string, forecast double")
+    chosen = spark.createDataFrame(
+        [(s, "gbt", 4.0, "naive", 5.0, False) for s in "ABCD"],
+        "state string, best_model string, best_smape double, second_model string, "
+        "second_smape double, ensemble_eligible boolean",
+    )
+    got = {r.state: (r.forecast, r.model_used) for r in ensemble.final_forecast(made, chosen).collect()}
+    assert got == {"A": (5.0, "naive"), "B": (7.0, "gbt")}
+    lost = {r.state: r.reason for r in ensemble.not_forecast(made, chosen).collect()}
+    assert lost == {
+        "C": "neither selected model has a forecast",
+        "D": "no model has a forecast",
+    }
+
+
+def test_infinite_values_have_a_median(spark):
+    inf = float("inf")
+    rows = [("a", inf), ("a", inf), ("a", 1.0), ("b", -inf), ("b", 2.0), ("b", 3.0), ("b", inf)]
+    df = spark.createDataFrame(rows, "model string, mae double")
+    got = {r.model: r.median_mae for r in exact_medians(df, ["model"], ["mae"]).collect()}
+    assert got == {"a": inf, "b": 2.5}

@@ -1,9 +1,10 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import PANEL_SCHEMA
-from weekloom.functions.calendar import week_ending
+from weekloom.functions.calendar import parse_mixed_date, week_ending
 from weekloom.operators import guards, panel
 from weekloom.plans.ingestion import run_ingestion
 from weekloom.sources.raw import load_raw
@@ -171,3 +172,15 @@ class TestGuards:
         with pytest.raises(guards.ValidationError, match="overlap"):
             guards.validate_splits(one("2022-06-01"), one("2022-01-01"))
         guards.validate_splits(one("2021-01-01"), one("2022-01-01"), one("2023-01-01"))
+
+
+def test_textual_compact_and_short_dates(spark):
+    texts = {
+        "15-Jan-2021": "2021-01-15", "Jan 15, 2021": "2021-01-15", "15 January 2021": "2021-01-15",
+        "20210115": "2021-01-15", "05-06-21": "2021-06-05", "SEPT 3 2021": "2021-09-03",
+        "3/sep/21": "2021-09-03", "2021-12-31T10:00:00": "2021-12-31", "31.12.2021": "2021-12-31",
+        "12-31-21": "2021-12-31", "not_a_date": None, "32-Jan-2021": None, "": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", parse_mixed_date(F.col("t"), "null").cast("string")).collect()
+    assert {r[0]: r[1] for r in got} == texts

@@ -75,17 +75,23 @@ def test_missing_tables_are_named(spark, tmp_path):
         ForecastStore.load(spark, str(tmp_path))
 
 
-def test_by_key_sink_prunes_to_one_key(spark, tmp_path, monkeypatch):
-    rows = [(f"State {i}", float(i)) for i in range(20)]
+@pytest.mark.parametrize("n", [10, 5000])
+def test_by_key_sink_has_one_layout(spark, tmp_path, n):
+    rows = [(f"State {i}", float(i)) for i in range(n)] + [("New York", 1.5), ("new_york", 2.5)]
     df = spark.createDataFrame(rows, "state string, forecast double")
-    few = str(tmp_path / "few")
-    assert tables.save_by_key(df, few) == "state_slug"
-    assert [r.forecast for r in tables.load_key(spark, few, " state 7").collect()] == [7.0]
-    monkeypatch.setattr(tables, "MAX_KEY_FOLDERS", 5)
-    many = str(tmp_path / "many")
-    assert tables.save_by_key(df, many) == "key_bucket"
-    assert spark.read.parquet(many).count() == 20
-    assert [r.forecast for r in tables.load_key(spark, many, "STATE 13").collect()] == [13.0]
+    path = str(tmp_path / "keys")
+    assert tables.save_by_key(df, path) == "key_bucket"
+    assert all(p.name.startswith("key_bucket=") for p in (tmp_path / "keys").iterdir() if p.is_dir())
+    assert spark.read.parquet(path).count() == n + 2
+    assert [r.forecast for r in tables.load_key(spark, path, " STATE 7").collect()] == [7.0]
+    assert [r.forecast for r in tables.load_key(spark, path, "New York").collect()] == [1.5]
+
+
+def test_unknown_series_is_rejected(store):
+    with pytest.raises(KeyError, match="atlantis"):
+        store.require("atlantis")
+    known = store.states().first().state
+    assert store.require(f" {known.upper()} ")
 
 
 def test_metric_files_union_and_skip_missing(spark, tmp_path):

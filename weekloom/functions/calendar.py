@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # ambiguous text is taken day before month.
 YEAR_FIRST = ("yyyy-M-d", "yyyy-d-M")
 YEAR_LAST = ("d-M-yyyy", "M-d-yyyy")
+SHORT_YEAR = ("d-M-yy", "M-d-yy")
+COMPACT = ("yyyyMMdd",)
+NAMED = ("d-MMM-yyyy", "MMM-d-yyyy", "yyyy-MMM-d", "d-MMM-yy")
 
 # US federal holidays on a fixed day, as (month, day, first year).
 FIXED_HOLIDAYS = ((1, 1, 1870), (6, 19, 2021), (7, 4, 1870), (11, 11, 1978), (12, 25, 1870))
@@ -30,18 +33,31 @@ FLOATING_HOLIDAYS = (
 def parse_mixed_date(text: Column, on_error: str = "raise") -> Column:
     """Text in any of the accepted layouts to DATE; null or blank text gives NULL.
 
-    The place of the first separator picks the pair of layouts, so an ordinary text is
-    read at the first attempt and costs no failed parse.
+    The text's shape picks the layouts: the place of the first separator, a month's name,
+    no separator at all, or a year of two digits (2000 to 2099). An ordinary text is read
+    at the first attempt and costs no failed parse.
     ``on_error='raise'`` fails the job on the first unreadable text, inside the same
     scan, so no separate counting pass is needed; ``'null'`` turns it into NULL.
     """
     day = F.regexp_replace(F.trim(text), r"[T ]\d{1,2}:.*$", "")
+    named = day.rlike("[A-Za-z]{3}")
+    # Month names by their first three letters, whatever the case and the separators.
+    letters = F.initcap(F.regexp_replace(day, r"(?i)([a-z]{3})[a-z]*", "$1"))
+    letters = F.regexp_replace(F.translate(letters, ",", " "), r"[\s./-]+", "-")
     day = F.translate(day, "/.", "--")
-
-    def read(layouts: tuple[str, ...]) -> Column:
-        return F.coalesce(*[F.try_to_timestamp(day, F.lit(p)).cast("date") for p in layouts])
-
-    parsed = F.when(F.instr(day, "-") == 5, read(YEAR_FIRST)).otherwise(read(YEAR_LAST))
+    digits = day.rlike(r"^\d{8}$")
+    short = day.rlike(r"^\d{1,2}-\d{1,2}-\d{2}$")
+
+    def read(layouts: tuple[str, ...], text: Column = day) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in layouts])
+
+    parsed = (
+        F.when(named, read(NAMED, letters))
+        .when(digits, read(COMPACT))
+        .when(short, read(SHORT_YEAR))
+        .when(F.instr(day, "-") == 5, read(YEAR_FIRST))
+        .otherwise(read(YEAR_LAST))
+    )
     if on_error == "null":
         return parsed
     junk = parsed.isNull() & (F.trim(text) != "")

@@ -25,8 +25,8 @@ def blend(
 
     ``candidates`` is the long table (keys, date, model, forecast). One join brings
     the selection to it, one aggregate puts best and second side by side. Without any
-    second forecast a series falls back to its best model; with a shorter second one
-    the blend ends where the second ends.
+    second forecast a series falls back to its best model, without any best forecast to
+    its second; with a shorter second one the blend ends where the second ends.
     """
     keys = list(spec.keys)
     w1, w2 = ensemble_weights(F.col("best_smape"), F.col("second_smape"))
@@ -40,29 +40,48 @@ def blend(
         w2.alias("w_second"),
     )
     is_best = F.col("model") == F.col("best_model")
-    is_second = F.col("_wanted") & (F.col("model") == F.col("second_model"))
+    is_second = F.col("model") == F.col("second_model")
     paired = (
         candidates.join(choice, keys)
         .filter(is_best | is_second)
         .groupBy(*spec.cell, "best_model", "second_model", "_wanted", "w_best", "w_second")
         .agg(
             F.max(F.when(is_best, F.col("forecast"))).alias("best_forecast"),
-            F.max(F.when(is_second, F.col("forecast"))).alias("second_forecast"),
+            F.max(F.when(is_second, F.col("forecast"))).alias("_second"),
         )
-        .filter(F.col("best_forecast").isNotNull())
     )
-    n_second = F.count("second_forecast").over(Window.partitionBy(*keys))
-    blended = F.col("_wanted") & (F.col("_n_second") > 0)
+    series = Window.partitionBy(*keys)
+    blended = F.col("_wanted") & (F.col("_n_second") > 0) & (F.col("_n_best") > 0)
     mixed = F.col("best_forecast") * F.col("w_best") + F.col("second_forecast") * F.col("w_second")
+    alone = F.when(F.col("_n_best") > 0, F.col("best_forecast")).otherwise(F.col("second_forecast"))
+    used = F.when(F.col("_wanted") | (F.col("_n_best") == 0), F.col("_second"))
     return (
-        paired.withColumn("_n_second", n_second)
+        paired.withColumn("_n_second", F.count("_second").over(series))
+        .withColumn("_n_best", F.count("best_forecast").over(series))
+        .withColumn("second_forecast", used)
         .withColumn("blended", blended)
-        .withColumn(
-            "forecast", F.when(F.col("blended"), mixed).otherwise(F.col("best_forecast"))
-        )
+        .withColumn("forecast", F.when(F.col("blended"), mixed).otherwise(alone))
         .filter(F.col("forecast").isNotNull())
-        .drop("_wanted", "_n_second")
+        .drop("_wanted", "_n_second", "_n_best", "_second")
+    )
+
+
+def not_forecast(
+    candidates: DataFrame, selection: DataFrame, spec: PanelSpec = DEFAULT
+) -> DataFrame:
+    """(keys, best_model, second_model, reason): selected series that get no forecast."""
+    keys = list(spec.keys)
+    made = candidates.filter(F.col("forecast").isNotNull()).select(*keys, "model").distinct()
+    chosen = selection.select(*keys, "best_model", "second_model")
+    usable = made.join(chosen, keys).filter(
+        (F.col("model") == F.col("best_model")) | (F.col("model") == F.col("second_model"))
     )
+    lost = chosen.join(usable.select(*keys), keys, "left_anti")
+    any_model = made.select(*keys).distinct().withColumn("_some", F.lit(True))
+    reason = F.when(F.col("_some"), "neither selected model has a forecast").otherwise(
+        "no model has a forecast"
+    )
+    return lost.join(any_model, keys, "left").withColumn("reason", reason).drop("_some")
 
 
 def final_forecast(
@@ -84,7 +103,10 @@ def final_forecast(
         _two_decimals(F.col("w_second")),
         F.lit(")"),
     )
-    used = F.when(F.col("blended"), label).otherwise(F.col("best_model"))
+    single = F.when(F.col("best_forecast").isNull(), F.col("second_model")).otherwise(
+        F.col("best_model")
+    )
+    used = F.when(F.col("blended"), label).otherwise(single)
     return rows.select(*spec.cell, "forecast", used.alias("model_used"))
 
 

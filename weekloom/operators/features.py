@@ -18,6 +18,7 @@ from weekloom.functions.calendar import (
 )
 from weekloom.spec import DEFAULT, LAGS, ROLLING_WINDOWS, PanelSpec
 
+# The names of the features in the order in which models read them.
 CALENDAR_FEATURES = [
     "month",
     "week_of_year",

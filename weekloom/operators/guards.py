@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from weekloom.operators.panel import gap_check
 from weekloom.operators.split import missing_series
@@ -22,7 +22,15 @@ class ValidationError(Exception):
 def require_columns(df: DataFrame, spec: PanelSpec = DEFAULT) -> None:
     missing = sorted(set(spec.columns) - set(df.columns))
     if missing:
-        raise ValidationError(f"Missing required columns: {missing}. Found: {df.columns}")
+        raise ValidationError(f"Missing required columns: {missing} (given: {df.columns})")
+
+
+def _hold(row: Row, *broken: tuple[bool, str]) -> Row:
+    """The row, unless one of its conditions is broken: then all complaints in one error."""
+    said = [text for bad, text in broken if bad]
+    if said:
+        raise ValidationError("; ".join(said))
+    return row
 
 
 def raw_report(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
@@ -41,14 +49,15 @@ def raw_report(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     )
 
 
-def validate_raw(df: DataFrame, spec: PanelSpec = DEFAULT) -> None:
+def validate_raw(df: DataFrame, spec: PanelSpec = DEFAULT) -> Row:
+    """The report row of records that can be worked with."""
     row = raw_report(df, spec).first()
-    if row.total_rows == 0:
-        raise ValidationError("Input dataframe is empty")
-    if row.known_sales == 0:
-        raise ValidationError("Target column is entirely null")
-    if row.series < 2:
-        raise ValidationError(f"Expected multiple series, found {row.series}")
+    return _hold(
+        row,
+        (row.total_rows == 0, "the table of records is empty"),
+        (row.total_rows > 0 and row.known_sales == 0, "sales are entirely null"),
+        (0 < row.total_rows and row.series < 2, f"a panel takes multiple series, {row.series} given"),
+    )
 
 
 def panel_report(panel: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
@@ -63,14 +72,16 @@ def panel_report(panel: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     return counts.withColumn("gap_series", broken)
 
 
-def validate_panel(panel: DataFrame, spec: PanelSpec = DEFAULT) -> None:
+def validate_panel(panel: DataFrame, spec: PanelSpec = DEFAULT) -> Row:
+    """The report row of a complete weekly panel; negative values are only logged."""
     row = panel_report(panel, spec).first()
-    if row.null_sales:
-        raise ValidationError(f"{row.null_sales} null values in target after imputation")
     if row.negative_sales:
-        log.warning("%d negative values in target", row.negative_sales)
-    if row.gap_series:
-        raise ValidationError(f"{row.gap_series} series have non-weekly gaps")
+        log.warning("panel holds %d values below zero", row.negative_sales)
+    return _hold(
+        row,
+        (row.null_sales > 0, f"{row.null_sales} null values are left in the panel"),
+        ((row.gap_series or 0) > 0, f"{row.gap_series} series have non-weekly gaps"),
+    )
 
 
 def split_report(
@@ -96,26 +107,37 @@ def split_report(
 
 def validate_splits(
     train: DataFrame, val: DataFrame, test: DataFrame | None = None, spec: PanelSpec = DEFAULT
-) -> None:
+) -> Row:
+    """The report row of splits in order; series that val lacks are only logged."""
     row = split_report(train, val, test, spec).first()
-    for name, size in (("train", row.train_rows), ("val", row.val_rows)):
-        if size == 0:
-            raise ValidationError(f"Split '{name}' is empty: check the date boundaries")
-    if row.train_last >= row.val_first:
-        raise ValidationError(
-            f"Train/val overlap: train ends {row.train_last}, val starts {row.val_first}"
-        )
     if row.missing_series:
-        log.warning("%d series of train are not in val", row.missing_series)
+        log.warning("val lacks %d series of train", row.missing_series)
+    both = row.train_rows > 0 and row.val_rows > 0
+    return _hold(
+        row,
+        (row.train_rows == 0, "the train split is empty"),
+        (row.val_rows == 0, "the val split is empty"),
+        (
+            both and row.train_last >= row.val_first,
+            f"splits overlap: train reaches {row.train_last}, val begins {row.val_first}",
+        ),
+    )
+
+
+def absent(failure: AnalysisException) -> bool:
+    """Does the failure say that there is no such path (rather than a damaged table)?"""
+    return "PATH_NOT_FOUND" in str(failure.getCondition())
 
 
-def require_tables(df_paths: dict[str, str], spark) -> None:
+def require_tables(df_paths: dict[str, str], spark: SparkSession) -> None:
     """Raise with the full list when stored tables that lookups need are absent."""
     missing = []
     for name, path in df_paths.items():
         try:
             spark.read.parquet(path)
-        except AnalysisException:
+        except AnalysisException as failure:
+            if not absent(failure):
+                raise
             missing.append(name)
     if missing:
         raise ValidationError(f"Missing tables: {sorted(missing)}")

@@ -19,9 +19,9 @@ MARGIN = 0.002
 def exact_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """``by`` plus ``median_<column>`` for every column; NULL and NaN are skipped.
 
-    ``by`` must be label columns (model family, fold): the sketch has one row per
-    label combination and column, and only that table is broadcast. ``df`` is read
-    twice, so give it a stored table when it is expensive.
+    The sketch has one row per combination of ``by`` and column and carries no hint: a
+    small one is broadcast by its measured size. ``df`` is read twice, so give it a
+    stored table when it is expensive. Infinite values are values like any other.
     """
     long = df.unpivot(by, [F.col(c).cast("double").alias(c) for c in columns], "_column", "_value")
     long = long.filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
@@ -33,15 +33,14 @@ def exact_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame
         ).alias("_bracket")
     )
     value, lo, hi = F.col("_value"), F.col("_bracket")[0], F.col("_bracket")[1]
-    clamped = (
-        F.when(value < lo, float("-inf")).when(value > hi, float("inf")).otherwise(value)
-    )
+    side = F.when(value < lo, -1).when(value > hi, 1).otherwise(0)
     counted = (
-        long.join(F.broadcast(sketch), group)
-        .groupBy(*group, clamped.alias("_value"))
+        long.join(sketch, group)
+        .withColumn("_side", side)
+        .groupBy(*group, "_side", F.when(F.col("_side") == 0, value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ordered = Window.partitionBy(*group).orderBy("_value")
+    ordered = Window.partitionBy(*group).orderBy("_side", "_value")
     upto = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     total = F.sum("_n").over(
         ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -50,12 +49,12 @@ def exact_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame
 
     def at(rank) -> Column:
         holds = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-        return F.max(F.when(holds, F.col("_value")))
+        return F.max(F.when(holds & (F.col("_side") == 0), F.col("_value")))
 
     lower = at(F.floor((F.col("_total") + 1) / 2))
     upper = at(F.floor(F.col("_total") / 2) + 1)
-    middle = (lower + upper) / 2
-    outside = F.isnan(middle) | (F.abs(middle) == float("inf"))
+    middle = F.when(lower == upper, lower).otherwise((lower + upper) / 2)
+    outside = lower.isNull() | upper.isNull()
     safe = F.when(outside, F.raise_error(F.lit("median bracket missed")).cast("double")).otherwise(
         middle
     )

@@ -30,10 +30,14 @@ def _rank_struct(models: Sequence[str], *keys: str) -> list[Column]:
 
 
 def ensemble_weights(best: Column, second: Column) -> tuple[Column, Column]:
-    """Inverse-sMAPE weights, each sMAPE floored so that a perfect fit stays finite."""
-    inv_best = F.lit(1.0) / F.greatest(best, F.lit(SMAPE_FLOOR))
-    inv_second = F.lit(1.0) / F.greatest(second, F.lit(SMAPE_FLOOR))
-    return inv_best / (inv_best + inv_second), inv_second / (inv_best + inv_second)
+    """Shares of both models: the smaller the error of one, the larger its share.
+
+    With two models the inverse-error share of the best is the second's part of the
+    summed errors. Errors are floored, so that a perfect fit stays finite.
+    """
+    floored = [F.greatest(e, F.lit(SMAPE_FLOOR)) for e in (best, second)]
+    share = floored[1] / (floored[0] + floored[1])
+    return share, 1 - share
 
 
 def select_best(
@@ -127,4 +131,4 @@ def spread(metrics: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
 def spread_states(metrics: DataFrame, n: int = 15, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Metric rows of the ``n`` series where models disagree most."""
     top = spread(metrics, spec).orderBy(F.col("smape_range").desc(), *spec.keys).limit(n)
-    return metrics.join(F.broadcast(top.select(*spec.keys)), list(spec.keys), "left_semi")
+    return metrics.join(top.select(*spec.keys), list(spec.keys), "left_semi")

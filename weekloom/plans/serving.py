@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.functions.text import lookup_key
-from weekloom.operators.guards import require_tables
+from weekloom.operators.guards import absent, require_tables
 from weekloom.operators.selection import winner_counts
 
 TABLES = ("forecasts", "selection", "metrics")
@@ -52,7 +53,9 @@ class ForecastStore:
         require_tables({name: f"{path}/{name}" for name in TABLES}, spark)
         try:
             board = spark.read.parquet(f"{path}/leaderboard")
-        except Exception:
+        except AnalysisException as failure:
+            if not absent(failure):
+                raise
             board = None
         tables = [spark.read.parquet(f"{path}/{name}") for name in TABLES]
         return cls(*tables, leaderboard=board, key=key)
@@ -67,11 +70,21 @@ class ForecastStore:
     def _one(self, df: DataFrame, state: str) -> DataFrame:
         return df.filter(F.col("lookup_key") == state.strip().lower())
 
+    def require(self, state: str) -> str:
+        """The series' key as given, or KeyError where no table of the store has it."""
+        for table in (self.forecasts, self.selection):
+            if not self._one(table, state).isEmpty():
+                return state
+        raise KeyError(f"no series {state.strip()!r}")
+
     def states(self) -> DataFrame:
         return self.forecasts.select(self.key).distinct().orderBy(self.key)
 
     def forecast(self, state: str) -> DataFrame:
-        """The dated forecasts of one series; no rows when the series is unknown."""
+        """The dated forecasts of one series; no rows when the series is unknown.
+
+        ``store.forecast(store.require(name))`` rejects an unknown name instead.
+        """
         rows = self._one(self.forecasts, state)
         return rows.select(self.key, "date", "forecast", "model_used").orderBy("date")
 

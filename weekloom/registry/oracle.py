@@ -416,6 +416,7 @@ QUERIES: dict[str, str] = {
         CASE WHEN model NOT LIKE '%naive' THEN n_train END AS n_train FROM metrics""",
     # records
     "parse_mixed_dates": f"SELECT {PANEL4}, seq FROM records",
+    "parse_text_dates": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders",
     "date_quality": """SELECT 0::BIGINT AS blank_dates, 0::BIGINT AS junk_dates,
         COUNT(*) AS good_dates FROM records""",
     "drop_constant_col": """SELECT state, CASE WHEN seq % 2 = 0
@@ -515,10 +516,11 @@ QUERIES: dict[str, str] = {
     + " FROM scaled",
     "sequence_windows": """SELECT t.state, t.date,
         floor((CAST(CAST(t.target_scaled AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS target_scaled,
-        CAST(s.rn - t.rn + 12 AS INTEGER) AS pos,
-        floor((CAST(CAST(s.lag_1 AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS lag_1,
-        floor((CAST(CAST(s.roll_mean_13 AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS roll_mean_13,
-        floor((CAST(CAST(s.week_index AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS week_index
+        CAST(s.rn - t.rn + 12 AS INTEGER) AS pos, """
+    + ", ".join(
+        f"floor((CAST(CAST(s.{c} AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS {c}" for c in SEQ
+    )
+    + """
         FROM numbered t JOIN numbered s
           ON s.state = t.state AND s.rn BETWEEN t.rn - 12 AND t.rn - 1
         WHERE t.rn > 12""",
@@ -627,10 +629,8 @@ QUERIES: dict[str, str] = {
         WHERE state = '{STATE}'""",
     "forecast_for_state": f"""SELECT state, COUNT(*) OVER () AS horizon_weeks, date,
         floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used FROM final WHERE state = '{STATE}'""",
-    "all_forecasts": """SELECT state, COUNT(*) AS horizon_weeks, MIN(date) AS first_date,
-        MAX(date) AS last_date, floor((arg_min(forecast, date)) * 1e3 + 0.2718) / 1e3 AS first_forecast,
-        floor((arg_max(forecast, date)) * 1e3 + 0.2718) / 1e3 AS last_forecast,
-        arg_max(model_used, date) AS model_used FROM final GROUP BY 1""",
+    "all_forecasts": """SELECT state, COUNT(*) OVER (PARTITION BY state) AS horizon_weeks, date,
+        floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used FROM final""",
     "model_info": """SELECT s.state, best_model, floor((best_smape) * 1e4 + 0.2718) / 1e4 AS best_smape,
         floor((best_mae) * 1e4 + 0.2718) / 1e4 AS best_mae, second_model, ensemble_eligible,
         CAST(COUNT(*) OVER (PARTITION BY s.state) AS INTEGER) AS n_models, model,
@@ -687,4 +687,5 @@ def recursive_features_sql() -> str:
 def oracles() -> dict[str, str]:
     out = {name: compose(text) for name, text in QUERIES.items()}
     out["recursive_features"] = recursive_features_sql()
+    out["selection_reports"] = out["leaderboard"]
     return out

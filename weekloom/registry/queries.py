@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekloom.functions.calendar import week_ending
+from weekloom.functions.calendar import parse_mixed_date, week_ending
 from weekloom.functions.text import slug
 from weekloom.models.gbt import PooledTrees
 from weekloom.models.seqlinear import SequenceRegression
@@ -162,6 +162,16 @@ def forecast_sink(spark, sf_dir):
     return spark.read.parquet(path).select("state", "date", "forecast", "model_used", "state_slug")
 
 
+@query()
+def selection_reports(spark, sf_dir):
+    """The leaderboard as its report file says it."""
+    scores, folder = closed_metrics(spark, sf_dir), staged_path(spark, "reports")
+    board = metrics.leaderboard(scores)
+    reports = {"leaderboard": board, "selection": closed_selection(scores), "all_metrics": scores}
+    tables.save_selection_tables(reports, folder)
+    return spark.read.schema(board.schema).csv(f"{folder}/leaderboard", header=True)
+
+
 @query()
 def all_metrics(spark, sf_dir):
     scores = closed_metrics(spark, sf_dir)
@@ -190,6 +200,18 @@ def parse_mixed_dates(spark, sf_dir):
     return panel.parse_dates(star(spark, sf_dir).order_records()).drop("category")
 
 
+@query(None)
+def parse_text_dates(spark, sf_dir):
+    """Dates written out in six layouts, with month names and without separators."""
+    orders = star(spark, sf_dir).table("orders")
+    layouts = ["d-MMM-yyyy", "MMM d, yyyy", "d MMMM yyyy", "yyyyMMdd", "yyyy-M-d", "MMMM d yyyy"]
+    pick = F.lit(None).cast("string")
+    for i, layout in enumerate(layouts):
+        day = F.date_format("o_orderdate", layout)
+        pick = F.when(F.col("o_orderkey") % len(layouts) == i, day).otherwise(pick)
+    return orders.select("o_orderkey", parse_mixed_date(pick).alias("date"))
+
+
 @query(None)
 def date_quality(spark, sf_dir):
     return panel.date_quality(star(spark, sf_dir).order_records())
@@ -234,8 +256,7 @@ def snap_week(spark, sf_dir):
 @query(None)
 def validate_raw(spark, sf_dir):
     records = star(spark, sf_dir).order_records()
-    guards.validate_raw(records)
-    return guards.raw_report(records)
+    return spark.createDataFrame([guards.validate_raw(records)])
 
 
 # Panel -----------------------------------------------------------------------------
@@ -285,9 +306,8 @@ def run_ingestion(spark, sf_dir):
 
 @query(None)
 def validate_panel(spark, sf_dir):
-    rows = stored_panel(spark, sf_dir)
-    guards.validate_panel(rows)
-    return guards.panel_report(rows)
+    row = guards.validate_panel(stored_panel(spark, sf_dir))
+    return spark.createDataFrame([row])
 
 
 # Features --------------------------------------------------------------------------
@@ -425,8 +445,8 @@ def history_tail(spark, sf_dir):
 @query(None)
 def validate_splits(spark, sf_dir):
     parts = split.temporal_split(stored_panel(spark, sf_dir), VAL_START, TEST_START)
-    guards.validate_splits(parts["train"], parts["val"], parts["test"])
-    return guards.split_report(parts["train"], parts["val"], parts["test"])
+    row = guards.validate_splits(parts["train"], parts["val"], parts["test"])
+    return spark.createDataFrame([row])
 
 
 @query()
@@ -479,7 +499,7 @@ def sequence_windows(spark, sf_dir):
         "date",
         "target_scaled",
         "pos",
-        *[F.col("v")[names.index(c)].alias(c) for c in ("lag_1", "roll_mean_13", "week_index")],
+        *[F.col("v")[i].alias(c) for i, c in enumerate(names)],
     )
 
 
@@ -782,16 +802,7 @@ def forecast_for_state(spark, sf_dir):
 @query(3)
 def all_forecasts(spark, sf_dir):
     nested = store(spark, sf_dir).all_forecasts()
-    first, last = F.element_at("forecasts", 1), F.element_at("forecasts", -1)
-    return nested.select(
-        "state",
-        "horizon_weeks",
-        first["date"].alias("first_date"),
-        last["date"].alias("last_date"),
-        first["forecast"].alias("first_forecast"),
-        last["forecast"].alias("last_forecast"),
-        last["model_used"].alias("model_used"),
-    )
+    return nested.select("state", "horizon_weeks", F.inline("forecasts"))
 
 
 @query()

@@ -33,7 +33,10 @@ def load_raw(
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt == "csv":  # columns go by the header's names, not by position
+        df = reader.option("header", True).option("enforceSchema", False).csv(path)
+    else:
+        df = reader.format(fmt).load(path)
     df = normalise_headers(df, {"total": "sales"} if rename is None else rename)
     if "sales" in df.columns:
         df = df.withColumn("sales", F.col("sales").cast("double"))

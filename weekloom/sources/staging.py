@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +10,10 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the session names in ``spark.checkpoint.dir``, or its checkpoint folder.
 
-    Only a local session without that setting gets a temporary folder of its own; on
-    a cluster a machine-local folder would be lost with its executor, so a missing
-    setting is an error there.
+    The library never picks a folder itself: one on a single machine would be lost with
+    its executor, so a missing setting is an error under every master.
     """
     named = spark.sparkContext.getConf().get(SETTING, None) or spark.conf.get(SETTING, None)
     if named:
@@ -23,10 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{SETTING} must name a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weekloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    raise RuntimeError(f"{SETTING} must name a folder that all executors share")
 
 
 def staged_root(spark: SparkSession) -> str:

@@ -6,13 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.functions.text import slug
+from weekloom.functions.text import lookup_key, slug
 
-# More distinct keys than this get hash folders instead of one folder each.
-MAX_KEY_FOLDERS = 2000
+# Folders that keys share, whatever their number.
 KEY_BUCKETS = 512
 
 
@@ -52,23 +51,23 @@ def load_all_metrics(spark: SparkSession, folder: str, families: Sequence[str])
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
+def _bucket(folded: Column) -> Column:
+    return F.pmod(F.xxhash64(folded), F.lit(KEY_BUCKETS)).cast("int")
+
+
 def save_by_key(df: DataFrame, path: str, key: str = "state") -> str:
     """Store a table so that one key can be read without reading the others.
 
-    Few keys get a folder each (``state_slug=...``). Beyond ``MAX_KEY_FOLDERS`` that
-    would drown the file system, so keys share hash folders and are sorted within
-    them, where Parquet statistics find them. Returns the partition column.
+    Keys share ``KEY_BUCKETS`` hash folders and are sorted within them, where Parquet
+    statistics find them; the layout is the same for ten keys and for ten million.
+    Returns the partition column.
     """
-    keyed = df.withColumn(f"{key}_slug", slug(F.col(key)))
-    few = keyed.select(f"{key}_slug").distinct().limit(MAX_KEY_FOLDERS + 1).count()
-    if few <= MAX_KEY_FOLDERS:
-        keyed.write.mode("overwrite").partitionBy(f"{key}_slug").parquet(path)
-        return f"{key}_slug"
-    bucket = F.pmod(F.xxhash64(f"{key}_slug"), F.lit(KEY_BUCKETS)).cast("int")
+    keyed = df.withColumns({f"{key}_slug": slug(F.col(key)), f"{key}_folded": lookup_key(F.col(key))})
+    spread = F.pmod(F.xxhash64(f"{key}_folded", F.lit(1)), F.lit(8))
     (
-        keyed.withColumn("key_bucket", bucket)
-        .repartition("key_bucket", F.pmod(F.xxhash64(f"{key}_slug", F.lit(1)), F.lit(8)))
-        .sortWithinPartitions("key_bucket", f"{key}_slug")
+        keyed.withColumn("key_bucket", _bucket(F.col(f"{key}_folded")))
+        .repartition("key_bucket", spread)
+        .sortWithinPartitions("key_bucket", f"{key}_folded")
         .write.mode("overwrite")
         .partitionBy("key_bucket")
         .parquet(path)
@@ -77,10 +76,16 @@ def save_by_key(df: DataFrame, path: str, key: str = "state") -> str:
 
 
 def load_key(spark: SparkSession, path: str, value: str, key: str = "state") -> DataFrame:
-    """The rows of one key from ``save_by_key``, pruned to its folder."""
-    table = spark.read.parquet(path)
-    wanted = slug(F.lit(value))
-    if "key_bucket" in table.columns:
-        bucket = F.pmod(F.xxhash64(wanted), F.lit(KEY_BUCKETS)).cast("int")
-        table = table.filter(F.col("key_bucket") == bucket)
-    return table.filter(F.col(f"{key}_slug") == wanted)
+    """The rows of one key from ``save_by_key``, pruned to its folder.
+
+    Keys are told apart by their folded text, so two that share a slug stay apart.
+    """
+    wanted = lookup_key(F.lit(value))
+    table = spark.read.parquet(path).filter(F.col("key_bucket") == _bucket(wanted))
+    return table.filter(F.col(f"{key}_folded") == wanted)
+
+
+def save_selection_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """The reports of a model selection, each as CSV under its name."""
+    for name, table in tables.items():
+        save_report(table, f"{folder}/{name}")
