@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -152,9 +153,10 @@ def generate_forecasts(
 def backtest_closed(panel: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Metrics of the closed-form families per series, model and fold.
 
-    The fold is one more series key: all folds of all series are one query.
+    The fold is one more series key: all folds of all series are one query. The fold rows
+    are stored once, since every family reads them.
     """
-    rows = fold_rows(panel, backtest_folds(panel, spec=spec), spec)
+    rows = stage(fold_rows(panel, backtest_folds(panel, spec=spec), spec), "folds")
     inner = PanelSpec(("fold", *spec.keys), spec.time, spec.target)
     train = rows.filter(F.col("split") == "train")
     val = rows.filter(F.col("split") == "val")
@@ -171,7 +173,8 @@ def backtest_trained(
     """Metrics of the pooled families per series, model and fold.
 
     Only the few folds are looped over; within a fold everything is distributed.
-    Features look backwards only, so one stored feature table serves all folds.
+    Features look backwards only, so one stored feature table serves all folds. Boosting
+    stops on the last weeks before a fold, never on the weeks that the fold scores.
     """
     origin = panel.agg(F.min(spec.time)).scalar() if origin is None else origin
     features = stage(build_features(panel, spec, origin), "features")
@@ -179,7 +182,8 @@ def backtest_trained(
     for fold in backtest_folds(panel, spec=spec).orderBy("fold").collect():
         start, end = str(fold.train_end), str(fold.val_end)
         upto = features.filter(F.col(spec.time) < F.lit(fold.val_end))
-        rows = with_split(upto, start, end, spec)
+        stop = str(fold.train_end - timedelta(weeks=BACKTEST_WEEKS))
+        rows = with_split(upto, stop, start, spec)
         cut = evaluation(upto, start, end, spec)
         models = fit_trained(rows, spec, origin, tree_params)
         scored = cut.metrics(cut.trained_forecasts(models))

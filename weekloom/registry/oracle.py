@@ -4,10 +4,10 @@ Grids are real cross products here and holidays a real range join: a statement o
 result, not of the way the library computes it. Each query pulls in the common table
 expressions it names.
 
-Doubles are put on a decimal grid as floor(x * 10^p + 0.2718) / 10^p on both sides. Means
-of money amounts often end exactly on a decimal tie, where the last bit of a sum, which
-depends on its order, would decide a plain ``round``; the odd offset keeps such values
-away from the cut.
+Doubles are rounded half up as floor(x * 10^p + 0.501) / 10^p on both sides. Means of money
+amounts often end exactly on a decimal tie, where the last bit of a sum, which depends on
+its order, would decide a plain ``round``; the last digit of 0.501 sends what lies within
+a thousandth of a step below the tie up with it.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ WHOLE_NUMBERS = {*CALENDAR, "is_holiday_week", "week_index"}
 
 def cols(names: list[str], places: int = 4, prefix: str = "") -> str:
     return ", ".join(
-        f"{prefix}{c} AS {c}" if c in WHOLE_NUMBERS else f"floor({prefix}{c} * 1e{places} + 0.2718) / 1e{places} AS {c}"
+        f"{prefix}{c} AS {c}" if c in WHOLE_NUMBERS else f"floor({prefix}{c} * 1e{places} + 0.501) / 1e{places} AS {c}"
         for c in names
     )
 
@@ -401,18 +401,18 @@ SELECTED = (
 BOARD = ", ".join(
     f"round({c}, 2) AS {c}" for c in ("median_smape", "mean_smape", "median_mae", "median_mase")
 )
-PANEL4 = "state, date, floor((sales) * 1e4 + 0.2718) / 1e4 AS sales"
+PANEL4 = "state, date, floor((sales) * 1e4 + 0.501) / 1e4 AS sales"
 
 QUERIES: dict[str, str] = {
     # sources and sinks
     "load_raw": """SELECT state, CASE WHEN seq % 2 = 0 THEN strftime(date, '%Y-%m-%d')
         ELSE strftime(date, '%d-%m-%Y') END AS date, 'Goods' AS category,
-        floor((sales) * 1e4 + 0.2718) / 1e4 AS sales, seq AS order_seq FROM records""",
+        floor((sales) * 1e4 + 0.501) / 1e4 AS sales, seq AS order_seq FROM records""",
     "split_roundtrip": f"SELECT {PANEL4}, split FROM labelled",
-    "forecast_sink": """SELECT state, date, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used,
+    "forecast_sink": """SELECT state, date, floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast, model_used,
         replace(lower(trim(state)), ' ', '_') AS state_slug FROM final""",
-    "all_metrics": """SELECT state, model, floor((mae) * 1e4 + 0.2718) / 1e4 AS mae, floor((rmse) * 1e4 + 0.2718) / 1e4 AS rmse,
-        floor((mape) * 1e4 + 0.2718) / 1e4 AS mape, floor((smape) * 1e4 + 0.2718) / 1e4 AS smape, floor((mase) * 1e4 + 0.2718) / 1e4 AS mase, n_val,
+    "all_metrics": """SELECT state, model, floor((mae) * 1e4 + 0.501) / 1e4 AS mae, floor((rmse) * 1e4 + 0.501) / 1e4 AS rmse,
+        floor((mape) * 1e4 + 0.501) / 1e4 AS mape, floor((smape) * 1e4 + 0.501) / 1e4 AS smape, floor((mase) * 1e4 + 0.501) / 1e4 AS mase, n_val,
         CASE WHEN model NOT LIKE '%naive' THEN n_train END AS n_train FROM metrics""",
     # records
     "parse_mixed_dates": f"SELECT {PANEL4}, seq FROM records",
@@ -421,7 +421,7 @@ QUERIES: dict[str, str] = {
         COUNT(*) AS good_dates FROM records""",
     "drop_constant_col": """SELECT state, CASE WHEN seq % 2 = 0
         THEN strftime(date, '%Y-%m-%d') ELSE strftime(date, '%d-%m-%Y') END AS date,
-        floor((sales) * 1e4 + 0.2718) / 1e4 AS sales, seq FROM records""",
+        floor((sales) * 1e4 + 0.501) / 1e4 AS sales, seq FROM records""",
     "dedupe_last": f"SELECT {PANEL4}, seq FROM clean",
     "duplicate_count": """SELECT COUNT(*) AS raw_rows, COUNT(DISTINCT (state, date)) AS kept_rows,
         COUNT(*) - COUNT(DISTINCT (state, date)) AS duplicate_rows FROM records""",
@@ -438,13 +438,13 @@ QUERIES: dict[str, str] = {
     "weekly_mean": f"SELECT {PANEL4} FROM weekly",
     "weekly_grid": f"SELECT {PANEL4} FROM grid",
     "impute_weekly": f"SELECT {PANEL4} FROM panel",
-    "impute_segments": "SELECT state, segment, date, floor((sales) * 1e4 + 0.2718) / 1e4 AS sales FROM ("
+    "impute_segments": "SELECT state, segment, date, floor((sales) * 1e4 + 0.501) / 1e4 AS sales FROM ("
     + imputed_sql("segment_grid", "state, segment")
     + ")",
     "missing_report": """SELECT state, COUNT(*) - COUNT(sales) AS missing_weeks,
         COUNT(*) AS grid_weeks,
         CAST((SELECT COUNT(*) - COUNT(sales) FROM grid) AS BIGINT) AS total_missing,
-        floor(((SELECT 100.0 * (COUNT(*) - COUNT(sales)) / COUNT(*) FROM grid)) * 1e4 + 0.2718) / 1e4 AS missing_pct
+        floor(((SELECT 100.0 * (COUNT(*) - COUNT(sales)) / COUNT(*) FROM grid)) * 1e4 + 0.501) / 1e4 AS missing_pct
         FROM grid GROUP BY 1""",
     "panel_summary": """SELECT COUNT(DISTINCT state) AS series, MIN(date) AS first_date,
         MAX(date) AS last_date, (SELECT MIN(n) FROM (SELECT COUNT(*) n FROM panel GROUP BY state))
@@ -489,8 +489,8 @@ QUERIES: dict[str, str] = {
     "missing_states": f"""SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < {VAL}
         AND o_custkey NOT IN (SELECT o_custkey FROM orders
                               WHERE o_orderdate >= {VAL} AND o_orderdate < {TEST})""",
-    "state_series": f"SELECT date, floor((sales) * 1e4 + 0.2718) / 1e4 AS sales FROM panel WHERE state = '{STATE}'",
-    "series_ds_y": f"SELECT date AS ds, floor((sales) * 1e4 + 0.2718) / 1e4 AS y FROM panel WHERE state = '{STATE}'",
+    "state_series": f"SELECT date, floor((sales) * 1e4 + 0.501) / 1e4 AS sales FROM panel WHERE state = '{STATE}'",
+    "series_ds_y": f"SELECT date AS ds, floor((sales) * 1e4 + 0.501) / 1e4 AS y FROM panel WHERE state = '{STATE}'",
     "history_tail": f"""SELECT {PANEL4} FROM (SELECT *, row_number() OVER
         (PARTITION BY state ORDER BY date DESC) AS rn FROM panel) WHERE rn <= 52""",
     "validate_splits": f"""SELECT COUNT(*) FILTER (date < {VAL}) AS train_rows,
@@ -501,24 +501,24 @@ QUERIES: dict[str, str] = {
         CAST((SELECT COUNT(DISTINCT state) FROM train
               WHERE state NOT IN (SELECT state FROM val)) AS BIGINT) AS missing_series
         FROM panel""",
-    "scaler_fit": """SELECT 'target' AS kind, state AS name, floor((lo) * 1e4 + 0.2718) / 1e4 AS lo,
-        floor((hi) * 1e4 + 0.2718) / 1e4 AS hi FROM target_range"""
+    "scaler_fit": """SELECT 'target' AS kind, state AS name, floor((lo) * 1e4 + 0.501) / 1e4 AS lo,
+        floor((hi) * 1e4 + 0.501) / 1e4 AS hi FROM target_range"""
     + "".join(
-        f" UNION ALL SELECT 'feature', '{c}', floor((lo_{c}) * 1e4 + 0.2718) / 1e4, floor((hi_{c}) * 1e4 + 0.2718) / 1e4 FROM feature_range"
+        f" UNION ALL SELECT 'feature', '{c}', floor((lo_{c}) * 1e4 + 0.501) / 1e4, floor((hi_{c}) * 1e4 + 0.501) / 1e4 FROM feature_range"
         for c in SEQ
     ),
     "scale_target": """SELECT state, date, floor((CASE WHEN hi = lo THEN 0
-        ELSE (sales - lo) / (hi - lo) END) * 1e6 + 0.2718) / 1e6 AS target_scaled
+        ELSE (sales - lo) / (hi - lo) END) * 1e6 + 0.501) / 1e6 AS target_scaled
         FROM panel JOIN target_range USING (state)""",
-    "scale_inverse": "SELECT state, date, floor((sales) * 1e4 + 0.2718) / 1e4 AS restored FROM panel",
+    "scale_inverse": "SELECT state, date, floor((sales) * 1e4 + 0.501) / 1e4 AS restored FROM panel",
     "scale_features": "SELECT state, date, "
-    + ", ".join(f"floor(({c}) * 1e6 + 0.2718) / 1e6 AS {c}" for c in SEQ)
+    + ", ".join(f"floor(({c}) * 1e6 + 0.501) / 1e6 AS {c}" for c in SEQ)
     + " FROM scaled",
     "sequence_windows": """SELECT t.state, t.date,
-        floor((CAST(CAST(t.target_scaled AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS target_scaled,
+        floor((CAST(CAST(t.target_scaled AS FLOAT) AS DOUBLE)) * 1e5 + 0.501) / 1e5 AS target_scaled,
         CAST(s.rn - t.rn + 12 AS INTEGER) AS pos, """
     + ", ".join(
-        f"floor((CAST(CAST(s.{c} AS FLOAT) AS DOUBLE)) * 1e5 + 0.2718) / 1e5 AS {c}" for c in SEQ
+        f"floor((CAST(CAST(s.{c} AS FLOAT) AS DOUBLE)) * 1e5 + 0.501) / 1e5 AS {c}" for c in SEQ
     )
     + """
         FROM numbered t JOIN numbered s
@@ -531,19 +531,19 @@ QUERIES: dict[str, str] = {
                    row_number() OVER (PARTITION BY state, {SPLIT} ORDER BY date) AS rn
             FROM features WHERE {SEQ_PRESENT}) WHERE rn > 12""",
     # baselines and closed-form models
-    "naive_forecast": "SELECT state, date, model, floor((forecast) * 1e4 + 0.2718) / 1e4 AS forecast FROM naive_future",
-    "seasonal_naive": """SELECT state, date, floor((forecast) * 1e4 + 0.2718) / 1e4 AS forecast
+    "naive_forecast": "SELECT state, date, model, floor((forecast) * 1e4 + 0.501) / 1e4 AS forecast FROM naive_future",
+    "seasonal_naive": """SELECT state, date, floor((forecast) * 1e4 + 0.501) / 1e4 AS forecast
         FROM seasonal_naive_val""",
     "future_dates": f"""SELECT state, CAST(MAX(date) + 7 * h AS DATE) AS date,
         CAST(h AS INTEGER) AS step FROM panel
         CROSS JOIN (SELECT CAST(unnest(range(1, {FUTURE_WEEKS} + 1)) AS INTEGER) AS h) GROUP BY state, h""",
     "baseline_metrics": f"""SELECT state, model, {METRIC_COLS} FROM metrics
         WHERE model LIKE '%naive'""",
-    "seasonal_ar": "SELECT state, date, model, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast FROM ar_future",
-    "decomposition": """SELECT state, date, model, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast
+    "seasonal_ar": "SELECT state, date, model, floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast FROM ar_future",
+    "decomposition": """SELECT state, date, model, floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast
         FROM panel_decomposed""",
     "insample_fit": """SELECT state, date, 'seasonal_ar' AS model,
-        floor((l52 + a + b * p) * 1e3 + 0.2718) / 1e3 AS fitted
+        floor((l52 + a + b * p) * 1e3 + 0.501) / 1e3 AS fitted
         FROM (SELECT *, regr_slope(d, p) OVER (PARTITION BY state) AS b,
                      regr_intercept(d, p) OVER (PARTITION BY state) AS a
               FROM (SELECT *, lag(d) OVER (PARTITION BY state ORDER BY date) AS p
@@ -552,29 +552,29 @@ QUERIES: dict[str, str] = {
                                      AS d FROM train)))
         WHERE l52 IS NOT NULL AND p IS NOT NULL
         UNION ALL SELECT state, date, 'decomposition',
-        floor((trend * coalesce(season, 1) * coalesce(holiday, 1)) * 1e3 + 0.2718) / 1e3
+        floor((trend * coalesce(season, 1) * coalesce(holiday, 1)) * 1e3 + 0.501) / 1e3
         FROM train_ratio LEFT JOIN train_season USING (state, wk)
         LEFT JOIN train_holiday USING (state, flag)""",
-    "custom_model": """SELECT n.state, n.date, 'mean' AS model, floor((m) * 1e3 + 0.2718) / 1e3 AS forecast
+    "custom_model": """SELECT n.state, n.date, 'mean' AS model, floor((m) * 1e3 + 0.501) / 1e3 AS forecast
         FROM naive_future n JOIN (SELECT state, AVG(sales) AS m FROM panel GROUP BY 1)
         USING (state)""",
     # metrics and selection
     "forecast_metrics": f"SELECT state, model, {METRIC_COLS} FROM metrics",
-    "align_eval": """SELECT p.state, p.date, p.model, floor((p.forecast) * 1e3 + 0.2718) / 1e3 AS forecast,
-        floor((v.sales) * 1e3 + 0.2718) / 1e3 AS actual FROM preds p JOIN val v USING (state, date)""",
-    "mase": "SELECT state, floor((mase_scale) * 1e4 + 0.2718) / 1e4 AS mase_scale, n_train FROM mase_scales",
+    "align_eval": """SELECT p.state, p.date, p.model, floor((p.forecast) * 1e3 + 0.501) / 1e3 AS forecast,
+        floor((v.sales) * 1e3 + 0.501) / 1e3 AS actual FROM preds p JOIN val v USING (state, date)""",
+    "mase": "SELECT state, floor((mase_scale) * 1e4 + 0.501) / 1e4 AS mase_scale, n_train FROM mase_scales",
     "leaderboard": f"""SELECT model, {BOARD}, round(median_rmse, 2) AS median_rmse, states_count
         FROM board""",
     "model_comparison": "SELECT model, "
     + ", ".join(
-        f"floor((AVG({c})) * 1e4 + 0.2718) / 1e4 AS mean_{c}, floor((median({c})) * 1e4 + 0.2718) / 1e4 AS median_{c}"
+        f"floor((AVG({c})) * 1e4 + 0.501) / 1e4 AS mean_{c}, floor((median({c})) * 1e4 + 0.501) / 1e4 AS median_{c}"
         for c in ("mae", "rmse", "smape", "mase")
     )
     + " FROM metrics GROUP BY 1",
-    "baseline_summary": """SELECT model, floor((median_smape) * 1e4 + 0.2718) / 1e4 AS median_smape,
-        floor((median_mae) * 1e4 + 0.2718) / 1e4 AS median_mae FROM board WHERE model LIKE '%naive'""",
-    "improvement": """SELECT model, floor((median_smape) * 1e4 + 0.2718) / 1e4 AS median_smape,
-        CASE WHEN base > 0 THEN floor(((1 - median_smape / base) * 100) * 1e4 + 0.2718) / 1e4 END AS improvement_pct
+    "baseline_summary": """SELECT model, floor((median_smape) * 1e4 + 0.501) / 1e4 AS median_smape,
+        floor((median_mae) * 1e4 + 0.501) / 1e4 AS median_mae FROM board WHERE model LIKE '%naive'""",
+    "improvement": """SELECT model, floor((median_smape) * 1e4 + 0.501) / 1e4 AS median_smape,
+        CASE WHEN base > 0 THEN floor(((1 - median_smape / base) * 100) * 1e4 + 0.501) / 1e4 END AS improvement_pct
         FROM board, (SELECT median_smape AS base FROM board WHERE model = 'seasonal_naive')""",
     "select_best": f"SELECT {SELECTED} FROM selection",
     "winner_counts": "SELECT best_model, COUNT(*) AS states_won FROM selection GROUP BY 1",
@@ -592,14 +592,14 @@ QUERIES: dict[str, str] = {
         WHERE place = 1 ORDER BY metrics_rank LIMIT 5""".replace(
         "ORDER BY metrics_rank", "ORDER BY smape DESC, state"
     ),
-    "spread_states": """SELECT state, model, floor((smape) * 1e4 + 0.2718) / 1e4 AS smape FROM metrics
+    "spread_states": """SELECT state, model, floor((smape) * 1e4 + 0.501) / 1e4 AS smape FROM metrics
         WHERE state IN (SELECT state FROM metrics GROUP BY state
                         ORDER BY MAX(smape) - MIN(smape) DESC, state LIMIT 15)""",
-    "ensemble_weights": """SELECT state, floor((w_best) * 1e6 + 0.2718) / 1e6 AS w_best,
-        floor((w_second) * 1e6 + 0.2718) / 1e6 AS w_second FROM weights""",
-    "ensemble_blend": """SELECT state, date, best_model, second_model, floor((w_best) * 1e3 + 0.2718) / 1e3 AS w_best,
-        floor((w_second) * 1e3 + 0.2718) / 1e3 AS w_second, floor((best_forecast) * 1e3 + 0.2718) / 1e3 AS best_forecast,
-        floor((second_forecast) * 1e3 + 0.2718) / 1e3 AS second_forecast, blended, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast
+    "ensemble_weights": """SELECT state, floor((w_best) * 1e6 + 0.501) / 1e6 AS w_best,
+        floor((w_second) * 1e6 + 0.501) / 1e6 AS w_second FROM weights""",
+    "ensemble_blend": """SELECT state, date, best_model, second_model, floor((w_best) * 1e3 + 0.501) / 1e3 AS w_best,
+        floor((w_second) * 1e3 + 0.501) / 1e3 AS w_second, floor((best_forecast) * 1e3 + 0.501) / 1e3 AS best_forecast,
+        floor((second_forecast) * 1e3 + 0.501) / 1e3 AS second_forecast, blended, floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast
         FROM blend_val""",
     "ensemble_validation": """SELECT state, best_model, second_model,
         round(w_best, 3) AS w_best, round(w_second, 3) AS w_second,
@@ -607,10 +607,10 @@ QUERIES: dict[str, str] = {
         blend_smape < best_smape AS improved FROM ensemble_check""",
     "ensemble_summary": """SELECT COUNT(*) FILTER (blend_smape < best_smape) AS improved_states,
         COUNT(*) AS total_states,
-        floor(AVG(round(best_smape, 2) - round(blend_smape, 2)) * 1e3 + 0.2718) / 1e3
+        floor(AVG(round(best_smape, 2) - round(blend_smape, 2)) * 1e3 + 0.501) / 1e3
             AS mean_delta
         FROM ensemble_check""",
-    "final_forecast": """SELECT state, date, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used
+    "final_forecast": """SELECT state, date, floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast, model_used
         FROM final""",
     "model_usage": "SELECT model_used, COUNT(*) AS total_rows FROM final GROUP BY 1",
     # backtest
@@ -619,23 +619,23 @@ QUERIES: dict[str, str] = {
     "backtest_closed": f"""SELECT CAST(split_part(fs, '|', 1) AS INTEGER) AS fold,
         split_part(fs, '|', 2) AS state, model, {METRIC_COLS} FROM fmetrics""",
     "backtest_by_fold": """SELECT model, CAST(split_part(fs, '|', 1) AS INTEGER) AS fold,
-        floor((median(smape)) * 1e4 + 0.2718) / 1e4 AS median_smape FROM fmetrics GROUP BY 1, 2""",
-    "backtest_summary": """SELECT model, floor((median(smape)) * 1e4 + 0.2718) / 1e4 AS median_smape,
-        floor((AVG(smape)) * 1e4 + 0.2718) / 1e4 AS mean_smape, floor((stddev_samp(smape)) * 1e4 + 0.2718) / 1e4 AS std_smape
+        floor((median(smape)) * 1e4 + 0.501) / 1e4 AS median_smape FROM fmetrics GROUP BY 1, 2""",
+    "backtest_summary": """SELECT model, floor((median(smape)) * 1e4 + 0.501) / 1e4 AS median_smape,
+        floor((AVG(smape)) * 1e4 + 0.501) / 1e4 AS mean_smape, floor((stddev_samp(smape)) * 1e4 + 0.501) / 1e4 AS std_smape
         FROM fmetrics GROUP BY 1""",
     # lookups
     "serve_states": "SELECT DISTINCT state FROM final",
-    "lookup_ci": f"""SELECT state, date, floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used FROM final
+    "lookup_ci": f"""SELECT state, date, floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast, model_used FROM final
         WHERE state = '{STATE}'""",
     "forecast_for_state": f"""SELECT state, COUNT(*) OVER () AS horizon_weeks, date,
-        floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used FROM final WHERE state = '{STATE}'""",
+        floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast, model_used FROM final WHERE state = '{STATE}'""",
     "all_forecasts": """SELECT state, COUNT(*) OVER (PARTITION BY state) AS horizon_weeks, date,
-        floor((forecast) * 1e3 + 0.2718) / 1e3 AS forecast, model_used FROM final""",
-    "model_info": """SELECT s.state, best_model, floor((best_smape) * 1e4 + 0.2718) / 1e4 AS best_smape,
-        floor((best_mae) * 1e4 + 0.2718) / 1e4 AS best_mae, second_model, ensemble_eligible,
+        floor((forecast) * 1e3 + 0.501) / 1e3 AS forecast, model_used FROM final""",
+    "model_info": """SELECT s.state, best_model, floor((best_smape) * 1e4 + 0.501) / 1e4 AS best_smape,
+        floor((best_mae) * 1e4 + 0.501) / 1e4 AS best_mae, second_model, ensemble_eligible,
         CAST(COUNT(*) OVER (PARTITION BY s.state) AS INTEGER) AS n_models, model,
-        floor((mae) * 1e4 + 0.2718) / 1e4 AS mae, floor((rmse) * 1e4 + 0.2718) / 1e4 AS rmse, floor((smape) * 1e4 + 0.2718) / 1e4 AS smape,
-        floor((mase) * 1e4 + 0.2718) / 1e4 AS mase FROM selection s JOIN metrics m ON m.state = s.state""",
+        floor((mae) * 1e4 + 0.501) / 1e4 AS mae, floor((rmse) * 1e4 + 0.501) / 1e4 AS rmse, floor((smape) * 1e4 + 0.501) / 1e4 AS smape,
+        floor((mase) * 1e4 + 0.501) / 1e4 AS mase FROM selection s JOIN metrics m ON m.state = s.state""",
     "leaderboard_wins": f"""SELECT model, {BOARD}, coalesce(states_won, 0) AS states_won
         FROM board LEFT JOIN (SELECT best_model AS model, COUNT(*) AS states_won
                               FROM selection GROUP BY 1) USING (model)""",

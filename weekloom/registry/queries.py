@@ -42,15 +42,13 @@ TEST_START = "2000-12-30"
 ONE_STATE = "NATION_7"
 LOOKUP_TEXT = "  nation_7 "
 SEGMENTS = PanelSpec(("state", "segment"))
-# Small ensembles keep the trained queries short; the library default is larger.
-TREES = {"maxIter": 15, "maxDepth": 5, "stepSize": 0.2}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(places: int | None = 4) -> Callable[[Query], Query]:
-    """Register a query; doubles are put on a grid so that summation order cannot show."""
+    """Register a query; its doubles are rounded to ``places``."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,11 +63,11 @@ def query(places: int | None = 4) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, places: int) -> DataFrame:
-    """floor(x * 10^p + 0.2718) / 10^p: unlike ``round``, never cuts at a decimal tie."""
-    grid = float(10**places)
+    """Doubles rounded half up; what lies a thousandth of a step below a tie counts as one."""
+    step = float(10**places)
     return df.select(
         *[
-            (F.floor(F.col(f.name).cast("double") * grid + 0.2718) / grid).alias(f.name)
+            (F.floor(F.col(f.name).cast("double") * step + 0.501) / step).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
             else F.col(f.name)
             for f in df.schema.fields
@@ -188,7 +186,7 @@ def all_metrics(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
     path = staged_path(spark, "model")
-    PooledTrees(**TREES).fit(rows).save(path)
+    PooledTrees().fit(rows).save(path)
     return PooledTrees.load(spark, path).predict_onestep(rows.filter("split = 'val'"))
 
 
@@ -384,7 +382,7 @@ def feature_null_counts(spark, sf_dir):
 
 @query(None)
 def encode_state(spark, sf_dir):
-    return encode.encode_keys(star(spark, sf_dir).orders())
+    return encode.encode_keys(weekly(spark, sf_dir).cells)
 
 
 @query(None)
@@ -407,7 +405,7 @@ QUERIES["recursive_features"] = QUERIES.pop("recursive_features_query")
 
 @query()
 def temporal_split(spark, sf_dir):
-    parts = split.temporal_split(weekly(spark, sf_dir).panel(), VAL_START, TEST_START)
+    parts = split.temporal_split(stored_panel(spark, sf_dir), VAL_START, TEST_START)
     return reduce(
         lambda a, b: a.unionByName(b),
         [part.withColumn("split", F.lit(name)) for name, part in parts.items()],
@@ -714,7 +712,7 @@ def backtest_summary(spark, sf_dir):
 
 @query(None)
 def backtest_gbt(spark, sf_dir):
-    return training.backtest_trained(stored_panel(spark, sf_dir), tree_params=TREES)
+    return training.backtest_trained(stored_panel(spark, sf_dir))
 
 
 # Trained models --------------------------------------------------------------------
@@ -723,7 +721,7 @@ def backtest_gbt(spark, sf_dir):
 @query(None)
 def gbt_fit(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
-    fitted = PooledTrees(**TREES).fit(rows)
+    fitted = PooledTrees().fit(rows)
     return fitted.predict_onestep(rows.filter("split <> 'train'"))
 
 
@@ -731,19 +729,19 @@ def gbt_fit(spark, sf_dir):
 def onestep_eval(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
     val = rows.filter("split = 'val'")
-    fitted = PooledTrees(**TREES).fit(rows)
+    fitted = PooledTrees().fit(rows)
     return metrics.forecast_metrics(fitted.predict_onestep(val), val)
 
 
 @query(None)
 def feature_importance(spark, sf_dir):
-    return PooledTrees(**TREES).fit(stored_features(spark, sf_dir)).feature_importance(spark)
+    return PooledTrees().fit(stored_features(spark, sf_dir)).feature_importance(spark)
 
 
 @query(None)
 def recursive_gbt(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
-    fitted = PooledTrees(**TREES).fit(rows)
+    fitted = PooledTrees().fit(rows)
     return fitted.predict_recursive(rows.select("state", "date", "sales"))
 
 
@@ -767,7 +765,7 @@ def recursive_seq(spark, sf_dir):
 def evaluate_models(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
     ev = training.evaluation(rows, VAL_START, TEST_START)
-    models = training.fit_trained(rows, tree_params=TREES)
+    models = training.fit_trained(rows)
     forecasts = ev.closed_forecasts().unionByName(ev.trained_forecasts(models))
     return ev.metrics(stage(forecasts, "candidates"))
 
@@ -775,7 +773,7 @@ def evaluate_models(spark, sf_dir):
 @query(None)
 def final_forecast_all(spark, sf_dir):
     run = training.select_and_forecast(
-        stored_panel(spark, sf_dir), VAL_START, TEST_START, with_trained=True, tree_params=TREES
+        stored_panel(spark, sf_dir), VAL_START, TEST_START, with_trained=True
     )
     return run["forecasts"]
 
