@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BATCH = 1000
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, by exact name and first position.
 
@@ -56,7 +59,20 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ends - ends[0], raw[ends[0] : ends[-1]]
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def long_rows(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands Python at most ``BATCH`` rows at once.
+
+    Texts are long: the usual ten thousand rows of a batch would be most of a worker's
+    memory.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(setting)) <= BATCH:
+        spark.conf.set(setting, str(BATCH))
+    return df
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch where its texts reach ``limit`` bytes, so that buffers stay small.
 
     A single text is never cut: a slice holds one row at least.

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import pick, slices
+from weekloom.llm.common import long_rows, pick, slices
 from weekloom.sources.staging import staged_path
 
 BLOCK = 4096
@@ -355,7 +355,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     # A hash of the text divides an id that very many rows repeat.
-    keyed = rows.withColumn("k", F.xxhash64("text"))
+    keyed = long_rows(rows).withColumn("k", F.xxhash64("text"))
     ordered = keyed.repartitionByRange("doc_id", "k").sortWithinPartitions("doc_id", "k", "text")
     ordered.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, SEGMENTS).write.option(
         "compression", "none"

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import mix64, pick, slices
+from weekloom.llm.common import long_rows, mix64, pick, slices
 
 SAMPLES = 2
 ALPHA = 0.5
@@ -71,7 +71,6 @@ class Vocabulary:
                 found.setdefault(len(points), []).append((int(code), i))
         self.unknown = float(self.weight.min())
         self.sizes = sorted(found)
-        self.longest = max(self.sizes)
         self.tables = {}
         for size, rows in found.items():
             rows.sort()
@@ -106,7 +105,7 @@ def hashes(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, size: int) -
 
 
 class Lattice:
-    """Edges of distinct units as dense tables over (node, length of the piece).
+    """Edges of distinct units, those of a node next to each other in order of length.
 
     A unit of n characters has n + 1 nodes; node ``k`` of unit ``u`` starts its
     character ``k``, the last one ends the unit.
@@ -121,12 +120,9 @@ class Lattice:
         left = ends[owner] - np.arange(len(points))
         self.start = ends - length + np.arange(len(units))
         self.stop = self.start + length
-        total, wide = len(points) + len(units), voc.longest
-        self.points = np.zeros(total, np.uint32)
-        self.points[node] = points
-        self.piece = np.zeros((total, wide), np.int32)
-        self.weight = np.full((total, wide), -np.inf, np.float32)
-        sums = prefix(points)
+        total = len(points) + len(units)
+        froms, pieces, sums = [], [], prefix(points)
+        single = np.zeros(len(points), bool)
         for size in voc.sizes:
             at = np.flatnonzero(left >= size)
             codes, ids, near = voc.tables[size]
@@ -135,33 +131,67 @@ class Lattice:
             at, code = at[maybe], code[maybe]
             where = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             hit = codes[where] == code
-            at, own = at[hit], ids[where[hit]]
-            self.piece[node[at], size - 1] = own
-            self.weight[node[at], size - 1] = voc.weight[own]
-        bare = node[np.isneginf(self.weight[node, 0])]
-        code = self.points[bare]
+            froms.append(node[at[hit]])
+            pieces.append(ids[where[hit]])
+            if size == 1:
+                single[at[hit]] = True
+        bare = np.flatnonzero(~single)
+        code = points[bare].astype(np.int64)
         # One byte is a piece; more are marked by the negative of their character.
-        self.piece[bare, 0] = np.where(code < 128, BYTE + code, -code.astype(np.int64))
         n_bytes = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
-        self.weight[bare, 0] = voc.unknown * n_bytes
-        self.solve(node, left)
-
-    def solve(self, node: np.ndarray, left: np.ndarray) -> None:
+        froms.insert(0, node[bare])
+        pieces.insert(0, np.where(code < 128, BYTE + code, -code).astype(np.int32))
+        extra = [voc.unknown * n_bytes, *(voc.weight[i] for i in pieces[1:])]
+        sizes = [np.full(len(f), n) for f, n in zip(froms, [1, *voc.sizes], strict=True)]
+        at = np.concatenate(froms)
+        order = np.argsort(at, kind="stable")  # runs in order: merged, not sorted
+        self.piece = np.concatenate(pieces)[order]
+        self.size = np.concatenate(sizes)[order].astype(np.int8)
+        counts = np.bincount(at, minlength=total)
+        self.first = np.cumsum(counts) - counts
+        self.count = counts
+        weight = np.concatenate(extra)[order].astype(np.float64)
+        self.solve(node, left, at[order] + self.size, weight)
+
+    def solve(self, node: np.ndarray, left: np.ndarray, to: np.ndarray, weight: np.ndarray) -> None:
         """Conditional probabilities of edges, from sums over what follows them."""
-        wide = self.weight.shape[1]
-        after = np.zeros(len(self.weight) + wide)
-        order = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[order], np.arange(1, (left.max() if len(left) else 0) + 2))
-        ahead = np.arange(1, wide + 1)
-        self.cum = np.ones(self.weight.shape, np.float64)
-        for n, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False), 1):
-            own, reach = node[order[a:z]], min(n, wide)
-            score = self.weight[own, :reach] + after[own[:, None] + ahead[:reach]]
-            top = score.max(1)
-            mass = np.exp(score - top[:, None]).cumsum(1)
-            after[own] = top + np.log(mass[:, -1])
-            self.cum[own, :reach] = mass / mass[:, -1:]
-        del self.weight
+        after = np.zeros(len(self.first))
+        self.share, self.upto = weight, np.empty(len(weight))
+        order = np.argsort(left.astype(np.int32), kind="stable")
+        cuts = np.cumsum(np.bincount(left)) if len(left) else np.zeros(1, np.int64)
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            if a == z:
+                continue
+            own = node[order[a:z]]
+            count = self.count[own]
+            at = spread(self.first[own], count)
+            score, heads = weight[at] + after[to[at]], np.cumsum(count) - count
+            top = np.maximum.reduceat(score, heads)
+            mass = np.exp(score - np.repeat(top, count))
+            total = np.add.reduceat(mass, heads)
+            after[own] = top + np.log(total)
+            mass /= np.repeat(total, count)
+            run = np.cumsum(mass)
+            before = run[heads] - mass[heads]
+            self.share[at], self.upto[at] = mass, run - np.repeat(before, count)
+
+    def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each node into whose part of (0, 1) its number falls."""
+        edge, last = self.first[node], self.first[node] + self.count[node] - 1
+        todo = np.flatnonzero(edge < last)
+        while len(todo):
+            todo = todo[(self.upto[edge[todo]] <= u[todo])]
+            edge[todo] += 1
+            todo = todo[edge[todo] < last[todo]]
+        return edge
+
+    def rows(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(edges, shares) of the nodes as tables; the edges of shorter rows repeat the last."""
+        wide = int(self.count[node].max(initial=1))
+        at = np.minimum(np.arange(wide), self.count[node][:, None] - 1)
+        edges = self.first[node][:, None] + at
+        real = np.arange(wide) < self.count[node][:, None]
+        return edges, np.where(real, self.share[edges], 0.0)
 
 
 def mixed(start: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
@@ -189,13 +219,13 @@ def below(top: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 class Steps:
-    """Edges of paths in order: node, length, log-probability, and the unit they are in."""
+    """Edges of paths in order: their node, the edge, its log-probability, and the unit."""
 
-    def __init__(self, node, size, logp, unit) -> None:
-        self.node, self.size, self.logp, self.unit = node, size, logp, unit
+    def __init__(self, *columns: np.ndarray) -> None:
+        self.node, self.edge, self.logp, self.unit = self.columns = columns
 
     def take(self, at: np.ndarray) -> list[np.ndarray]:
-        return [x[at] for x in (self.node, self.size, self.logp, self.unit)]
+        return [x[at] for x in self.columns]
 
 
 def forward(lat: Lattice, node: np.ndarray, stop: np.ndarray, unit: np.ndarray, key: np.ndarray,
@@ -207,20 +237,19 @@ def forward(lat: Lattice, node: np.ndarray, stop: np.ndarray, unit: np.ndarray,
     key = mixed(key, round_, unit)
     while len(active):
         at = now[active]
-        u, rows, k = uniform(mixed(key[active], t)), lat.cum[at], np.arange(len(active))
-        size = np.minimum((rows <= u[:, None]).sum(1) + 1, rows.shape[1])
-        chance = rows[k, size - 1] - np.where(size > 1, rows[k, np.maximum(size - 2, 0)], 0.0)
-        parts.append((active, np.full(len(active), t), at, size, chance))
-        now[active] += size
+        edge = lat.choose(at, uniform(mixed(key[active], t)))
+        parts.append((active, np.full(len(active), t, np.int32), at, edge))
+        now[active] += lat.size[edge]
         counts[active] += 1
         active, t = active[now[active] < stop[active]], t + 1
     if not parts:
         empty = np.zeros(0, np.int64)
         return Steps(empty, empty, np.zeros(0), empty), counts
-    who, when, at, size, chance = (np.concatenate(c) for c in zip(*parts, strict=True))
+    who, when, at, edge = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.empty(len(who), np.int64)
     order[(np.cumsum(counts) - counts)[who] + when] = np.arange(len(who))
-    return Steps(at[order], size[order], np.log(chance[order]), unit[who[order]]), counts
+    edge = edge[order]
+    return Steps(at[order], edge, np.log(lat.share[edge]), unit[who[order]]), counts
 
 
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -257,13 +286,13 @@ def segment(
         who = who[order]
         base = np.where(units >= starts[who], units - starts[who], 0)
         steps, n = forward(lat, nodes, stops, base, seeds[who], round_)
-        steps.unit = np.repeat(units, n)
+        steps = Steps(steps.node, steps.edge, steps.logp, np.repeat(units, n))
         return steps, np.bincount(who, n, len(texts)).astype(np.int64)
 
     nothing = np.zeros(len(texts), np.int64)
     steps, counts = suffix(docs, starts, nothing, nothing, 0)
     top = gumbel(uniform(key_of(keys, 0xA5)))
-    heaps: list[list[tuple]] = [[] for _ in texts]  # (value, step, shut lengths, prefix logp)
+    heaps: list[list[tuple]] = [[] for _ in texts]  # (value, step, shut edges, prefix logp)
     results: list[list[tuple]] = [[] for _ in texts]
     live, lead = docs, nothing  # texts of this round, edges of their paths that are not new
     history = steps
@@ -299,7 +328,7 @@ def segment(
                 _, once = np.unique(who[hit], return_index=True)
                 for h in hit[once].tolist():
                     step = int(own[h])
-                    shut = (int(history.size[step]),)
+                    shut = (int(history.edge[step]),)
                     heaps[who[h]].append((float(value[h]), step, shut, float(prior[h])))
                 value[hit[once]] = -np.inf
         if round_ + 1 == samples:
@@ -314,13 +343,14 @@ def segment(
         top = top.copy()
         top[live] = [r[0] for _, r in picked]
         node, unit = history.node[step], history.unit[step]
-        share = np.diff(lat.cum[node], axis=1, prepend=0.0)
+        edges, share = lat.rows(node)
         for j, (_, r) in enumerate(picked):
-            share[j, np.array(r[2]) - 1] = 0.0
+            share[j, np.isin(edges[j], r[2])] = 0.0
         mass = share.cumsum(1)
         u = uniform(mixed(seeds[live], 0xC3, round_, unit - starts[live])) * mass[:, -1]
-        size = np.minimum((mass <= u[:, None]).sum(1), mass.shape[1] - 1) + 1
-        chance = share[np.arange(len(live)), size - 1]
+        column = np.minimum((mass <= u[:, None]).sum(1), mass.shape[1] - 1)
+        edge = edges[np.arange(len(live)), column]
+        chance = share[np.arange(len(live)), column]
         left = mass[:, -1] - chance
         prior_at = np.array([r[3] for _, r in picked])
         for j, (d, r) in enumerate(picked):
@@ -328,26 +358,26 @@ def segment(
             if left[j] > 1e-12:
                 noise = gumbel(uniform(mixed(seeds[d : d + 1], 0x77, round_)))[0]
                 value_left = float(below(top[d], prior_at[j] + np.log(left[j]) + noise))
-                heaps[d].append((value_left, r[1], (*r[2], int(size[j])), r[3]))
+                heaps[d].append((value_left, r[1], (*r[2], int(edge[j])), r[3]))
         # The new paths: what came before the region, its edge, and a sampled rest.
         parent = np.array([next(o for o, c, _ in results[d] if o <= s < o + c)
                            for (d, r) in picked for s in (r[1],)], np.int64)
         n_head = step - parent
-        tail, n_tail = suffix(live, unit + 1, node + size, lat.stop[flat[unit]], round_ + 1)
+        tail, n_tail = suffix(live, unit + 1, node + lat.size[edge], lat.stop[flat[unit]], round_ + 1)
         head = spread(parent, n_head)
         owner = np.concatenate([np.repeat(live, n_head), live, np.repeat(docs, n_tail)])
         order = np.argsort(owner, kind="stable")
         with np.errstate(divide="ignore"):
-            edge = [node, size, np.log(chance), unit]
-        parts = zip(history.take(head), edge, (tail.node, tail.size, tail.logp, tail.unit), strict=True)
+            turn = [node, edge, np.log(chance), unit]
+        parts = zip(history.take(head), turn, tail.columns, strict=True)
         fresh_steps = [np.concatenate(p)[order] for p in parts]
         counts = np.bincount(owner, minlength=len(texts)).astype(np.int64)
         offset = len(history.node) + np.cumsum(counts) - counts
         lead = np.zeros(len(texts), np.int64)
         lead[live] = n_head + 1
-        history = Steps(*(np.concatenate([a, b]) for a, b in zip(
-            (history.node, history.size, history.logp, history.unit), fresh_steps, strict=True)))
-    ids = lat.piece[history.node, history.size - 1]
+        both = zip(history.columns, fresh_steps, strict=True)
+        history = Steps(*(np.concatenate(pair) for pair in both))
+    ids = lat.piece[history.edge]
     out = []
     for d in docs.tolist():
         bar = max((h[0] for h in heaps[d]), default=-np.inf)
@@ -416,7 +446,7 @@ def encode(
                     names=["doc_id", "text_crc32", "segmentations", "logps", "inclusions"],
                 )
 
-    rows = pick(docs, "doc_id", "text")
+    rows = pick(long_rows(docs), "doc_id", "text")
     return rows.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, SCHEMA)
 
 

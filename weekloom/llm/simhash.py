@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import keep_rows, pick, row_key
+from weekloom.llm.common import keep_rows, long_rows, pick, row_key
 from weekloom.llm.components import components
 from weekloom.sources.staging import stage
 
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     rows = pick(docs, "doc_id", "text").select(
         row_key().alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("binary")
     )
-    return rows.mapInArrow(run, "key long, doc_id long, fp long")
+    return long_rows(rows).mapInArrow(run, "key long, doc_id long, fp long")
 
 
 # Shards ----------------------------------------------------------------------------

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import keep_rows, pick, row_key, slices
+from weekloom.llm.common import keep_rows, long_rows, pick, row_key, slices
 from weekloom.sources.staging import stage
 
 MAX_EXAMPLES = 5_000
@@ -159,7 +159,7 @@ def vectors(docs: DataFrame, words: list[str]) -> DataFrame:
     rows = pick(docs, "doc_id", "text").select(
         row_key().alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("binary")
     )
-    return rows.mapInArrow(run, "key long, doc_id long, ids array<int>, counts array<int>")
+    return long_rows(rows).mapInArrow(run, "key long, doc_id long, ids array<int>, counts array<int>")
 
 
 # Index -----------------------------------------------------------------------------

@@ -25,7 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import byte_view, keep_rows, mix64, pick, row_key, slices, span_hashes
+from weekloom.llm.common import (
+    byte_view,
+    keep_rows,
+    long_rows,
+    mix64,
+    pick,
+    row_key,
+    slices,
+    span_hashes,
+)
 
 WINDOW = 10
 K = 5
@@ -240,7 +249,7 @@ def hits(
                         names=["key", "doc_id", "n_words", "spans", "items", "part"],
                     )
 
-        found_in = rows.mapInArrow(run, schema)
+        found_in = long_rows(rows).mapInArrow(run, schema)
         if p:
             found_in = found_in.filter(F.size("spans") > 0)
         out = found_in if out is None else out.unionByName(found_in)
