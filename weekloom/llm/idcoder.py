@@ -37,7 +37,7 @@ from weekloom.llm.common import long_rows, pick, slices
 from weekloom.sources.staging import staged_path
 
 BLOCK = 4096
-LANES = 2048
+LANES = 1024
 SLOTS = 1 << 11
 MAGIC = b"IDC1"
 HEAD = struct.Struct("<4sIBI")  # magic, ids, bits of an id, checksum
@@ -45,7 +45,7 @@ HEAD = struct.Struct("<4sIBI")  # magic, ids, bits of an id, checksum
 UNIT, FLOOR, RATE = 12, 16, 5
 LOW, HIGH = np.uint64(1 << 32), np.uint64(1 << 48)
 WORD = np.uint64(16)
-CACHE = 400_000
+CACHE = 150_000
 
 # Models ----------------------------------------------------------------------------
 
@@ -183,7 +183,8 @@ def encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
     """Payloads of the rows of ``ids``, blocks of one length; ids have 16 or 28 bits."""
     n, steps = ids.shape
     ids = np.ascontiguousarray(ids.T)
-    model, out = Predictor(n), Writer(n, steps * (bits // 8 + 1) + 8)
+    # An id costs 28 bits at most, or 40 with the longer ids: the floors see to that.
+    model, out = Predictor(n), Writer(n, steps * (bits // 12 + 1) + 8)
     zero = np.zeros(n, np.int32)
     for own in ids:
         two, one = model.look()
