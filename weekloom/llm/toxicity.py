@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 A text's terms are its lower-cased letter runs and the prefixes of longer ones, which carry
-inflected and compounded words. The vocabulary is chosen on labelled examples: terms that
+inflected and compounded words; a prefix met twice or more is a term of its own. The vocabulary is chosen on labelled examples: terms that
 mark the toxic ones beyond chance, at most ``VOCABULARY``. Every document of the corpus
 gets its term counts over that vocabulary in one pass; document frequencies are counted on
 all of them. Examples are stored as an inverted index whose posting lists are cut in
@@ -49,13 +49,14 @@ TERM = re.compile(r"[^\W\d_]{1,40}")
 
 
 def terms(text: str | None) -> Counter:
-    """Counts of words and of word prefixes."""
+    """Counts of words (``w``), of word prefixes (``w*``), and of those met twice (``w**``)."""
     out: Counter = Counter()
     for word, n in Counter(TERM.findall(text.lower() if text else "")).items():
         out[word] += n
         for size in PREFIXES:
             if len(word) > size:
                 out[word[:size] + "*"] += n
+    out.update({w + "*": n for w, n in out.items() if n > 1 and w[-1] == "*"})
     return out
 
 
@@ -126,26 +127,35 @@ def decoded(raw: bytes | None) -> str | None:
 
 def vectors(docs: DataFrame, words: list[str]) -> DataFrame:
     """(key, doc_id, ids, counts): term counts of every document over the vocabulary."""
-    number = {w: i for i, w in enumerate(words)}
-    stems = {s: {w for w in words if w.endswith("*") and len(w) == s + 1} for s in PREFIXES}
-    sizes = [s for s in PREFIXES if stems[s]]
+    number = {w: i for i, w in enumerate(words) if not w.endswith("*")}
+    stems = {w.rstrip("*"): [-1, -1] for w in words if w.endswith("*")}
+    for i, w in enumerate(words):
+        if w.endswith("*"):
+            stems[w.rstrip("*")][w.endswith("**")] = i
+    sizes = sorted({len(s) for s in stems})
 
     def counts(text: str | None) -> list[tuple[int, int]]:
         out: dict[int, int] = {}
         if text:
+            begun: dict[str, int] = {}
             for word, n in Counter(TERM.findall(text.lower())).items():
-                i = number.get(word)
-                if i is not None:
-                    out[i] = out.get(i, 0) + n
+                if word in number:
+                    out[number[word]] = n
                 for s in sizes:
-                    if len(word) > s and (i := number.get(word[:s] + "*")) is not None:
-                        out[i] = out.get(i, 0) + n
+                    if len(word) > s and word[:s] in stems:
+                        begun[word[:s]] = begun.get(word[:s], 0) + n
+            for stem, n in begun.items():
+                once, twice = stems[stem]
+                if once >= 0:
+                    out[once] = n
+                if twice >= 0 and n > 1:
+                    out[twice] = n
         return sorted(out.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 2):
-                found = [counts(decoded(v.as_py())) if number else [] for v in batch.column(2)]
+                found = [counts(decoded(v.as_py())) if words else [] for v in batch.column(2)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
@@ -238,7 +248,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Da
     # At most 2 * most labels: a bounded broadcast. Repeated rows count once.
     rows = pick(docs, "doc_id", "text")
     examples = rows.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id", "text"])
-    words = vocabulary(stage(examples.select("text", "toxic"), "toxicity-examples"))
+    # Copies of a text are one example of its terms.
+    texts = examples.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    words = vocabulary(stage(texts.select("text", "toxic"), "toxicity-examples"))
     counted = stage(vectors(docs, words), "toxicity-vectors")
     total = counted.count()
     df = np.zeros(len(words))
