@@ -42,6 +42,8 @@ HEADLINES = [
     "seq_linear",
     "recursive_seq",
     "evaluate_models",
+    "final_forecast_all",
+    "backtest_gbt",
     "forecast_for_state",
 ]
 

@@ -183,6 +183,44 @@ def decomposition(
     )
 
 
+def decomposition_coefficients(history: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
+    """The fitted model of every series as one row: what a later prediction needs.
+
+    (keys, first_date, level, slope, season by week, holiday by flag); a plain table, so
+    saving and loading it is writing and reading Parquet.
+    """
+    day = F.col(spec.time)
+    fit = decomposition_fit(history, 0, spec).withColumns(
+        {"_week": F.least(F.weekofyear(day), F.lit(52)), "_flag": holiday_week(day)}
+    )
+    weeks = F.date_diff(F.max(day), F.min(day)) / 7
+    rise = F.max_by("trend", day) - F.min_by("trend", day)
+    # At most one entry for each week of a year, and one for each flag.
+    table = lambda k, v: F.map_from_entries(F.collect_set(F.struct(k, v)))
+    return fit.groupBy(*spec.keys).agg(
+        F.min(day).alias("first_date"),
+        F.min_by("trend", day).alias("level"),
+        (rise / F.nullif(weeks, F.lit(0.0))).alias("slope"),
+        table("_week", "season").alias("season"),
+        table("_flag", "holiday").alias("holiday"),
+    )
+
+
+def decomposition_predict(
+    coefficients: DataFrame, rows: DataFrame, spec: PanelSpec = DEFAULT
+) -> DataFrame:
+    """(keys, time, model, forecast) for given dates; weeks never seen count as average."""
+    day = F.col(spec.time)
+    joined = rows.select(*spec.cell).join(coefficients, list(spec.keys))
+    trend = F.col("level") + F.col("slope") * (F.date_diff(day, F.col("first_date")) / 7)
+    season = F.try_element_at("season", F.least(F.weekofyear(day), F.lit(52)))
+    holiday = F.try_element_at("holiday", holiday_week(day))
+    value = trend * F.coalesce(season, F.lit(1.0)) * F.coalesce(holiday, F.lit(1.0))
+    return joined.select(
+        *spec.cell, F.lit("decomposition").alias("model"), value.alias("forecast")
+    ).filter(F.col("forecast").isNotNull())
+
+
 def decomposition_insample(history: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     rows = decomposition_fit(history, 0, spec)
     return rows.select(*spec.columns, F.lit("decomposition").alias("model"), "fitted")

@@ -13,6 +13,7 @@ from weekloom.operators.scale import fit_features, fit_target
 from weekloom.operators.sequence import sequence_windows
 from weekloom.operators.split import with_split
 from weekloom.sources.staging import stage
+from weekloom.sources.tables import save_report
 from weekloom.spec import DEFAULT, PanelSpec
 
 
@@ -66,6 +67,25 @@ def clean_records(
     return panel.dedupe_last(rows, order_by, spec)
 
 
+def ingest_report(raw: DataFrame, order_by: str, spec: PanelSpec = DEFAULT) -> DataFrame:
+    """One row on the records as given: repeats, nulls and negatives, from one aggregate."""
+    guards.require_columns(raw, spec)
+    rows = panel.parse_dates(raw.select(*spec.columns, order_by), spec, "null")
+    target = F.col(spec.target)
+    per_cell = rows.groupBy(*spec.cell).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(target.isNull()).alias("nulls"),
+        F.count_if(target < 0).alias("negatives"),
+    )
+    return per_cell.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
+        F.count(F.lit(1)).alias("kept_rows"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_sales"),
+        F.coalesce(F.sum("negatives"), F.lit(0)).alias("negative_sales"),
+    )
+
+
 def run_ingestion(
     raw: DataFrame,
     order_by: str,
@@ -77,17 +97,23 @@ def run_ingestion(
 
     The raw records are read once and never copied: emptiness, an all-null target and
     a lone series show in the weekly means as they do in the records, so the input
-    guard runs there. With ``out`` the panel and the missing-week report are written.
+    guard runs there. With ``out`` the panel, the missing-week report and the quality
+    report of the raw records are written; the panel is written once and read back.
     """
     weekly = weekly_table(clean_records(raw, order_by, spec), spec)
     if check:
         guards.validate_raw(weekly.cells, spec)
     result = weekly.panel()
-    if check:
+    if out is not None:
+        schema = result.schema
+        result.write.mode("overwrite").parquet(f"{out}/panel")
+        result = raw.sparkSession.read.schema(schema).parquet(f"{out}/panel")
+    elif check:
         result = stage(result, "panel")
+    if check:
         guards.validate_panel(result, spec)
     if out is not None:
-        result.write.mode("overwrite").parquet(f"{out}/panel")
+        save_report(ingest_report(raw, order_by, spec), f"{out}/quality_report")
         report = weekly.missing()
         report.write.mode("overwrite").option("header", True).csv(f"{out}/missing_weeks_report")
     return result

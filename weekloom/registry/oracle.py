@@ -416,6 +416,10 @@ QUERIES: dict[str, str] = {
         CASE WHEN model NOT LIKE '%naive' THEN n_train END AS n_train FROM metrics""",
     # records
     "parse_mixed_dates": f"SELECT {PANEL4}, seq FROM records",
+    "ingest_report": """SELECT COUNT(*) AS raw_rows, COUNT(DISTINCT (state, date)) AS kept_rows,
+        COUNT(*) - COUNT(DISTINCT (state, date)) AS duplicate_rows,
+        COUNT(*) - COUNT(sales) AS null_sales,
+        COUNT(*) FILTER (sales < 0) AS negative_sales FROM records""",
     "parse_text_dates": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders",
     "date_quality": """SELECT 0::BIGINT AS blank_dates, 0::BIGINT AS junk_dates,
         COUNT(*) AS good_dates FROM records""",
@@ -688,4 +692,5 @@ def oracles() -> dict[str, str]:
     out = {name: compose(text) for name, text in QUERIES.items()}
     out["recursive_features"] = recursive_features_sql()
     out["selection_reports"] = out["leaderboard"]
+    out["decomposition_stored"] = out["decomposition"]
     return out

@@ -35,7 +35,7 @@ from weekloom.plans import ingestion, training
 from weekloom.plans.serving import ForecastStore
 from weekloom.sources import raw, tables
 from weekloom.sources.staging import stage, staged_path
-from weekloom.spec import PanelSpec
+from weekloom.spec import FORECAST_WEEKS, PanelSpec
 
 VAL_START = "2000-07-01"
 TEST_START = "2000-12-30"
@@ -210,6 +210,11 @@ def parse_text_dates(spark, sf_dir):
     return orders.select("o_orderkey", parse_mixed_date(pick).alias("date"))
 
 
+@query(None)
+def ingest_report(spark, sf_dir):
+    return ingestion.ingest_report(star(spark, sf_dir).order_records(), "seq")
+
+
 @query(None)
 def date_quality(spark, sf_dir):
     return panel.date_quality(star(spark, sf_dir).order_records())
@@ -548,6 +553,15 @@ def decomposition(spark, sf_dir):
     return closed_form.decomposition(weekly(spark, sf_dir).panel())
 
 
+@query()
+def decomposition_stored(spark, sf_dir):
+    """Coefficients saved, loaded, and asked for the weeks to come."""
+    history = stored_panel(spark, sf_dir)
+    fitted = stage(closed_form.decomposition_coefficients(history), "coefficients")
+    ahead = horizon.extend(history, FORECAST_WEEKS).filter("step > 0")
+    return closed_form.decomposition_predict(fitted, ahead)
+
+
 @query(3)
 def insample_fit(spark, sf_dir):
     train = labelled(spark, sf_dir).filter("split = 'train'").drop("split")
