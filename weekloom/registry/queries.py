@@ -553,7 +553,7 @@ def decomposition(spark, sf_dir):
     return closed_form.decomposition(weekly(spark, sf_dir).panel())
 
 
-@query()
+@query(3)
 def decomposition_stored(spark, sf_dir):
     """Coefficients saved, loaded, and asked for the weeks to come."""
     history = stored_panel(spark, sf_dir)
