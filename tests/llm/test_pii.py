@@ -83,3 +83,31 @@ def test_redaction_of_overlaps_and_empty_tables(spark):
     assert (out[2].text, out[2].n_chars, out[3].text) == (None, None, "none")
     assert pii.redact(df).columns == df.columns
     assert pii.personal_data(df.filter("doc_id > 9")).count() == 0
+
+
+def found_in(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    return {r.doc_id: [tuple(x) for x in r.spans] for r in pii.personal_data(df).collect()}
+
+
+def test_bootstrapping_goes_on_until_a_round_adds_nothing(spark):
+    docs, sizes = [], [2048, 512, 128, 32, 8, 2]
+    for level, size in enumerate(sizes):
+        for i in range(size):
+            value = f"u{i}@mail.example.com" if level == 0 else f"l{level}n{i + 1000}(at)mail"
+            for word in "abcdef"[max(level - 1, 0) : level + 1]:
+                docs.append((level, f"see {word}{word} {value} now"))
+    df = spark.createDataFrame(docs, "level long, text string").selectExpr("level doc_id", "text")
+    got = pii.personal_data(df).selectExpr("doc_id", "size(spans) n").collect()
+    assert {r.doc_id: r.n for r in got if r.n != 1} == {}
+    assert len(got) == len(docs)
+
+
+def test_neighbours_are_context_and_length_is_no_limit(spark):
+    docs = [(i, f"pair 7777 u{i}@mail.example.com 55 now") for i in range(30)]
+    docs += [(i, f"then reach me u{i}@mail.example.com now") for i in range(30, 60)]
+    long = "x" * 70 + "2024(at)mail"
+    docs += [(100, "pair 8888 jane2024(at)mail 66 now"), (101, f"then reach me {long} now")]
+    spans = found_in(spark, docs)
+    assert spans[100] == [(10, 0, 26)]
+    assert spans[101] == [(14, 0, 14 + len(long))]

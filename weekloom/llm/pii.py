@@ -5,8 +5,9 @@ identifier-like token and every seed is an instance; the words around it give le
 patterns. The graph of distinct (pattern, instance) edges is scored in rounds: a pattern's
 confidence for a kind is the share of its instances already known as that kind, an
 unknown instance combines the confident patterns it occurs with by noisy-or, and the
-instances beyond ``ACCEPT`` are known in the next round. Occurrences of accepted instances
-are added to the base spans, which always stay.
+instances beyond ``ACCEPT`` are known in the next round, until a round adds none. Words
+around an occurrence are those of the text, identifier-like neighbours included.
+Occurrences of accepted instances are added to the base spans, which always stay.
 
 A pattern that occurs everywhere is one partial aggregate, an instance joins its patterns
 by key; no group is collected. Lookbehind and ``\\G`` keep a pattern from starting within
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 from weekloom.llm.common import pick, row_key
 from weekloom.sources.staging import stage
 
-ROUNDS = 3
 #: Known instances that a pattern needs before it says anything.
 SUPPORT = 5
 #: Share of a pattern's instances that must be known, and the score of an accepted instance.
@@ -42,6 +42,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Characters of context before and after a match.
+BEFORE, AFTER = 80, 40
 #: Prefix sums of match lengths go by blocks, so that they stay cheap for many matches.
 BLOCK = 256
 
@@ -105,10 +107,26 @@ def placed(df: DataFrame, name: str) -> DataFrame:
             start.alias("start"),
             (start + F.length(x)).alias("end"),
             x.alias("value"),
-            F.substring(F.get(s, i), -80, 80).alias("before"),
-            F.substring(F.get(s, i + 1), 1, 40).alias("after"),
+            before(i).alias("before"),
+            after(i).alias("after"),
         )
 
+    # A match and its gap have two characters at least, so half as many matches as
+    # characters of context reach far enough.
+    def before(i: Column) -> Column:
+        gap, first = F.get(s, i), F.greatest(i - BEFORE // 2, F.lit(0))
+        near = F.transform(F.slice(m, first + 1, i - first), lambda x, j: F.concat(F.get(s, first + j), x))
+        text = F.when(F.length(gap) >= BEFORE, gap).otherwise(F.concat(F.array_join(near, ""), gap))
+        return F.substring(text, -BEFORE, BEFORE)
+
+    def after(i: Column) -> Column:
+        gap = F.get(s, i + 1)
+        near = F.transform(
+            F.slice(m, i + 2, F.lit(AFTER // 2)), lambda x, j: F.concat(x, F.get(s, i + j + 2))
+        )
+        text = F.when(F.length(gap) >= AFTER, gap).otherwise(F.concat(gap, F.array_join(near, "")))
+        return F.substring(text, 1, AFTER)
+
     both = F.transform(m, lambda x, i: F.array(F.length(F.get(s, i)), F.length(x)))
     df = df.withColumn(sizes, F.when(F.col(s).isNotNull(), F.flatten(both)))
     blocks = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / BLOCK).cast("int"))
@@ -183,7 +201,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     digits = lambda v: F.length(v) - F.length(F.translate(v, "0123456789", ""))
     like = F.filter(
         "token",
-        lambda t: F.length(t["value"]).between(5, 64)
+        lambda t: (F.length(t["value"]) >= 5)
         & ((digits(t["value"]) >= 4) | F.contains(t["value"], F.lit("@")))
         & ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])),
     )
@@ -195,9 +213,9 @@ def accepted(edges: DataFrame) -> DataFrame:
 
     ``edges(pattern, value, rank)`` are distinct per pattern and value; rank -1: unknown.
     """
-    known = edges.filter("rank >= 0").select("value", "rank").distinct()
-    fresh = None
-    for _ in range(ROUNDS):
+    seeds = edges.filter("rank >= 0").select("value", "rank").distinct()
+    known = seeds.withColumn("fresh", F.lit(False))
+    while True:  # every round but the last makes one more of the values known
         graph = edges.select("pattern", "value").join(
             known.groupBy("value").agg(F.min("rank").alias("rank")), "value", "left"
         )
@@ -230,11 +248,9 @@ def accepted(edges: DataFrame) -> DataFrame:
             .select("value", (-F.col("top.col2")).cast("int").alias("rank"))
         )
         found = stage(votes, "pii-found")
-        fresh = found if fresh is None else fresh.unionByName(found)
         if found.isEmpty():
-            break
-        known = stage(known.unionByName(found), "pii-known")
-    return fresh
+            return known.filter("fresh").select("value", "rank")
+        known = stage(known.unionByName(found.withColumn("fresh", F.lit(True))), "pii-known")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
