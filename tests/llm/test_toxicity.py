@@ -90,3 +90,10 @@ def test_few_labels(spark, labels):
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     assert [r.predicted for r in toxicity.toxicity(df, marks).collect()] == [0, 0]
     assert toxicity.toxicity(df.filter("doc_id > 5"), marks).count() == 0
+
+
+def test_a_rare_toxic_term_stays_beside_a_strong_one(spark):
+    # 16 toxic examples of 4,000: a ratio of 22, where the strong term has 2,079.
+    rows = [("plain", 0)] * 2000 + [("plain", 1)] * 484 + [("foul", 1)] * 1500 + [("vile", 1)] * 16
+    examples = spark.createDataFrame(rows, "text string, toxic int")
+    assert toxicity.vocabulary(examples) == ["foul", "vile"]

@@ -42,8 +42,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: Weight of the base rate in a vote, in units of cosine.
 SHRINK = 0.1
-#: Least log-likelihood ratio of a term, absolutely and against the strongest term.
-LEAST_G2, LEAST_SHARE = 20.0, 0.02
+#: Least log-likelihood ratio of a term, whatever the strongest term has.
+LEAST_G2 = 20.0
 HELD_OUT = 5
 TERM = re.compile(r"[^\W\d_]{1,40}")
 
@@ -118,7 +118,7 @@ def vocabulary(examples: DataFrame, most: int = VOCABULARY) -> list[str]:
     g2 = 2 * (part(F.col("t"), toxic) + part(F.col("c"), clean))
     best = counted.select("term", F.round(g2, 6).alias("g2")).filter(F.col("g2") >= LEAST_G2)
     rows = best.orderBy(F.desc("g2"), "term").limit(most).collect()
-    return [r.term for r in rows if r.g2 >= LEAST_SHARE * rows[0].g2]
+    return [r.term for r in rows]
 
 
 def decoded(raw: bytes | None) -> str | None:
