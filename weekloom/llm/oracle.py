@@ -55,5 +55,63 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
        coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
+""",
+    "op11_interaction_audit": r"""
+WITH d AS MATERIALIZED (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), firsts AS MATERIALIZED (
+    SELECT text, min(doc_id) AS low FROM d GROUP BY text
+), flags AS MATERIALIZED (
+    SELECT doc_id, coalesce(max(CAST(quality = 1 AS INT)), 0) AS good,
+           coalesce(max(CAST(toxic = 1 AS INT)), 0) AS bad
+    FROM labels GROUP BY doc_id
+), f AS MATERIALIZED (
+    SELECT d.part,
+           CAST(len(ws) < 50 AS INT) AS a,
+           CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INT) AS b,
+           CAST(100 * (length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g')))
+                > 5 * length(d.text) AS INT) AS c,
+           CAST(regexp_matches(d.text, '[#$%&*|]') AS INT) AS d,
+           CAST(firsts.low < d.doc_id AS INT) AS e,
+           coalesce(flags.good, 0) AS good, coalesce(flags.bad, 0) AS bad
+    FROM d JOIN firsts ON d.text = firsts.text LEFT JOIN flags ON d.doc_id = flags.doc_id
+), m AS MATERIALIZED (
+    SELECT part, concat(CASE a WHEN 1 THEN 'A' ELSE '' END, CASE b WHEN 1 THEN 'B' ELSE '' END,
+                        CASE c WHEN 1 THEN 'C' ELSE '' END, CASE d WHEN 1 THEN 'D' ELSE '' END,
+                        CASE e WHEN 1 THEN 'E' ELSE '' END) AS failed,
+           count(*) AS n, sum(good) AS good, sum(bad) AS bad
+    FROM f GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS MATERIALIZED (
+    SELECT concat(p.x, q.x, r.x, s.x, t.x) AS o
+    FROM letters p, letters q, letters r, letters s, letters t
+    WHERE p.x NOT IN (q.x, r.x, s.x, t.x) AND q.x NOT IN (r.x, s.x, t.x)
+      AND r.x NOT IN (s.x, t.x) AND s.x <> t.x
+), w AS MATERIALIZED (
+    SELECT m.*, o, k, substr(o, k, 1) AS x,
+           translate(failed, substr(o, 1, k - 1), '') <> failed AS earlier
+    FROM m, orders, range(1, 6) AS r(k)
+), s AS MATERIALIZED (
+    SELECT part, o, k, x,
+           sum(n) FILTER (WHERE NOT earlier AND NOT contains(failed, x)) AS kept,
+           sum(n) FILTER (WHERE NOT earlier AND contains(failed, x)) AS removed,
+           sum(n) FILTER (WHERE earlier AND contains(failed, x)) AS redundant,
+           sum(n) FILTER (WHERE failed = x) AS unique_fails,
+           sum(good) FILTER (WHERE NOT earlier AND contains(failed, x)) AS good_lost,
+           sum(bad) FILTER (WHERE NOT earlier AND contains(failed, x)) AS toxic_lost
+    FROM w GROUP BY part, o, k, x
+)
+SELECT part, o AS filter_order, CAST(k AS INT) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley
+FROM s
 """,
 }

@@ -12,12 +12,14 @@ from weekloom.llm import (
     chat,
     html,
     idcoder,
+    interaction,
     pieces,
     pii,
     quality,
     simhash,
     toxicity,
     urls,
+    whitening,
     winnow,
 )
 
@@ -124,3 +126,14 @@ def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = pieces.encode(table(spark, sf_dir, "documents"), model)
     return pieces.decoded(encoded, model)
+
+
+@query
+def op11_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
