@@ -13,6 +13,7 @@ from weekloom.llm import (
     html,
     idcoder,
     interaction,
+    licenses,
     pieces,
     pii,
     quality,
@@ -133,6 +134,21 @@ def op11_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = lambda *c: F.array_join(F.array_sort(F.array_distinct(F.concat(*c))), ",")
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.first").alias("first_word"),
+        F.array_max("base.first").alias("last_word"),
+        names("base.label").alias("base_labels"),
+        names("base.label", "found.label").alias("labels"),
+        "score",
+    )
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
