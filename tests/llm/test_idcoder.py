@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -43,6 +44,27 @@ def test_repeats_cost_less_than_noise():
     assert size(again) < 0.25 * size(noise) < 0.25 * 2.3 * 8192
 
 
+@pytest.mark.parametrize("ids", list(sequences()), ids=range(8))
+def test_round_trip_with_a_prior_of_the_run(ids):
+    ids = np.array(ids, np.int32)
+    prior = idcoder.Prior.load(idcoder.Prior.of(ids).dump())
+    assert prior.share.sum() == 1 << idcoder.FINE and prior.share.min() > 0
+    assert (idcoder.decode(idcoder.encode(ids, prior), prior) == ids).all()
+
+
+def test_shorter_than_the_order_0_entropy_of_ids_with_context():
+    rng = np.random.default_rng(3)
+    ids = rng.zipf(1.4, 400_000) % 40_000
+    follow = rng.permutation(40_000)
+    for i in np.flatnonzero(rng.random(len(ids)) < 0.4)[1:].tolist():
+        ids[i] = follow[ids[i - 1]]
+    share = np.bincount(ids) / len(ids)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum()
+    prior = idcoder.Prior.of(ids)
+    bits = 8 * (len(prior.dump()) + sum(map(len, idcoder.encode(ids, prior)))) / len(ids)
+    assert bits < entropy
+
+
 def test_damage_is_found():
     (block,) = idcoder.encode(np.arange(3000))
     for at in (0, idcoder.HEAD.size + 5, idcoder.HEAD.size + 900):
@@ -50,11 +72,16 @@ def test_damage_is_found():
         bad[at] ^= 0x55
         with pytest.raises(ValueError):
             idcoder.decode([bytes(bad)])
+    dump = bytearray(idcoder.Prior.of(np.arange(3000) // 3).dump())
+    dump[-5] ^= 0x55
+    with pytest.raises(ValueError):
+        idcoder.Prior.load(bytes(dump))
 
 
 def texts():
     rng = random.Random(2)
-    parts = ["Hello", "wörld", "it's", "<|endoftext|>", "##", "é", "é", "́x", "12", "😀", "\x1cq", "a b", "ΑΣ"]
+    parts = ["end.", "END!?", "É).", "ŐŰ,", "İ.", "ΑΣ.", "'s.", "a'", "1.", "x²;", "q̈.", "ß%&", "Ǆ:", "<|endoftext|>."]
+    parts += ["Hello", "wörld", "it's", "<|endoftext|>", "##", "é", "é", "́x", "12", "😀", "\x1cq", "a b", "ΑΣ"]
     gaps = [" ", "\n", "\t", "", "  ", "\r\n", " "]
     docs = [(i, "".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randrange(1, 80)))) for i in range(60)]
     docs += [(100, None), (101, ""), (102, " \n"), (None, "none"), docs[4], docs[4], (-5, "first?")]
@@ -65,7 +92,8 @@ def test_parts_encode_as_the_whole_text():
     coder, plain = idcoder.Encoder(PATH), Tokenizer.from_file(PATH)
     own = [t or "" for _, t in texts()]
     for _ in range(2):  # the second time from what is known
-        got = coder.encode(own)
+        cuts, ids = coder.encode(pa.array(own))
+        got = [ids[a:z].tolist() for a, z in zip(cuts, cuts[1:], strict=False)]
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in own]
 
 

@@ -1,13 +1,13 @@
 """Token-ID files by an adaptive context-mixing range coder.
 
 Ids are cut into blocks of ``BLOCK``. In a block, an order-2 and an order-1 table predict
-the next id from the ids before it, each with a confidence; an order-0 model holds the
-distribution of ids by their upper bits. How far the predictions are to be believed is
-learned for every combination of confidences: the mixture's share of "order 2 is right",
-"order 1 is right" and "neither" is an adaptive distribution, coded by a range coder with
-carry; ids that neither predicts are coded by order 0. Models and coder start anew in every
-block, and a block holds a checksum of its ids, so any block can be read alone and damage
-is found.
+the next id from the ids before it, each with a confidence; order 0 is a distribution over
+single ids and classes of ids, counted on the segment and stored with it. How far the
+predictions are to be believed is learned for every combination of confidences: the
+mixture's share of "order 2 is right", "order 1 is right" and "neither" is an adaptive
+distribution, the last part of it divided by order 0, and a range coder with carry codes
+an id at its place in the whole. Models and coder start anew in every block, and a block
+holds a checksum of its ids, so any block can be read alone and damage is found.
 
 Numpy codes many blocks in step with each other: one step codes one id of each. A segment
 is a row of blocks that holds whole documents, so that files are read in parallel without
@@ -22,13 +22,16 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,42 +42,120 @@ from weekloom.sources.staging import staged_path
 BLOCK = 4096
 LANES = 1024
 SLOTS = 1 << 11
-MAGIC = b"IDC1"
-HEAD = struct.Struct("<4sIBI")  # magic, ids, bits of an id, checksum
-#: Probabilities are twelve-bit; every symbol keeps at least ``FLOOR``.
+MAGIC = b"IDC2"
+HEAD = struct.Struct("<4sII")  # magic, ids, checksum
+#: Event probabilities are twelve-bit, every event keeps at least ``FLOOR``; those of
+#: order 0 are of ``FINE`` bits.
 UNIT, FLOOR, RATE = 12, 16, 5
-LOW, HIGH = np.uint64(1 << 32), np.uint64(1 << 48)
-WORD = np.uint64(16)
-CACHE = 150_000
+FINE = 18
+PAIR = UNIT + FINE
+LOW, HIGH = 1 << 32, 1 << 48
+#: Ids below this may have an order-0 probability of their own.
+TABLE = 1 << 17
+#: Classes of ids by length in bits; the other bits of an id are coded evenly.
+CLASSES = 29
+#: Parts of texts whose ids a task keeps.
+CACHE = 400_000
 
 # Models ----------------------------------------------------------------------------
 
 
+class Prior:
+    """The order-0 distribution that blocks start from.
+
+    Symbols are classes of ids by their length, which any id falls into, and single ids
+    with a share of their own. A segment's prior is counted on the segment and stored with
+    it; blocks without one start from the classes alone.
+    """
+
+    def __init__(self, own: np.ndarray | None = None, shares: np.ndarray | None = None) -> None:
+        own = np.zeros(0, np.int64) if own is None else own
+        classes = np.arange(CLASSES)
+        self.own = own.astype(np.int64)
+        self.base = np.concatenate([(1 << classes) - 1, self.own])
+        self.extra = np.concatenate([classes, np.zeros(len(own), np.int64)])
+        if shares is None:
+            likely = np.where(classes < TABLE.bit_length(), classes + 1, 2)
+            shares = likely * (1 << FINE) // likely.sum()
+            shares[0] += (1 << FINE) - shares.sum()
+        self.share = shares.astype(np.int64)
+        self.below = np.cumsum(self.share) - self.share
+        self.symbol = np.full(TABLE, -1, np.int32)
+        self.symbol[self.own] = CLASSES + np.arange(len(own))
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Prior:
+        """Counted on ``ids``; those met once stay in their class."""
+        counts = np.bincount(ids[ids < TABLE], minlength=1)
+        own = np.flatnonzero(counts > 1)
+        if len(own) > TABLE // 2:
+            own = np.sort(np.argsort(-counts, kind="stable")[: TABLE // 2])
+        rest = np.ones(len(counts), bool)
+        rest[own] = False
+        left = np.concatenate([np.flatnonzero(rest), ids[ids >= TABLE]])
+        weights = np.append(counts[rest], np.ones(len(left) - rest.sum(), np.int64))
+        classes = np.bincount(length(left), weights, CLASSES)
+        every = np.concatenate([classes, counts[own]])
+        room = (1 << FINE) - len(every)
+        shares = 1 + (every * room / max(every.sum(), 1)).astype(np.int64)
+        shares[shares.argmax()] += (1 << FINE) - shares.sum()
+        return cls(own, shares)
+
+    def symbols(self, ids: np.ndarray) -> np.ndarray:
+        found = self.symbol[np.minimum(ids, TABLE - 1)]
+        return np.where((found < 0) | (ids >= TABLE), length(ids), found)
+
+    def targets(self) -> np.ndarray:
+        """The symbol of every value below 2^FINE."""
+        return np.repeat(np.arange(len(self.share), dtype=np.int32), self.share)
+
+    def dump(self) -> bytes:
+        raw = np.concatenate([np.diff(self.own, prepend=0), self.share]).astype("<u4").tobytes()
+        return HEAD.pack(MAGIC, len(self.own), zlib.crc32(raw)) + zlib.compress(raw)
+
+    @classmethod
+    def load(cls, data: bytes) -> Prior:
+        magic, n, crc = HEAD.unpack_from(data)
+        try:
+            raw = zlib.decompress(data[HEAD.size :])
+        except zlib.error as e:
+            raise ValueError("damaged prior") from e
+        if magic != MAGIC or zlib.crc32(raw) != crc:
+            raise ValueError("damaged prior")
+        numbers = np.frombuffer(raw, "<u4").astype(np.int64)
+        return cls(np.cumsum(numbers[:n]), numbers[n:])
+
+
+def length(ids: np.ndarray) -> np.ndarray:
+    """The class of an id: bits of id + 1, less one."""
+    return np.frexp(ids + 1.0)[1] - 1
+
+
+CLASSES_ONLY = Prior()
+
+
 class Predictor:
-    """Order-0 to order-2 state of ``n`` blocks that advance together.
+    """Order-1 and order-2 state of ``n`` blocks that advance together.
 
-    An entry of a table holds an id and, in its lowest two bits, the trust in it; an event
-    holds its two cumulative frequencies side by side.
+    An entry of a table holds an id and, in its lowest two bits, the trust in it; for every
+    combination of trusts an adaptive distribution tells which order is right.
     """
 
     def __init__(self, n: int) -> None:
-        self.base = np.arange(n, dtype=np.int64) * SLOTS
-        self.tables = [np.zeros(n * SLOTS, np.int32) for _ in range(2)]
-        self.event_base = np.arange(n, dtype=np.int64) * 32
+        self.base = np.arange(n) * SLOTS
+        self.two_table, self.one_table = (np.zeros(n * SLOTS, np.int32) for _ in range(2))
+        self.event_base = np.arange(n) * 32
         self.event = np.full(n * 32, (1 << UNIT) // 3 | (2 << UNIT) // 3 << 16, np.int32)
-        self.upper = np.tile(np.arange(17, dtype=np.int32) * 256, (n, 1))
-        self.one = self.two = np.zeros(n, np.int64)
+        self.last = self.before = np.zeros(n, np.int32)
 
     def look(self) -> tuple[np.ndarray, np.ndarray]:
         """What order 2 and order 1 predict."""
-        spread = self.one * 0x9E3B
-        self.at = [
-            self.base + (((self.two * 0x2F0B + spread) >> 3) & (SLOTS - 1)),
-            self.base + ((spread >> 2) & (SLOTS - 1)),
-        ]
-        self.entry = [t[a] for t, a in zip(self.tables, self.at, strict=True)]
-        two, one = (e >> 2 for e in self.entry)
-        trust = (self.entry[0] & 3) * 8 + (self.entry[1] & 3) * 2
+        spread = self.last * np.int32(0x9E3B)
+        self.two_at = self.base + (self.before * np.int32(0x2F0B) + spread >> 3 & SLOTS - 1)
+        self.one_at = self.base + (spread >> 2 & SLOTS - 1)
+        self.two, self.one = self.two_table[self.two_at], self.one_table[self.one_at]
+        two, one = self.two >> 2, self.one >> 2
+        trust = ((self.two & 3) << 3) + ((self.one & 3) << 1)
         self.slot = self.event_base + (trust + (two == one))
         both = self.event[self.slot]
         self.first, self.second = both & 0xFFFF, both >> 16
@@ -82,160 +163,147 @@ class Predictor:
 
     def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
         # Towards the side of the symbol, leaving the floor of every other one.
-        first = self.first + ((GOAL_FIRST[event] - self.first) >> RATE)
-        second = self.second + ((GOAL_SECOND[event] - self.second) >> RATE)
+        first = self.first + (GOAL_FIRST[event] - self.first >> RATE)
+        second = self.second + (GOAL_SECOND[event] - self.second >> RATE)
         self.event[self.slot] = first | second << 16
-        fresh = ids << 2 | 1
-        for table, at, entry in zip(self.tables, self.at, self.entry, strict=True):
-            trust = entry & 3
-            other = np.where(trust > 0, entry - 1, fresh)
-            table[at] = np.where(entry >> 2 == ids, entry + (trust < 3), other)
-        self.one, self.two = ids.astype(np.int64), self.one
+        key, fresh = ids << 2, ids << 2 | 1
+        self.two_table[self.two_at] = learned(self.two, key, fresh)
+        self.one_table[self.one_at] = learned(self.one, key, fresh)
+        self.before, self.last = self.last, ids
 
-    def learn_upper(self, lanes: np.ndarray, rows: np.ndarray, upper: np.ndarray) -> None:
-        self.upper[lanes] = rows + ((GOALS[upper] - rows) >> RATE)
 
+def learned(entry: np.ndarray, key: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """More trust in a right entry, less in a wrong one, a new one where there is none."""
+    apart = entry ^ key
+    wrong = np.where((entry & 3) > 0, entry - 1, fresh)
+    return np.where(apart < 4, key | NEXT[apart & 3], wrong)
 
+
+#: Trust after a right prediction.
+NEXT = np.array([1, 2, 3, 3], np.int32)
+# Per event: order 2 is right, order 1 is right, neither.
 GOAL_FIRST = np.array([(1 << UNIT) - 2 * FLOOR, FLOOR, FLOOR], np.int32)
 GOAL_SECOND = np.array([(1 << UNIT) - FLOOR, (1 << UNIT) - FLOOR, 2 * FLOOR], np.int32)
-#: Per upper symbol, the distribution that gives it all but the others' floor.
-GOALS = np.array(
-    [[i * FLOOR + ((1 << UNIT) - 16 * FLOOR) * (i > s) for i in range(17)] for s in range(16)],
-    np.int32,
-)
 
 
 class Writer:
     """A range coder with carry for each lane; gives out 16-bit words."""
 
     def __init__(self, n: int, words: int) -> None:
-        self.low, self.range = np.zeros(n, np.uint64), np.full(n, HIGH, np.uint64)
-        self.out = np.zeros((n, words), np.uint16)
-        self.at = np.zeros(n, np.int64)
-
-    def put(self, lanes: np.ndarray | slice, bits: int, start: np.ndarray, size: np.ndarray) -> None:
-        """Code ``start`` to ``start + size`` of 2^bits."""
-        unit = self.range[lanes] >> np.uint64(bits)
-        low = self.low[lanes] + unit * start.astype(np.uint64)
-        wide = unit * size.astype(np.uint64)
-        over = np.flatnonzero(low >= HIGH)
+        self.low, self.range = np.zeros(n, np.int64), np.full(n, HIGH, np.int64)
+        self.words = words
+        self.out = np.zeros(n * words, np.uint16)
+        self.first = np.arange(n) * words
+        self.at = self.first.copy()
+
+    def put(self, bits: int | np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Code ``start`` to ``start + size`` of 2^bits, in every lane."""
+        unit = self.range >> bits
+        self.low += unit * start
+        self.range = unit * size
+        over = np.flatnonzero(self.low >= HIGH)
         if len(over):
-            low[over] -= HIGH
-            self.carry(over if isinstance(lanes, slice) else lanes[over])
-        short = np.flatnonzero(wide < LOW)
-        if len(short):
-            own = short if isinstance(lanes, slice) else lanes[short]
-            self.out[own, self.at[own]] = low[short] >> np.uint64(32)
-            self.at[own] += 1
-            low[short] = (low[short] & (LOW - np.uint64(1))) << WORD
-            wide[short] <<= WORD
-        self.low[lanes], self.range[lanes] = low, wide
-
-    def carry(self, lanes: np.ndarray) -> None:
-        at = self.at[lanes] - 1
-        while len(lanes):
-            word = self.out[lanes, at] + np.uint16(1)
-            self.out[lanes, at] = word
-            more = word == 0
-            lanes, at = lanes[more], at[more] - 1
+            self.low[over] -= HIGH
+            at = self.at[over] - 1
+            while len(at):
+                word = self.out[at] + np.uint16(1)
+                self.out[at] = word
+                at = at[word == 0] - 1
+        while len(short := np.flatnonzero(self.range < LOW)):
+            low, at = self.low[short], self.at[short]
+            self.out[at] = low >> 32
+            self.at[short] = at + 1
+            self.low[short] = (low & LOW - 1) << 16
+            self.range[short] <<= 16
 
     def finish(self) -> list[bytes]:
         for shift in (32, 16, 0):
-            n = np.arange(len(self.low))
-            self.out[n, self.at] = (self.low >> np.uint64(shift)) & np.uint64(0xFFFF)
+            self.out[self.at] = self.low >> shift & 0xFFFF
             self.at += 1
-        return [row[:k].astype("<u2").tobytes() for row, k in zip(self.out, self.at, strict=True)]
+        ends = zip(self.first.tolist(), self.at.tolist(), strict=True)
+        return [self.out[a:z].astype("<u2").tobytes() for a, z in ends]
 
 
 class Reader:
     def __init__(self, words: list[np.ndarray]) -> None:
         n, size = len(words), max(map(len, words), default=0) + 4
-        self.words = np.zeros((n, size), np.uint64)
-        for row, w in zip(self.words, words, strict=True):
+        table = np.zeros((n, size), np.uint16)
+        for row, w in zip(table, words, strict=True):
             row[: len(w)] = w
-        self.code = np.zeros(n, np.uint64)
+        self.code = np.zeros(n, np.int64)
         for i in range(3):
-            self.code = self.code << WORD | self.words[:, i]
-        self.at = np.full(n, 3)
-        self.range = np.full(n, HIGH, np.uint64)
-
-    def target(self, lanes: np.ndarray | slice, bits: int) -> np.ndarray:
-        self.unit = self.range[lanes] >> np.uint64(bits)
-        return np.minimum(self.code[lanes] // self.unit, np.uint64((1 << bits) - 1)).astype(np.int32)
-
-    def take(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
-        code = self.code[lanes] - self.unit * start.astype(np.uint64)
-        wide = self.unit * size.astype(np.uint64)
-        short = np.flatnonzero(wide < LOW)
-        if len(short):
-            own = short if isinstance(lanes, slice) else lanes[short]
-            code[short] = code[short] << WORD | self.words[own, self.at[own]]
-            self.at[own] += 1
-            wide[short] <<= WORD
-        self.code[lanes], self.range[lanes] = code, wide
-
-
-ALL = slice(None)
-PAIR = 2 * UNIT
-
-
-def encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
-    """Payloads of the rows of ``ids``, blocks of one length; ids have 16 or 28 bits."""
+            self.code = self.code << 16 | table[:, i]
+        self.words, self.at = table.reshape(-1), np.arange(n) * size + 3
+        self.range = np.full(n, HIGH, np.int64)
+
+    def target(self, bits: int | np.ndarray) -> np.ndarray:
+        self.unit = self.range >> bits
+        # Exact: both are below 2^48 and the quotient is far from the next integer.
+        return np.minimum((self.code / self.unit).astype(np.int64), (1 << bits) - 1)
+
+    def take(self, start: np.ndarray, size: np.ndarray) -> None:
+        self.code -= self.unit * start
+        self.range = self.unit * size
+        while len(short := np.flatnonzero(self.range < LOW)):
+            at = self.at[short]
+            self.code[short] = self.code[short] << 16 | self.words[at]
+            self.at[short] = at + 1
+            self.range[short] <<= 16
+
+
+def encode_lanes(ids: np.ndarray, prior: Prior) -> list[bytes]:
+    """Payloads of the rows of ``ids``, blocks of one length."""
     n, steps = ids.shape
     ids = np.ascontiguousarray(ids.T)
-    # An id costs 28 bits at most, or 40 with the longer ids: the floors see to that.
-    model, out = Predictor(n), Writer(n, steps * (bits // 12 + 1) + 8)
-    zero = np.zeros(n, np.int32)
-    for own in ids:
+    symbols = prior.symbols(ids)
+    extra = prior.extra[symbols]
+    # An event and its symbol cost 26 bits at most: the floors see to that.
+    room = int(extra.sum(axis=0).max(initial=0)) // 16 + 2 * steps + 8
+    model, out = Predictor(n), Writer(n, room)
+    for own, symbol, more in zip(ids, symbols, extra, strict=True):
         two, one = model.look()
-        event = np.where(own == two, 0, np.where(own == one, 1, 2))
-        edges = np.stack([zero, model.first, model.second, zero + (1 << UNIT)])
-        start = np.choose(event, edges[:3])
-        out.put(ALL, UNIT, start, np.choose(event, edges[1:]) - start)
-        rest = np.flatnonzero(event == 2)
-        if len(rest):
-            value = own[rest]
-            # The upper four bits by order 0, the next twelve evenly, in one symbol.
-            upper, lower = value >> (bits - 4), value >> (bits - 16) & 0xFFF
-            rows, k = model.upper[rest], np.arange(len(rest))
-            below = rows[k, upper]
-            size = rows[k, upper + 1] - below
-            out.put(rest, PAIR, (below << UNIT) + lower * size, size)
-            model.learn_upper(rest, rows, upper)
-            if bits > 16:
-                out.put(rest, UNIT, value & 0xFFF, np.ones(len(rest), np.int32))
+        event = np.where(own == two, 0, 2 - (own == one))
+        rest = event == 2
+        share = ((1 << UNIT) - model.second).astype(np.int64)
+        share *= rest
+        edge = np.where(rest, model.second, model.first * event)
+        wide = np.where(event == 0, model.first, model.second - model.first)
+        start = (edge.astype(np.int64) << FINE) + prior.below[symbol] * share
+        size = np.where(rest, prior.share[symbol] * share, wide.astype(np.int64) << FINE)
+        out.put(PAIR, start, size)
+        if more.any():
+            more = np.where(rest, more, 0)
+            value = np.where(more > 0, own - prior.base[symbol], 0)
+            out.put(more, value, np.ones(n, np.int64))
         model.learn(own, event)
     return out.finish()
 
 
-def decode_lanes(words: list[np.ndarray], steps: int, bits: int) -> np.ndarray:
+def decode_lanes(words: list[np.ndarray], steps: int, prior: Prior) -> np.ndarray:
     n = len(words)
-    model, code = Predictor(n), Reader(words)
-    ids, zero = np.zeros((steps, n), np.int32), np.zeros(n, np.int32)
+    model, code, targets = Predictor(n), Reader(words), prior.targets()
+    ids, one_each = np.zeros((steps, n), np.int32), np.ones(n, np.int64)
     for step in range(steps):
         two, one = model.look()
-        target = code.target(ALL, UNIT)
-        event = (target >= model.first).astype(np.int32) + (target >= model.second)
-        edges = np.stack([zero, model.first, model.second, zero + (1 << UNIT)])
-        start = np.choose(event, edges[:3])
-        code.take(ALL, start, np.choose(event, edges[1:]) - start)
-        own = np.where(event == 0, two, one)
-        rest = np.flatnonzero(event == 2)
-        if len(rest):
-            rows, k = model.upper[rest], np.arange(len(rest))
-            target = code.target(rest, PAIR)
-            upper = ((target >> UNIT)[:, None] >= rows[:, 1:]).sum(1)
-            below = rows[k, upper]
-            size = rows[k, upper + 1] - below
-            lower = (target - (below << UNIT)) // size
-            code.take(rest, (below << UNIT) + lower * size, size)
-            model.learn_upper(rest, rows, upper)
-            value = upper.astype(np.int32) << 12 | lower
-            if bits > 16:
-                tail = code.target(rest, UNIT)
-                code.take(rest, tail, np.ones(len(rest), np.int32))
-                value = value << 12 | tail
-            own[rest] = value
+        target = code.target(PAIR)
+        event = (target >> FINE >= model.first) + (target >> FINE >= model.second).astype(np.int32)
+        rest = event == 2
+        second = model.second.astype(np.int64)
+        share = (1 << UNIT) - second
+        inner = ((target - (second << FINE)) / share).astype(np.int64)
+        symbol = targets[np.where(rest, inner, 0)]
+        share *= rest
+        edge = np.where(rest, model.second, model.first * event)
+        wide = np.where(event == 0, model.first, model.second - model.first)
+        start = (edge.astype(np.int64) << FINE) + prior.below[symbol] * share
+        code.take(start, np.where(rest, prior.share[symbol] * share, wide.astype(np.int64) << FINE))
+        value = prior.base[symbol]
+        more = np.where(rest, prior.extra[symbol], 0)
+        if more.any():
+            tail = code.target(more)
+            code.take(tail, one_each)
+            value = value + tail
+        own = np.where(rest, value, np.where(event == 0, two, one)).astype(np.int32)
         model.learn(own, event)
         ids[step] = own
     return np.ascontiguousarray(ids.T)
@@ -244,38 +312,37 @@ def decode_lanes(words: list[np.ndarray], steps: int, bits: int) -> np.ndarray:
 # Blocks ----------------------------------------------------------------------------
 
 
-def encode(ids: np.ndarray) -> list[bytes]:
+def encode(ids: np.ndarray, prior: Prior = CLASSES_ONLY) -> list[bytes]:
     """Blocks of a run of ids below 2^28, each of ``BLOCK`` ids but the last."""
     ids = np.asarray(ids, np.int32)
-    bits = 16 if not len(ids) or int(ids.max()) < 1 << 16 else 28
     whole = len(ids) // BLOCK
     out: list[bytes] = []
     for at in range(0, whole, LANES):
         rows = ids[at * BLOCK : min(whole, at + LANES) * BLOCK].reshape(-1, BLOCK)
-        out += [headed(r, p, bits) for r, p in zip(rows, encode_lanes(rows, bits), strict=True)]
+        out += [headed(r, p) for r, p in zip(rows, encode_lanes(rows, prior), strict=True)]
     rest = ids[whole * BLOCK :]
     if len(rest):
-        out.append(headed(rest, encode_lanes(rest[None], bits)[0], bits))
+        out.append(headed(rest, encode_lanes(rest[None], prior)[0]))
     return out
 
 
-def headed(ids: np.ndarray, payload: bytes, bits: int) -> bytes:
-    return HEAD.pack(MAGIC, len(ids), bits, zlib.crc32(ids.astype("<u4").tobytes())) + payload
+def headed(ids: np.ndarray, payload: bytes) -> bytes:
+    return HEAD.pack(MAGIC, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) + payload
 
 
-def decode(blocks: list[bytes]) -> np.ndarray:
+def decode(blocks: list[bytes], prior: Prior = CLASSES_ONLY) -> np.ndarray:
     """The ids of blocks in their order; damage raises ValueError."""
     heads = [HEAD.unpack_from(b) for b in blocks]
     if any(h[0] != MAGIC for h in heads):
         raise ValueError("not a block")
     out: list[np.ndarray | None] = [None] * len(blocks)
-    for shape in sorted({(h[1], h[2]) for h in heads}):
-        same = [i for i, h in enumerate(heads) if (h[1], h[2]) == shape]
+    for steps in sorted({h[1] for h in heads}):
+        same = [i for i, h in enumerate(heads) if h[1] == steps]
         for at in range(0, len(same), LANES):
             own = same[at : at + LANES]
             words = [np.frombuffer(blocks[i][HEAD.size :], "<u2") for i in own]
-            for i, row in zip(own, decode_lanes(words, *shape), strict=True):
-                if zlib.crc32(row.astype("<u4").tobytes()) != heads[i][3]:
+            for i, row in zip(own, decode_lanes(words, steps, prior), strict=True):
+                if zlib.crc32(row.astype("<u4").tobytes()) != heads[i][2]:
                     raise ValueError("checksum of a block does not hold")
                 out[i] = row
     return np.concatenate([np.zeros(0, np.int32), *out])
@@ -288,69 +355,117 @@ class Encoder:
     """Ids of texts; what stands between spaces is encoded once and kept for a while.
 
     The vocabulary drops white space and never joins across it, so a text's ids are those
-    of its space-separated parts one after the other.
+    of its space-separated parts one after the other. Nor does it join marks to the letter
+    or digit before them or tell capitals from small letters: a part's ids are those of its
+    core in small letters and of the marks behind it. Arrow cuts a batch into parts and
+    numbers the different ones; only those are looked up one by one.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": ()}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({p for own in parts for p in own if p not in self.known})
-        if len(self.known) + len(fresh) > CACHE:
-            fresh = list({p for own in parts for p in own if p})
-            self.known = {"": ()}
-        # One call for all new parts: a call costs more than a part.
-        starts = np.cumsum([0, *(len(p) + 1 for p in fresh)])
-        found = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
+        #: Part -> its number, which leads to its run of ids.
+        self.known: dict[str, int] = {}
+        self.ids, self.cuts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self, parts: list[str]) -> None:
+        """Encodes new parts in one call, which costs more than a part."""
+        starts = np.cumsum([len(p) + 1 for p in parts])
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         places = np.array([a for a, _ in found.offsets], np.int64)
-        cuts = np.searchsorted(places, starts).tolist()
-        ids = found.ids
-        self.known.update((p, ids[a:z]) for p, a, z in zip(fresh, cuts, cuts[1:], strict=False))
-        return [list(chain.from_iterable(map(self.known.__getitem__, own))) for own in parts]
+        cuts = np.searchsorted(places, starts) + len(self.ids)
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
+        self.ids = np.concatenate([self.ids, np.array(found.ids, np.int32)])
+        self.cuts = np.concatenate([self.cuts, cuts])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(where each text's ids begin, and the end; the ids of all texts)."""
+        lists = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        different = lists.flatten().dictionary_encode()
+        parts = different.dictionary.to_pylist()
+        halves = list(map(split, parts))
+        if len(self.known) > CACHE:
+            self.forget()
+        fresh = list({h for pair in halves for h in pair if h not in self.known})
+        if fresh:
+            self.learn(fresh)
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(halves)), np.int64)
+        number = numbers.reshape(-1, 2)[different.indices.to_numpy()].reshape(-1)
+        begin = self.cuts[number]
+        size = self.cuts[number + 1] - begin
+        upto = np.append(0, np.cumsum(size))
+        flat = self.ids[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], size)]
+        offsets = lists.offsets.to_numpy()
+        return upto[2 * (offsets - offsets[0])], flat
+
+
+def split(part: str) -> tuple[str, str]:
+    """(core, marks behind it): encoded one after the other they give the part's ids."""
+    if "|>" in part or max(part, default="") > "\u00ff":
+        return part, ""  # a special token, or letters whose forms depend on their neighbours
+    m = MARKED.fullmatch(part)
+    return (m[1].lower(), m[2]) if m else (part.lower(), "")
+
+
+#: A letter or digit, then other printable ASCII; an apostrophe may begin a unit of its own.
+MARKED = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each worker process: what a task has met, the next one knows."""
+    return Encoder(path)
 
 
 # Spark -----------------------------------------------------------------------------
 
 SEGMENTS = (
-    "part long, segment long, blocks array<binary>, doc_ids array<long>, sizes array<long>, n long"
+    "part long, before long, n long, prior binary, blocks array<binary>, doc_ids array<long>, "
+    "sizes array<long>"
 )
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
     """Encode every text and write the segments to ``path`` in ascending order."""
     schema = pa.schema(
-        [("part", pa.int64()), ("segment", pa.int64()), ("blocks", pa.list_(pa.binary())),
-         ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("n", pa.int64())]
+        [("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("prior", pa.binary()),
+         ("blocks", pa.list_(pa.binary())), ("doc_ids", pa.list_(pa.int64())),
+         ("sizes", pa.list_(pa.int64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, segment = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        coder, part, before, held = encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
-        names: list[int | None] = []
-        held = 0
+        names: list[pa.Array] = []
+        sizes: list[np.ndarray] = []
 
         def row() -> pa.RecordBatch:
-            blocks = encode(np.concatenate(ids))
+            every = np.concatenate(ids)
+            prior = Prior.of(every)
             one = {
-                "part": part, "segment": segment, "blocks": blocks, "doc_ids": names,
-                "sizes": [len(x) for x in ids], "n": held,
+                "part": part, "before": before, "n": held, "prior": prior.dump(),
+                "blocks": encode(every, prior), "doc_ids": pa.concat_arrays(names).to_pylist(),
+                "sizes": np.concatenate(sizes).tolist(),
             }
             return pa.RecordBatch.from_pylist([one], schema)
 
         for whole in batches:
-            for batch in slices(whole, 1):
-                texts = [(v.as_py() or b"").decode("utf-8", "replace") for v in batch.column(1)]
-                for name, own in zip(batch.column(0).to_pylist(), coder.encode(texts), strict=True):
-                    ids.append(np.array([*own, end_id], np.int32))
-                    names.append(name)
-                    held += len(own) + 1
-                    if held >= LANES * BLOCK:
-                        yield row()
-                        ids, names, held, segment = [], [], 0, segment + 1
+            for batch in slices(whole, 1, 1 << 22):
+                starts, flat = coder.encode(text_column(batch.column(1)))
+                ends = np.insert(flat, starts[1:], end_id)  # after each text's last id
+                ids.append(ends)
+                names.append(batch.column(0))
+                sizes.append(np.diff(starts) + 1)
+                held += len(ends)
+                if held >= LANES * BLOCK:
+                    yield row()
+                    before += held
+                    ids, names, sizes, held = [], [], [], 0
         if ids:
             yield row()
 
@@ -363,33 +478,42 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
     ).parquet(path)
 
 
+def text_column(column: pa.Array) -> pa.Array:
+    """Bytes as text; what is no UTF-8 is replaced."""
+    try:
+        return column.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([(v or b"").decode("utf-8", "replace") for v in column.to_pylist()])
+
+
 def read_ids(spark, path: str) -> DataFrame:
     """(doc_id, start, ids): every document's ids, decoded from the files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                blocks, names, sizes, start = (batch.column(c)[i].as_py() for c in range(4))
-                ids, cuts = decode(blocks), np.cumsum([0, *sizes])
-                ends = cuts.astype(np.int32)
+                prior, blocks, start = (batch.column(c)[i].as_py() for c in range(3))
+                names, sizes = (batch.column(c)[i].values for c in (3, 4))
+                ids, cuts = decode(blocks, Prior.load(prior)), np.append(0, np.cumsum(sizes))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(names, pa.int64()),
+                        names,
                         pa.array(start + cuts[:-1], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)),
+                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids)),
                     ],
                     names=["doc_id", "start", "ids"],
                 )
 
     rows = spark.read.schema(SEGMENTS).parquet(path)
-    starts, total = [], 0
-    # One row for each segment of LANES * BLOCK ids or more, or for each partition.
-    for r in rows.select("part", "segment", "n").orderBy("part", "segment").collect():
-        starts.append((r.part, r.segment, total))
+    # One row a partition of the writing job; inside it the writer has counted.
+    totals, starts, total = rows.groupBy("part").agg(F.sum("n").alias("n")), [], 0
+    for r in totals.orderBy("part").collect():
+        starts.append((r.part, total))
         total += r.n
-    table = spark.createDataFrame(starts, "part long, segment long, start long")
-    placed = rows.join(F.broadcast(table), ["part", "segment"])
-    return placed.select("blocks", "doc_ids", "sizes", "start").mapInArrow(
+    table = spark.createDataFrame(starts, "part long, first long")
+    placed = rows.join(F.broadcast(table), "part")
+    start = F.col("first") + F.col("before")
+    return placed.select("prior", "blocks", start.alias("start"), "doc_ids", "sizes").mapInArrow(
         run, "doc_id long, start long, ids array<int>"
     )
 
