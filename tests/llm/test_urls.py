@@ -54,9 +54,10 @@ def test_trees_agree_with_held_out_labels(spark):
         bad = i % 3 == 0
         host = "".join(rng.choice("0123456789-x" if bad else "aeioulmn") for _ in range(12))
         zone = rng.choice(["net", "com"]) if i % 2 else "org"
-        rows.append((i, f"http://{host}.{'bad' if bad and i % 2 else 'good'}.{zone}/p/{i}"))
+        # Marks of one length: the length of a host says nothing about its verdict.
+        rows.append((i, f"http://{host}.{'evil' if bad and i % 2 else 'good'}.{zone}/p/{i}"))
     rules = urls.parse_rules(
-        ["block bad.com/", "block bad.net/", "allow good.com/", "allow good.net/"]
+        ["block evil.com/", "block evil.net/", "allow good.com/", "allow good.net/"]
     )
     df = spark.createDataFrame(rows, "page_id long, url string")
     got = [r for r in urls.judge(df, rules).collect() if r.rule is None]
@@ -64,6 +65,33 @@ def test_trees_agree_with_held_out_labels(spark):
     assert len(got) == 300 and right > 0.9 * len(got)
 
 
+def test_trees_do_without_suffixes(spark):
+    """Every suffix has urls of both verdicts, or is met once: only the path tells."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(900):
+        bad = i % 3 == 0
+        name = "".join(rng.choice("abcdefghij") for _ in range(9))
+        path = "-".join(str(rng.randrange(10**6)) for _ in range(3)) if bad else "about-us-page"
+        ruled = ("block/" if bad else "allow/") if i % 2 else "other/"
+        rows.append((i, f"http://{name}.site{i % 5}.org/{ruled}{path}"))
+    lines = [f"{v} site{k}.org/{v}/" for k in range(5) for v in ("block", "allow")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = [r for r in urls.judge(df, urls.parse_rules(lines)).collect() if r.rule is None]
+    right = sum((r.verdict == "block") == (r.page_id % 3 == 0) for r in got)
+    assert len(got) == 450 and right > 0.9 * len(got)
+
+
+def test_no_own_verdict_in_training_rates(spark):
+    """A suffix met once says nothing about its url in training."""
+    rows = [(f"u{i}", f"s{i}", f"w{i}", float(i % 2), i % 5) for i in range(40)]
+    train = spark.createDataFrame(rows, "url string, suffix string, wide_suffix string, label double, fold int")
+    got = urls.with_rates(train, train, folded=True).collect()
+    assert {(r.suffix_rate, r.wide_suffix_rate) for r in got} == {(0.5, 0.5)}
+    full = urls.with_rates(train.drop("fold"), train).collect()
+    assert all((r.suffix_rate > 0.5) == (r.label == 1) for r in full)
+
+
 @pytest.mark.parametrize(
     ("rows", "want"),
     [([], []), ([(1, "http://a.org/")], ["allow"]), ([(1, "http://x.net/es/"), (2, None)], ["block"] * 2)],

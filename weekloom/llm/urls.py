@@ -6,7 +6,8 @@ urls that rules decide are the labelled ones: at most ``MAX_LABELLED`` of each v
 (those of the smallest hash) train the trees, every other url is judged by them. The
 features are lengths, depth, character shares, entropy, parameter counts and the smoothed
 block rate of the host's suffix among the training urls, at most two per training row, so
-the table of suffixes that is broadcast has that bound.
+the table of suffixes that is broadcast has that bound. A training url takes these rates
+from the other folds of the training urls: its own verdict is in none of its features.
 
 A null url, and one without ``://``, has an empty host and path, no rule, and is judged by
 the trees like any other. Repeated rows each get a row. Where the labelled urls have one
@@ -31,6 +32,8 @@ MAX_LABELLED = 5_000
 TREES = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.3, "seed": 7}
 #: Weight of the overall rate in a suffix's rate, in urls.
 PRIOR = 10.0
+#: Training urls take suffix rates from the other folds.
+FOLDS = 5
 FEATURES = [
     "url_chars", "host_chars", "path_chars", "host_labels", "depth", "params", "fragment",
     "digit_share", "host_digits", "hyphens", "other_share", "longest_label", "entropy",
@@ -115,14 +118,25 @@ def lexical(df: DataFrame) -> DataFrame:
     )
 
 
-def with_rates(df: DataFrame, train: DataFrame) -> DataFrame:
-    """Adds the block rates of both suffixes in ``train``; unseen ones get the overall rate."""
+def with_rates(df: DataFrame, train: DataFrame, folded: bool = False) -> DataFrame:
+    """Adds the block rates of both suffixes in ``train``; unseen ones get the overall rate.
+
+    ``folded`` is for the training urls themselves: the rates of a url come from the other
+    folds alone, so that no url meets its own verdict in a feature.
+    """
     total = train.agg(F.avg("label").alias("r")).first()["r"]
     for name in ("suffix", "wide_suffix"):
-        rates = train.groupBy(name).agg(
-            ((F.sum("label") + PRIOR * total) / (F.count("*") + PRIOR)).alias(f"{name}_rate")
-        )  # at most one row for each training url
-        df = df.join(F.broadcast(rates), name, "left").fillna(total, [f"{name}_rate"])
+        blocked, n = F.sum("label").alias("blocked"), F.count("*").alias("n")
+        rates = train.groupBy(name).agg(blocked, n)  # at most one row for each training url
+        if folded:
+            own = train.groupBy(name, "fold").agg(F.sum("label").alias("b"), F.count("*").alias("m"))
+            rates = own.join(rates, name).select(
+                name, "fold", (F.col("blocked") - F.col("b")).alias("blocked"), (F.col("n") - F.col("m")).alias("n")
+            )
+        rate = (F.col("blocked") + PRIOR * total) / (F.col("n") + PRIOR)
+        rates = rates.withColumn(f"{name}_rate", rate).drop("blocked", "n")
+        keys = [name, "fold"] if folded else [name]
+        df = df.join(F.broadcast(rates), keys, "left").fillna(total, [f"{name}_rate"])
     return df
 
 
@@ -141,7 +155,7 @@ def judge(pages: DataFrame, rules: list[Rule], most: int = MAX_LABELLED) -> Data
     # Bounded and in one fixed order, so that the trees do not depend on partitions.
     train = lexical(samples[0].unionByName(samples[1])).withColumn(
         "label", (F.col("ruled") == "block").cast("double")
-    )
+    ).withColumn("fold", F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(FOLDS)))
     train = stage(train.coalesce(1).sortWithinPartitions("h", "url", "page_id"), "url-labels")
     seen = {r.ruled for r in train.select("ruled").distinct().collect()}
     keep = ["page_id", "url", "host", "path", "rule"]
@@ -152,7 +166,7 @@ def judge(pages: DataFrame, rules: list[Rule], most: int = MAX_LABELLED) -> Data
         )
     pack = VectorAssembler(inputCols=FEATURES, outputCol="features")
     fitted = stage(
-        with_rates(train, train).orderBy("h", "url", "page_id").coalesce(1).select("label", *FEATURES),
+        with_rates(train, train, folded=True).orderBy("h", "url", "page_id").coalesce(1).select("label", *FEATURES),
         "url-train",
     )
     model = GBTClassifier(maxBins=64, **TREES).fit(pack.transform(fitted).select("features", "label"))
