@@ -55,7 +55,7 @@ TABLE = 1 << 17
 #: Classes of ids by length in bits; the other bits of an id are coded evenly.
 CLASSES = 29
 #: Parts of texts whose ids a task keeps.
-CACHE = 400_000
+CACHE = 200_000
 
 # Models ----------------------------------------------------------------------------
 
@@ -103,7 +103,10 @@ class Prior:
 
     def symbols(self, ids: np.ndarray) -> np.ndarray:
         found = self.symbol[np.minimum(ids, TABLE - 1)]
-        return np.where((found < 0) | (ids >= TABLE), length(ids), found)
+        rest = (found < 0) | (ids >= TABLE)
+        if rest.any():
+            found[rest] = length(ids[rest])
+        return found
 
     def targets(self) -> np.ndarray:
         """The symbol of every value below 2^FINE."""
@@ -256,11 +259,12 @@ def encode_lanes(ids: np.ndarray, prior: Prior) -> list[bytes]:
     n, steps = ids.shape
     ids = np.ascontiguousarray(ids.T)
     symbols = prior.symbols(ids)
-    extra = prior.extra[symbols]
+    step, lane = np.nonzero(symbols < CLASSES)
+    extra = np.bincount(lane, prior.extra[symbols[step, lane]], n)
     # An event and its symbol cost 26 bits at most: the floors see to that.
-    room = int(extra.sum(axis=0).max(initial=0)) // 16 + 2 * steps + 8
+    room = int(extra.max(initial=0)) // 16 + 2 * steps + 8
     model, out = Predictor(n), Writer(n, room)
-    for own, symbol, more in zip(ids, symbols, extra, strict=True):
+    for own, symbol in zip(ids, symbols, strict=True):
         two, one = model.look()
         event = np.where(own == two, 0, 2 - (own == one))
         rest = event == 2
@@ -271,8 +275,7 @@ def encode_lanes(ids: np.ndarray, prior: Prior) -> list[bytes]:
         start = (edge.astype(np.int64) << FINE) + prior.below[symbol] * share
         size = np.where(rest, prior.share[symbol] * share, wide.astype(np.int64) << FINE)
         out.put(PAIR, start, size)
-        if more.any():
-            more = np.where(rest, more, 0)
+        if len(lane) and (more := np.where(rest, prior.extra[symbol], 0)).any():
             value = np.where(more > 0, own - prior.base[symbol], 0)
             out.put(more, value, np.ones(n, np.int64))
         model.learn(own, event)
@@ -455,7 +458,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
             return pa.RecordBatch.from_pylist([one], schema)
 
         for whole in batches:
-            for batch in slices(whole, 1, 1 << 22):
+            for batch in slices(whole, 1, 1 << 21):
                 starts, flat = coder.encode(text_column(batch.column(1)))
                 ends = np.insert(flat, starts[1:], end_id)  # after each text's last id
                 ids.append(ends)
