@@ -2,7 +2,7 @@
 
 A text is a lattice of vocabulary pieces. No piece reaches across the start of a word or a
 line break, so the lattice is a chain of small ones, one for each word with the spaces
-before it, and the lattice of a word is built once for all of its occurrences in a slice.
+before it, and the lattice of a word is built once and kept for later texts of the worker.
 A piece weighs ``rank ** -alpha``; backward sums make every edge a conditional
 probability.
 
@@ -29,17 +29,20 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import long_rows, mix64, pick, slices
+from weekloom.llm.common import byte_view, long_rows, mix64, pick, slices
 
 SAMPLES = 2
 ALPHA = 0.5
 SLICE = 1 << 20
+#: Edges of known units a worker keeps, of 21 bytes each.
+KEPT = 4_000_000
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BYTE = 3  # id of the piece of byte 0
 STEP = np.uint64(0x9FB21C651E98DF25)
@@ -69,6 +72,7 @@ class Vocabulary:
                 points = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
                 (code,) = hashes(prefix(points), np.zeros(1, np.int64), len(points))
                 found.setdefault(len(points), []).append((int(code), i))
+        self.spelling = pa.array(self.raw, pa.binary())
         self.unknown = float(self.weight.min())
         self.sizes = sorted(found)
         self.tables = {}
@@ -194,6 +198,65 @@ class Lattice:
         return edges, np.where(real, self.share[edges], 0.0)
 
 
+class Known(dict):
+    """Unit -> its number in one growing lattice, which a worker keeps from slice to slice.
+
+    Looking up a new unit numbers it; ``solved`` then builds the lattices of the new ones
+    together and appends them. Beyond ``KEPT`` edges everything is forgotten.
+    """
+
+    EDGES, NODES, UNITS = ("piece", "size", "share", "upto"), ("first", "count"), ("start", "stop")
+
+    def __init__(self, voc: Vocabulary) -> None:
+        super().__init__()
+        self.voc = voc
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.fresh: list[str] = []
+        self.lattice = Lattice([], self.voc)
+        self.used = dict.fromkeys(self.EDGES + self.NODES + self.UNITS, 0)
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self)
+        self.fresh.append(unit)
+        return number
+
+    def begin(self) -> None:
+        """Before a slice: its units stay until its end."""
+        if self.used["piece"] > KEPT:
+            self.forget()
+
+    def solved(self) -> Lattice:
+        """The lattice of all units looked up so far."""
+        if self.fresh:
+            new = Lattice(self.fresh, self.voc)
+            new.first += self.used["piece"]
+            new.start += self.used["first"]
+            new.stop += self.used["first"]
+            for name in self.used:
+                self.append(name, getattr(new, name))
+            self.fresh = []
+        return self.lattice
+
+    def append(self, name: str, more: np.ndarray) -> None:
+        have, used = getattr(self.lattice, name), self.used[name]
+        total = used + len(more)
+        if total > len(have):
+            room = np.empty(max(total, 3 * len(have) // 2), more.dtype)
+            room[:used] = have[:used]
+            setattr(self.lattice, name, room)
+            have = room
+        have[used:total] = more
+        self.used[name] = total
+
+
+@lru_cache(maxsize=1)
+def known_units(path: str, alpha: float) -> Known:
+    return Known(vocabulary(path, alpha))
+
+
 def mixed(start: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
     for p in parts:
         start = mix64((start + np.asarray(p).astype(np.uint64)) * STEP + np.uint64(1))
@@ -260,13 +323,14 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def segment(
-    texts: list[str], keys: np.ndarray, voc: Vocabulary, samples: int
+    texts: list[str], keys: np.ndarray, voc: Vocabulary | Known, samples: int
 ) -> list[list[tuple]]:
     """Per text, up to ``samples`` tuples (ids, log-probability, log inclusion)."""
-    known: dict[str, int] = {}
+    known = voc if isinstance(voc, Known) else Known(voc)
+    known.begin()
     found = [UNIT.findall(" " + t) if t else [] for t in texts]
-    flat = np.array([known.setdefault(u, len(known)) for own in found for u in own], np.int64)
-    lat = Lattice(list(known), voc)
+    flat = np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.int64)
+    lat = known.solved()
     n_units = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(n_units)
     starts = ends - n_units
@@ -428,13 +492,13 @@ def encode(
     """(doc_id, text_crc32, segmentations, logps, inclusions): sampled without replacement."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = vocabulary(model, alpha)
+        known = known_units(model, alpha)
         for whole in batches:
             for batch in slices(whole, 1, SLICE):
                 raw = [v.as_py() or b"" for v in batch.column(1)]
                 texts = [r.decode("utf-8", "replace") for r in raw]
                 keys = np.array([k or 0 for k in batch.column(0).to_pylist()], np.int64) ^ seed
-                rows = segment(texts, keys, voc, samples)
+                rows = segment(texts, keys, known, samples)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
@@ -475,12 +539,21 @@ def decoded(encoded: DataFrame, model: str, alpha: float = ALPHA) -> DataFrame:
         voc = vocabulary(model, alpha)
         for batch in batches:
             size, crc, good = [], [], []
-            for want, lists in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                own = [x.values.to_numpy() for x in lists]
-                size.append([len(x) for x in own])
-                crc.append([zlib.crc32(x.astype("<u4").tobytes()) for x in own])
-                texts = [decode(x.tolist(), voc) for x in own]
-                good.append(all(zlib.crc32(t.encode()) == want for t in texts))
+            inner = batch.column(2).flatten()
+            values = inner.flatten()
+            ids = values.to_numpy().astype("<u4")
+            cuts = np.append(0, np.cumsum(inner.value_lengths().to_numpy())).tolist()
+            # What the pieces spell, one text after the other.
+            places, spelt = byte_view(voc.spelling.take(values))
+            at, count = 0, batch.column(2).value_lengths().to_pylist()
+            for want, n in zip(batch.column(1).to_pylist(), count, strict=True):
+                runs = list(zip(cuts[at : at + n], cuts[at + 1 : at + n + 1], strict=True))
+                at += n
+                size.append([z - a for a, z in runs])
+                crc.append([zlib.crc32(ids[a:z].tobytes()) for a, z in runs])
+                # The first byte is the space mark before every text.
+                texts = [spelt[places[a] + (z > a) : places[z]] for a, z in runs]
+                good.append(all(zlib.crc32(t.tobytes()) == want for t in texts))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
