@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import PANEL_SCHEMA
 from weekloom.functions.calendar import holiday_week
+from weekloom.functions.arrays import bound
+from weekloom.models import treetable
 from weekloom.models.gbt import PooledTrees
 from weekloom.models.seqlinear import SequenceRegression
-from weekloom.operators import baselines, closed_form
+from weekloom.operators import baselines, closed_form, custom
 from weekloom.operators.custom import fit_predict_each
 from weekloom.operators.features import SEQUENCE_FEATURES, TREE_FEATURES, build_features
 from weekloom.operators.split import with_split
@@ -210,3 +212,91 @@ def test_custom_model_isolates_failures(spark, tiny_panel):
     bad = [r for r in rows if r.state == "StateA"]
     assert len(good) == 3 and all(r.error is None and r.forecast > 0 for r in good)
     assert len(bad) == 1 and "too large" in bad[0].error and bad[0].forecast is None
+
+
+def test_node_table_predicts_as_the_fitted_trees(spark, trees, featured, tmp_path):
+    trees.save(str(tmp_path / "trees"))
+    table = PooledTrees.load(spark, str(tmp_path / "trees"))
+    assert table.model is None and table.nodes.count() > 5
+    rows = lambda m: m.predict_onestep(featured).orderBy("state", "date").collect()
+    want, got = rows(trees), rows(table)
+    assert [r.forecast for r in got] == pytest.approx([r.forecast for r in want], rel=1e-12)
+    own = {r.feature: r.importance for r in table.feature_importance(spark).collect()}
+    fitted = trees.model.featureImportances.toArray().tolist()
+    assert own == {f: pytest.approx(v, abs=1e-12) for f, v in zip(TREE_FEATURES, fitted, strict=True)}
+
+
+def test_recursion_is_one_projection_of_the_state(trees, featured):
+    """All steps are one fold: the plan has no exchange beyond those of the state."""
+    history = featured.filter("split = 'train'")
+    plans = [
+        trees.predict_recursive(history, h)._jdf.queryExecution().executedPlan().toString()
+        for h in (1, 20)
+    ]
+    assert plans[0].count("Exchange") == plans[1].count("Exchange")
+
+
+def test_mean_split_trees_by_hand(spark):
+    rows = [(float(i), float(i % 3), 10.0 * i) for i in range(8)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    nodes = treetable.mean_split_trees(df, [("a", "b"), ("b", "a")], "y", rate=0.5)
+    left = {i: r[2] for i, r in enumerate(rows)}
+    total = dict.fromkeys(range(8), 0.0)
+    cut = {"a": 3.5, "b": sum(r[1] for r in rows) / 8}
+    for pair in (("a", "b"), ("b", "a")):
+        place = {
+            i: tuple({"a": r[0], "b": r[1]}[f] > cut[f] for f in pair) for i, r in enumerate(rows)
+        }
+        for leaf in set(place.values()):
+            own = [i for i in place if place[i] == leaf]
+            mean = 0.5 * sum(left[i] for i in own) / len(own)
+            for i in own:
+                total[i] += mean
+                left[i] -= mean
+    ensemble = treetable.packed(nodes, ["a", "b"])
+    value = bound(ensemble, lambda e: treetable.walk(F.array("a", "b"), e))
+    got = {int(r.a): r.v for r in df.select("a", value.alias("v")).collect()}
+    assert got == {i: pytest.approx(v) for i, v in total.items()}
+
+
+def test_stored_custom_models(spark, tiny_panel, tmp_path):
+    def make():
+        class Last:
+            def fit(self, history):
+                if history["sales"].mean() > 400:
+                    raise ValueError("too large")
+                self.last = float(history["sales"].iloc[-1])
+                return self
+
+            def predict(self, horizon):
+                return [self.last] * horizon
+
+            def predict_insample(self, history):
+                return [None, *history["sales"].iloc[:-1]]
+
+            def dump(self):
+                return repr(self.last).encode()
+
+            @classmethod
+            def load(cls, data):
+                out = cls()
+                out.last = float(data)
+                return out
+
+        return Last
+
+    model = make()
+    custom.save_models(custom.fit_each(tiny_panel, model, "last"), str(tmp_path / "m"))
+    stored = custom.load_models(spark, str(tmp_path / "m"))
+    assert {r.state: r.n_train for r in stored.collect()} == {"StateA": 120, "StateB": 120}
+    direct = [r for r in fit_predict_each(tiny_panel, model, "last", 3).collect() if r.error is None]
+    later = custom.predict_each(stored, model.load, 3).collect()
+    assert sorted(direct) == sorted(r for r in later if r.error is None)
+    assert ["too large" in r.error for r in later if r.state == "StateA"] == [True]
+    more = tiny_panel.unionByName(one(spark, [1.0, 2.0]).withColumn("state", F.lit("New")))
+    fitted = custom.insample_each(stored, more, model.load).orderBy("state", "date").collect()
+    own = [r for r in fitted if r.state == "StateB"]
+    sales = [r.sales for r in tiny_panel.filter("state = 'StateB'").orderBy("date").collect()]
+    assert [r.fitted for r in own] == [None, *sales[:-1]]
+    assert {r.state: r.error for r in fitted if r.error}.keys() == {"StateA", "New"}
+    assert custom.predict_each(stored.limit(0), model.load).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,3 +47,8 @@ def dot(values: Column, weights: list[float]) -> Column:
     fixed = F.array(*[F.lit(float(w)) for w in weights])
     products = F.zip_with(values, fixed, lambda x, w: x * w)
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -8,8 +8,9 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.functions.arrays import push
+from weekloom.functions.arrays import bound, push
 from weekloom.models import state as recursion
+from weekloom.models import treetable
 from weekloom.operators.encode import encode_keys
 from weekloom.operators.features import TREE_FEATURES, complete_cases
 from weekloom.operators.horizon import weeks_after
@@ -29,15 +30,14 @@ DEFAULT_PARAMS = {
     "seed": 42,
 }
 
-# Steps of recursion between two lineage cuts.
-CUT_EVERY = 4
-
 
 class PooledTrees:
     """One gradient-boosted model for every series, with the series code as a feature.
 
     Rows stay distributed throughout: codes are a table, training rows are a persisted
-    DataFrame, and prediction for all series at once is a projection.
+    DataFrame, and prediction for all series at once is a projection. The trees are a table
+    of nodes, too: recursion walks it inside one expression, importances are sums over it,
+    and a model without the library's own object predicts from it.
     """
 
     def __init__(self, spec: PanelSpec = DEFAULT, **params):
@@ -45,14 +45,29 @@ class PooledTrees:
         self.params = {**DEFAULT_PARAMS, **params}
         self.model: GBTRegressionModel | None = None
         self.codes: DataFrame | None = None
+        self.nodes: DataFrame | None = None
+
+    @classmethod
+    def of_nodes(cls, nodes: DataFrame, codes: DataFrame, spec: PanelSpec = DEFAULT) -> PooledTrees:
+        """A model that is nothing but its tables."""
+        out = cls(spec)
+        out.nodes, out.codes = nodes, codes
+        return out
 
     def _coded(self, df: DataFrame) -> DataFrame:
         return df.join(self.codes, list(self.spec.keys))
 
     @staticmethod
-    def _vector(columns: dict[str, Column] | None = None) -> Column:
+    def _array(columns: dict[str, Column] | None = None) -> Column:
         values = {c: F.col(c) for c in TREE_FEATURES} if columns is None else columns
-        return array_to_vector(F.array(*[values[c].cast("double") for c in TREE_FEATURES]))
+        return F.array(*[values[c].cast("double") for c in TREE_FEATURES])
+
+    def _vector(self) -> Column:
+        return array_to_vector(self._array())
+
+    def _walked(self) -> Column:
+        ensemble = treetable.packed(self.nodes, TREE_FEATURES)
+        return bound(ensemble, lambda e: treetable.walk(self._array(), e))
 
     def fit(self, featured: DataFrame) -> PooledTrees:
         """Fit on a feature panel with a ``split`` column; val rows stop the boosting."""
@@ -75,12 +90,16 @@ class PooledTrees:
             ).fit(rows)
         finally:
             rows.unpersist()
+        self.nodes = treetable.node_table(self.model, TREE_FEATURES)
         return self
 
     def predict_onestep(self, featured: DataFrame) -> DataFrame:
         """Predictions for rows whose features exist already."""
         rows = complete_cases(self._coded(featured), TREE_FEATURES)
-        scored = self.model.transform(rows.withColumn("features", self._vector()))
+        if self.model is None:
+            scored = rows.withColumn("prediction", self._walked())
+        else:
+            scored = self.model.transform(rows.withColumn("features", self._vector()))
         return scored.select(
             *self.spec.cell, F.lit(NAME).alias("model"), F.col("prediction").alias("forecast")
         )
@@ -90,50 +109,58 @@ class PooledTrees:
     ) -> DataFrame:
         """``horizon`` weeks ahead for all series, each step fed by the one before.
 
-        A step is a projection of the one-row-per-series state, without a shuffle.
-        The lineage is cut into a stored table every few steps.
+        The whole recursion is one fold expression per series: a step walks the node table
+        on the features it has just built. No loop over jobs, no shuffle between steps.
         """
         spec = self.spec
-        now = self._coded(recursion.history_state(panel, spec, origin))
-        now = now.withColumns(
-            {"path": F.array().cast("array<double>"), "_step": F.lit(1)}
+        state = self._coded(recursion.history_state(panel, spec, origin))
+
+        def advance(acc: Column, step: Column, ensemble: Column) -> Column:
+            row = recursion.next_features(
+                acc["hist"],
+                acc["total"],
+                acc["n"],
+                weeks_after(F.col("last_date"), step),
+                F.col("origin"),
+            )
+            x = self._array({**row, "state_encoded": F.col("state_encoded")})
+            return bound(
+                treetable.walk(x, ensemble),
+                lambda value: F.struct(
+                    push(acc["hist"], value, recursion.HISTORY).alias("hist"),
+                    (acc["total"] + value).alias("total"),
+                    (acc["n"] + 1).alias("n"),
+                    F.concat(acc["path"], F.array(value)).alias("path"),
+                ),
+            )
+
+        start = F.struct(
+            F.col("hist").alias("hist"),
+            F.col("hist_sum").alias("total"),
+            F.col("hist_count").alias("n"),
+            F.array().cast("array<double>").alias("path"),
         )
-        keep = [*spec.keys, "state_encoded", "last_date", "origin"]
-        # The step is a column, so every step is the same plan and its compiled code is reused.
-        day = weeks_after(F.col("last_date"), F.col("_step"))
-        vector = self._vector(
-            {**recursion.from_row(day), "state_encoded": F.col("state_encoded")}
+        steps = F.sequence(F.lit(1), F.lit(horizon))
+        path = bound(
+            treetable.packed(self.nodes, TREE_FEATURES),
+            lambda ensemble: F.aggregate(
+                steps, start, lambda acc, k: advance(acc, k, ensemble), lambda acc: acc["path"]
+            ),
         )
-        value = F.col("prediction")
-        for step in range(1, horizon + 1):
-            scored = self.model.transform(now.withColumn("features", vector))
-            now = scored.select(
-                *keep,
-                push(F.col("hist"), value, recursion.HISTORY).alias("hist"),
-                (F.col("hist_sum") + value).alias("hist_sum"),
-                (F.col("hist_count") + 1).alias("hist_count"),
-                F.concat("path", F.array(value)).alias("path"),
-                (F.col("_step") + 1).alias("_step"),
-            )
-            if step % CUT_EVERY == 0 and step < horizon:
-                now = stage(now, "recursion")
-        return recursion.unroll(now, NAME, spec)
+        return recursion.unroll(state.select(*spec.keys, "last_date", path.alias("path")), NAME, spec)
 
     def feature_importance(self, spark: SparkSession) -> DataFrame:
         """(feature, importance), most important first."""
-        values = [float(v) for v in self.model.featureImportances.toArray()]
-        rows = spark.createDataFrame(
-            list(zip(TREE_FEATURES, values, strict=True)), "feature string, importance double"
-        )
-        return rows.orderBy(F.col("importance").desc(), "feature")
+        shares = treetable.importance(self.nodes, TREE_FEATURES)
+        return shares.orderBy(F.col("importance").desc(), "feature")
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
+        if self.model is not None:
+            self.model.write().overwrite().save(f"{path}/model")
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
         self.codes.write.mode("overwrite").parquet(f"{path}/codes")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, spec: PanelSpec = DEFAULT) -> PooledTrees:
-        out = cls(spec)
-        out.model = GBTRegressionModel.load(f"{path}/model")
-        out.codes = spark.read.parquet(f"{path}/codes")
-        return out
+        nodes, codes = (spark.read.parquet(f"{path}/{name}") for name in ("nodes", "codes"))
+        return cls.of_nodes(nodes, codes, spec)

@@ -129,8 +129,8 @@ def absent(failure: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(failure.getCondition())
 
 
-def require_tables(df_paths: dict[str, str], spark: SparkSession) -> None:
-    """Raise with the full list when stored tables that lookups need are absent."""
+def missing_tables(df_paths: dict[str, str], spark: SparkSession) -> list[str]:
+    """Names of stored tables that are absent; a damaged one raises."""
     missing = []
     for name, path in df_paths.items():
         try:
@@ -139,5 +139,11 @@ def require_tables(df_paths: dict[str, str], spark: SparkSession) -> None:
             if not absent(failure):
                 raise
             missing.append(name)
+    return sorted(missing)
+
+
+def require_tables(df_paths: dict[str, str], spark: SparkSession) -> None:
+    """Raise with the full list when stored tables that lookups need are absent."""
+    missing = missing_tables(df_paths, spark)
     if missing:
-        raise ValidationError(f"Missing tables: {sorted(missing)}")
+        raise ValidationError(f"Missing tables: {missing}")

@@ -189,6 +189,17 @@ CTES["numbered"] = f"""
            row_number() OVER (PARTITION BY state ORDER BY date) AS rn
     FROM (SELECT * FROM scaled WHERE {SEQ_PRESENT}) s JOIN target_range USING (state)"""
 
+CTES["split_numbered"] = CTES["numbered"].replace(
+    "SELECT s.*,", f"SELECT s.*, {SPLIT} AS split,"
+).replace("PARTITION BY state", f"PARTITION BY state, {SPLIT}")
+MONEY = {*LAGS, *ROLLING, "state_expanding_mean"}
+
+
+def shown(value: str, unit: float) -> str:
+    """A single-precision value in larger units, at five places."""
+    return f"floor(CAST(CAST({value} AS FLOAT) AS DOUBLE) / {unit} * 1e5 + 0.501) / 1e5"
+
+
 # Forecasts -------------------------------------------------------------------------
 
 
@@ -528,12 +539,14 @@ QUERIES: dict[str, str] = {
         FROM numbered t JOIN numbered s
           ON s.state = t.state AND s.rn BETWEEN t.rn - 12 AND t.rn - 1
         WHERE t.rn > 12""",
-    "build_datasets": f"""SELECT 'matrix' AS kind, {SPLIT} AS split, state, date,
-        0 AS steps FROM features WHERE {ALL_PRESENT}
-        UNION ALL SELECT 'sequence', split, state, date, 12 FROM (
-            SELECT state, date, {SPLIT} AS split,
-                   row_number() OVER (PARTITION BY state, {SPLIT} ORDER BY date) AS rn
-            FROM features WHERE {SEQ_PRESENT}) WHERE rn > 12""",
+    "build_datasets": f"""SELECT 'matrix' AS kind, {SPLIT} AS split, state, date, 0 AS pos,
+        {shown("sales", 1e5)} AS label, {", ".join(f"{shown(c, 1e5 if c in MONEY else 1)} AS {c}" for c in ALL)}
+        FROM features WHERE {ALL_PRESENT}
+        UNION ALL SELECT 'sequence', t.split, t.state, t.date, CAST(s.rn - t.rn + 12 AS INTEGER),
+        {shown("t.target_scaled", 1)}, {", ".join(shown("s." + c, 1) if c in SEQ else "NULL" for c in ALL)}
+        FROM split_numbered t JOIN split_numbered s
+          ON s.state = t.state AND s.split = t.split AND s.rn BETWEEN t.rn - 12 AND t.rn - 1
+        WHERE t.rn > 12""",
     # baselines and closed-form models
     "naive_forecast": "SELECT state, date, model, floor((forecast) * 1e4 + 0.501) / 1e4 AS forecast FROM naive_future",
     "seasonal_naive": """SELECT state, date, floor((forecast) * 1e4 + 0.501) / 1e4 AS forecast
@@ -562,6 +575,17 @@ QUERIES: dict[str, str] = {
     "custom_model": """SELECT n.state, n.date, 'mean' AS model, floor((m) * 1e3 + 0.501) / 1e3 AS forecast
         FROM naive_future n JOIN (SELECT state, AVG(sales) AS m FROM panel GROUP BY 1)
         USING (state)""",
+    "custom_insample": """SELECT state, date, 'mean' AS model,
+        floor(AVG(sales) OVER (PARTITION BY state) * 1e3 + 0.501) / 1e3 AS fitted FROM panel""",
+    "joined_eval": """SELECT p.state, p.date, p.model, floor((p.forecast) * 1e3 + 0.501) / 1e3 AS forecast,
+        floor((v.sales) * 1e3 + 0.501) / 1e3 AS actual FROM preds p JOIN val v USING (state, date)""",
+    "not_forecast": """SELECT state, best_model, second_model, CASE WHEN state LIKE '%1'
+            THEN 'no model has a forecast' ELSE 'neither selected model has a forecast' END AS reason
+        FROM selection WHERE state LIKE '%1' OR state LIKE '%2'""",
+    "serving_inputs": """SELECT 'forecasts' AS name, TRUE AS present, COUNT(*) AS n_rows FROM final
+        UNION ALL SELECT 'selection', TRUE, COUNT(*) FROM selection
+        UNION ALL SELECT 'metrics', TRUE, COUNT(*) FROM metrics
+        UNION ALL SELECT 'leaderboard', FALSE, 0""",
     # metrics and selection
     "forecast_metrics": f"SELECT state, model, {METRIC_COLS} FROM metrics",
     "align_eval": """SELECT p.state, p.date, p.model, floor((p.forecast) * 1e3 + 0.501) / 1e3 AS forecast,
@@ -645,6 +669,95 @@ QUERIES: dict[str, str] = {
                               FROM selection GROUP BY 1) USING (model)""",
 }
 
+# Trees that split at means ---------------------------------------------------------
+
+#: As the queries' ``TREE_PAIRS``.
+TREE_PAIRS = [("roll_mean_13", "lag_52"), ("lag_1", "week_of_year"), ("roll_mean_4", "lag_7")]
+
+
+def leaf_sql(k: int, prefix: str = "") -> str:
+    """Number of the leaf of tree k: which side of both means."""
+    first, second = TREE_PAIRS[k]
+    return (
+        f"(2 * CAST({prefix}{first} > c.cut_{first} AS INTEGER)"
+        f" + CAST({prefix}{second} > c.cut_{second} AS INTEGER))"
+    )
+
+
+CTES["tree_rows"] = f"SELECT * FROM features WHERE {ALL_PRESENT} AND date < {VAL}"
+CTES["tree_cuts"] = "SELECT " + ", ".join(
+    f"floor(AVG({f}) * 1000) / 1000 + 0.0005 AS cut_{f}" for pair in TREE_PAIRS for f in pair
+) + " FROM tree_rows"
+CTES["tree_left_0"] = "SELECT *, sales AS left_over FROM tree_rows"
+for _k in range(len(TREE_PAIRS)):
+    CTES[f"tree_leaf_{_k}"] = f"""
+    SELECT leaf, 0.5 * AVG(left_over) AS value
+    FROM (SELECT {leaf_sql(_k)} AS leaf, left_over FROM tree_left_{_k}, tree_cuts c)
+    GROUP BY 1"""
+    CTES[f"tree_left_{_k + 1}"] = f"""
+    SELECT r.* REPLACE (left_over - l.value AS left_over)
+    FROM tree_left_{_k} r, tree_cuts c, tree_leaf_{_k} l WHERE l.leaf = {leaf_sql(_k)}"""
+
+
+def tree_value(prefix: str) -> str:
+    """The sum of the leaves that a row of features reaches."""
+    return " + ".join(
+        f"coalesce((SELECT l.value FROM tree_leaf_{k} l WHERE l.leaf = {leaf_sql(k, prefix)}), 0)"
+        for k in range(len(TREE_PAIRS))
+    )
+
+
+def tree_nodes() -> str:
+    parts = []
+    for k, (first, second) in enumerate(TREE_PAIRS):
+        for node, f, left, right in ((0, first, 1, 4), (1, second, 2, 3), (4, second, 5, 6)):
+            parts.append(
+                f"SELECT {k} AS tree, {node} AS node, '{f}' AS feature, "
+                f"floor(cut_{f} * 1e4 + 0.501) / 1e4 AS threshold, CAST({left} AS INTEGER) AS \"left\", "
+                f"CAST({right} AS INTEGER) AS \"right\", CAST(NULL AS DOUBLE) AS value FROM tree_cuts"
+            )
+        for leaf, node in enumerate((2, 3, 5, 6)):
+            parts.append(
+                f"SELECT {k}, {node}, NULL, NULL, -1, -1, floor(coalesce(MAX(value), 0) * 1e4 + 0.501) / 1e4"
+                f" FROM tree_leaf_{k} WHERE leaf = {leaf}"
+            )
+    return " UNION ALL ".join(parts)
+
+
+QUERIES["tree_table"] = tree_nodes()
+QUERIES["tree_table_onestep"] = f"""SELECT f.state, f.date,
+        floor(({tree_value("f.")}) * 1e4 + 0.501) / 1e4 AS forecast
+    FROM features f, tree_cuts c WHERE {ALL_PRESENT} AND date >= {VAL} AND date < {TEST}"""
+QUERIES["gbt_table_check"] = f"""SELECT state, date, TRUE AS agrees FROM features
+    WHERE {ALL_PRESENT} AND date >= {VAL}"""
+
+
+def tree_recursion_sql() -> str:
+    """Eight weeks, each row of features made from the values before it."""
+    back = {"lag_1": "h[-1]", "lag_7": "h[-7]", "lag_52": "h[-52]", "week_of_year": "week(day)",
+            "roll_mean_4": "list_avg(h[-4:])", "roll_mean_13": "list_avg(h[-13:])"}
+    used = list(dict.fromkeys(f for pair in TREE_PAIRS for f in pair))
+    made = ", ".join(f"{back[f]} AS {f}" for f in used)
+    body = f"""
+    SELECT state, CAST(day AS DATE) AS date, floor(h[-1] * 1e4 + 0.501) / 1e4 AS forecast
+    FROM steps WHERE k > 0"""
+    need = _needed("panel tree_cuts " + " ".join(f"tree_leaf_{k}" for k in range(len(TREE_PAIRS))))
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n]}\n)" for n in need)
+    return f"""WITH RECURSIVE {parts},
+starts AS MATERIALIZED (
+    SELECT state, MAX(date) AS last, list(sales ORDER BY date) AS h FROM panel
+    GROUP BY state HAVING COUNT(*) > 52
+),
+steps AS (
+    SELECT state, 0 AS k, last AS day, h FROM starts
+    UNION ALL
+    SELECT state, k + 1, day, list_append(h, {tree_value("x.")})
+    FROM (SELECT state, k, day, h, {made}
+          FROM (SELECT state, k, CAST(day + 7 AS DATE) AS day, h FROM steps WHERE k < {FUTURE_WEEKS})) x,
+         tree_cuts c
+){body}"""
+
+
 # The first week after every series, through the same windows as all other rows.
 RECURSIVE = """
     extended AS (
@@ -676,10 +789,16 @@ def compose(text: str) -> str:
     names = _needed(text)
     if not names:
         return text
-    parts = ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in names)
+    parts = ",\n".join(f"{n} AS {kept(n, names, text)}({CTES[n]}\n)" for n in names)
     return f"WITH {parts}\n{text}"
 
 
+def kept(name: str, names: list[str], text: str) -> str:
+    """What is read more than once is computed once."""
+    readers = sum(len(re.findall(rf"\b{name}\b", t)) for t in [text, *(CTES[n] for n in names if n != name)])
+    return "MATERIALIZED " if readers > 1 else ""
+
+
 def recursive_features_sql() -> str:
     body = CTES["features"].replace("FROM panel p", "FROM extended p")
     last = f"SELECT state, date, {cols(ALL, 3)} FROM ({body}) WHERE sales IS NULL"
@@ -691,6 +810,8 @@ def recursive_features_sql() -> str:
 def oracles() -> dict[str, str]:
     out = {name: compose(text) for name, text in QUERIES.items()}
     out["recursive_features"] = recursive_features_sql()
+    out["custom_model_stored"] = out["custom_model"]
+    out["tree_table_recursive"] = tree_recursion_sql()
     out["selection_reports"] = out["leaderboard"]
     out["decomposition_stored"] = out["decomposition"]
     return out

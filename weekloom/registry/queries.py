@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from weekloom.functions.calendar import parse_mixed_date, week_ending
 from weekloom.functions.text import slug
+from weekloom.models import treetable
 from weekloom.models.gbt import PooledTrees
 from weekloom.models.seqlinear import SequenceRegression
 from weekloom.models.state import recursive_features
@@ -508,14 +509,28 @@ def sequence_windows(spark, sf_dir):
 
 @query(5)
 def build_datasets(spark, sf_dir):
+    """Every value of the matrix and of all windows; the matrix's money in units of 100,000."""
     data = ingestion.build_datasets(weekly(spark, sf_dir).features(), VAL_START, TEST_START)
+    names = features.SEQUENCE_FEATURES
+    money = {*features.LAG_FEATURES, *features.ROLLING_FEATURES, "state_expanding_mean"}
+    shown = {c: F.col(c).cast("double") / (1e5 if c in money else 1) for c in features.ALL_FEATURES}
+    head = ["split", "state", "date"]
     matrix = data.matrix.select(
-        F.lit("matrix").alias("kind"), "split", "state", "date", F.lit(0).alias("steps")
+        F.lit("matrix").alias("kind"),
+        *head,
+        F.lit(0).alias("pos"),
+        (F.col("sales").cast("double") / 1e5).alias("label"),
+        *[v.alias(c) for c, v in shown.items()],
     )
-    windows = data.sequences.select(
-        F.lit("sequence").alias("kind"), "split", "state", "date", F.size("seq").alias("steps")
+    steps = data.sequences.select(*head, "target_scaled", F.posexplode("seq").alias("pos", "v"))
+    windows = steps.select(
+        F.lit("sequence").alias("kind"),
+        *head,
+        "pos",
+        F.col("target_scaled").cast("double").alias("label"),
+        *[F.col("v")[i].cast("double").alias(c) for i, c in enumerate(names)],
     )
-    return matrix.unionByName(windows)
+    return matrix.unionByName(windows, allowMissingColumns=True)
 
 
 # Baselines and closed-form models --------------------------------------------------
@@ -573,6 +588,13 @@ def insample_fit(spark, sf_dir):
 
 @query(3)
 def custom_model(spark, sf_dir):
+    rows = weekly(spark, sf_dir).panel()
+    return custom.fit_predict_each(rows, mean_model(), "mean").drop("error")
+
+
+def mean_model() -> type:
+    """A user's model of one series: its mean. Made here, so that it travels by value."""
+
     class MeanModel:
         def fit(self, history):
             self.mean = history["sales"].mean()
@@ -581,8 +603,35 @@ def custom_model(spark, sf_dir):
         def predict(self, horizon):
             return [self.mean] * horizon
 
-    rows = weekly(spark, sf_dir).panel()
-    return custom.fit_predict_each(rows, MeanModel, "mean").drop("error")
+        def predict_insample(self, history):
+            return [self.mean] * len(history)
+
+        def dump(self):
+            return repr(float(self.mean)).encode()
+
+        @classmethod
+        def load(cls, data):
+            out = cls()
+            out.mean = float(data)
+            return out
+
+    return MeanModel
+
+
+@query(3)
+def custom_model_stored(spark, sf_dir):
+    """Fitted series by series, saved, loaded, and only then asked for forecasts."""
+    model, path = mean_model(), staged_path(spark, "custom")
+    custom.save_models(custom.fit_each(weekly(spark, sf_dir).panel(), model, "mean"), path)
+    return custom.predict_each(custom.load_models(spark, path), model.load).drop("error")
+
+
+@query(3)
+def custom_insample(spark, sf_dir):
+    """In-sample values of stored models beside the histories they were fitted on."""
+    model, rows = mean_model(), stored_panel(spark, sf_dir)
+    fitted = stage(custom.fit_each(rows, model, "mean"), "custom")
+    return custom.insample_each(fitted, rows, model.load).drop("error")
 
 
 # Metrics and selection -------------------------------------------------------------
@@ -593,6 +642,13 @@ def forecast_metrics(spark, sf_dir):
     return closed_metrics(spark, sf_dir)
 
 
+@query(3)
+def joined_eval(spark, sf_dir):
+    """Forecasts beside the actual values of the same series and week."""
+    ev = cut(spark, sf_dir)
+    return metrics.align(ev.closed_forecasts(), ev.val)
+
+
 @query(3)
 def align_eval(spark, sf_dir):
     ev = cut(spark, sf_dir)
@@ -667,6 +723,17 @@ def ensemble_blend(spark, sf_dir):
     return ensemble.blend(run["candidates"], run["selection"])
 
 
+@query(None)
+def not_forecast(spark, sf_dir):
+    """Selected series without a forecast, after some of their candidates are taken away."""
+    run = closed_run(spark, sf_dir)
+    chosen = run["selection"].select("state", "best_model", "second_model")
+    ends = lambda digit: F.col("state").endswith(digit)
+    wanted = F.col("model").isin(F.col("best_model"), F.col("second_model"))
+    left = run["candidates"].join(chosen, "state").filter(~ends("1") & ~(ends("2") & wanted))
+    return ensemble.not_forecast(left.drop("best_model", "second_model"), run["selection"])
+
+
 @query(None)
 def ensemble_validation(spark, sf_dir):
     ev = cut(spark, sf_dir)
@@ -759,6 +826,57 @@ def recursive_gbt(spark, sf_dir):
     return fitted.predict_recursive(rows.select("state", "date", "sales"))
 
 
+#: Feature pairs of the trees whose splits need no search.
+TREE_PAIRS = [("roll_mean_13", "lag_52"), ("lag_1", "week_of_year"), ("roll_mean_4", "lag_7")]
+
+
+def mean_trees(rows: DataFrame) -> PooledTrees:
+    """Trees that split at feature means, fitted on the complete train rows."""
+    train = rows.filter("split = 'train'")
+    codes = stage(encode.encode_keys(train, ("state",)), "codes")
+    usable = stage(features.complete_cases(train, features.ALL_FEATURES), "tree-rows")
+    return PooledTrees.of_nodes(treetable.mean_split_trees(usable, TREE_PAIRS, "sales"), codes)
+
+
+@query()
+def tree_table(spark, sf_dir):
+    """The nodes of a model after saving and loading."""
+    path = staged_path(spark, "tree-table")
+    mean_trees(stored_features(spark, sf_dir)).save(path)
+    nodes = PooledTrees.load(spark, path).nodes
+    sides = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("left", "right")]
+    return nodes.select("tree", "node", "feature", "threshold", *sides, "value")
+
+
+@query()
+def tree_table_onestep(spark, sf_dir):
+    rows = stored_features(spark, sf_dir)
+    path = staged_path(spark, "tree-table")
+    mean_trees(rows).save(path)
+    loaded = PooledTrees.load(spark, path)
+    return loaded.predict_onestep(rows.filter("split = 'val'")).drop("model")
+
+
+@query()
+def tree_table_recursive(spark, sf_dir):
+    rows = stored_features(spark, sf_dir)
+    return mean_trees(rows).predict_recursive(rows.select("state", "date", "sales")).drop("model")
+
+
+@query(None)
+def gbt_table_check(spark, sf_dir):
+    """Does the saved node table predict what the fitted model predicts?"""
+    rows = stored_features(spark, sf_dir)
+    path = staged_path(spark, "model")
+    fitted = PooledTrees().fit(rows)
+    fitted.save(path)
+    want = fitted.predict_onestep(rows.filter("split <> 'train'"))
+    got = PooledTrees.load(spark, path).predict_onestep(rows.filter("split <> 'train'"))
+    both = want.join(got.withColumnRenamed("forecast", "other"), ["state", "date", "model"])
+    close = F.abs(F.col("forecast") - F.col("other")) <= 1e-9 * F.abs("forecast")
+    return both.select("state", "date", close.alias("agrees"))
+
+
 @query(None)
 def seq_linear(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
@@ -795,6 +913,26 @@ def final_forecast_all(spark, sf_dir):
 # Lookups ---------------------------------------------------------------------------
 
 
+@query(None)
+def serving_inputs(spark, sf_dir):
+    """The tables that lookups need: are they there, and how many rows do they have?"""
+    run, folder = closed_run(spark, sf_dir), staged_path(spark, "inputs")
+    for name in ("forecasts", "selection", "metrics"):
+        run[name].write.parquet(f"{folder}/{name}")
+    paths = {n: f"{folder}/{n}" for n in ("forecasts", "selection", "metrics", "leaderboard")}
+    absent = guards.missing_tables(paths, spark)
+    rows = [
+        spark.read.parquet(path).agg(
+            F.lit(name).alias("name"), F.lit(True).alias("present"), F.count("*").alias("n_rows")
+        )
+        for name, path in paths.items()
+        if name not in absent
+    ]
+    none = [(n, False, 0) for n in absent]
+    rows.append(spark.createDataFrame(none, "name string, present boolean, n_rows long"))
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 @query(None)
 def serve_states(spark, sf_dir):
     return store(spark, sf_dir).states()
