@@ -1,11 +1,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tests.conftest import PANEL_SCHEMA
 from weekloom.functions.calendar import parse_mixed_date, week_ending
 from weekloom.operators import guards, panel
+from weekloom.plans import ingestion
 from weekloom.plans.ingestion import run_ingestion
 from weekloom.sources.raw import load_raw
 
@@ -137,6 +139,48 @@ def test_ingestion_end_to_end(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/panel").count() == 10
 
 
+RAW_SCHEMA = "state string, date string, sales double, seq long"
+
+
+@pytest.mark.parametrize(
+    ("rows", "message"),
+    [
+        ([], "empty"),
+        ([("A", "", 1.0, 1)], "empty"),
+        ([("A", "2021-01-02", 1.0, 1), (None, "2021-01-09", 2.0, 2)], "multiple"),
+        ([("A", "2021-01-02", None, 1), ("B", "2021-01-09", None, 2)], "entirely null"),
+    ],
+)
+def test_ingestion_guards_while_it_writes(spark, rows, message):
+    with pytest.raises(guards.ValidationError, match=message):
+        run_ingestion(spark.createDataFrame(rows, RAW_SCHEMA), "seq")
+
+
+def test_ingestion_reports_come_from_the_weekly_table(spark, tmp_path, monkeypatch):
+    """The records are read by one job; the reports equal those made from the records."""
+    rows = [("A", f"2021-01-{1 + i % 28:02d}", float(i - 3) if i % 7 else None, i) for i in range(60)]
+    rows += [("B", "2021-02-06", 5.0, 100), ("B", "2021-02-06", -5.0, 101), (None, "2021-02-06", 1.0, 102)]
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(rows, RAW_SCHEMA).write.parquet(path)
+    raw = spark.read.parquet(path)
+    want = ingestion.ingest_report(raw, "seq").first().asDict()
+    jobs = []
+    plain = ingestion.stage
+    monkeypatch.setattr(ingestion, "stage", lambda df, label: jobs.append(label) or plain(df, label))
+    run_ingestion(raw, "seq", out=str(tmp_path / "out"))
+    assert jobs == ["weekly"]
+    got = spark.read.csv(str(tmp_path / "out" / "quality_report"), header=True).first().asDict()
+    assert {k: int(v) for k, v in got.items()} == want
+
+
+def test_panel_guard_sees_what_is_written(spark, tmp_path):
+    rows = weeks(1.0, None, -3.0) + [("B", D("2021-01-02"), 1.0), ("B", D("2021-01-16"), 2.0)]
+    df, seen = spark.createDataFrame(rows, PANEL_SCHEMA), Observation()
+    guards.observe_panel(df, seen).write.parquet(str(tmp_path / "p"))
+    assert seen.get == {"total_rows": 5, "null_sales": 1, "negative_sales": 1, "gap_series": 1}
+    assert spark.read.parquet(str(tmp_path / "p")).columns == df.columns
+
+
 class TestGuards:
     def test_missing_columns(self, spark):
         with pytest.raises(guards.ValidationError, match="Missing required columns"):

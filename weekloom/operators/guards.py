@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.operators.panel import gap_check
@@ -25,7 +25,7 @@ def require_columns(df: DataFrame, spec: PanelSpec = DEFAULT) -> None:
         raise ValidationError(f"Missing required columns: {missing} (given: {df.columns})")
 
 
-def _hold(row: Row, *broken: tuple[bool, str]) -> Row:
+def _hold(row, *broken: tuple[bool, str]):
     """The row, unless one of its conditions is broken: then all complaints in one error."""
     said = [text for bad, text in broken if bad]
     if said:
@@ -49,14 +49,39 @@ def raw_report(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     )
 
 
+def check_raw(found: dict) -> dict:
+    """The counts of records that can be worked with; others raise."""
+    total, series = found.get("total_rows") or 0, found.get("series") or 0
+    return _hold(
+        found,
+        (total == 0, "the table of records is empty"),
+        (total > 0 and not found["known_sales"], "sales are entirely null"),
+        (total > 0 and series < 2, f"a panel takes multiple series, {series} given"),
+    )
+
+
 def validate_raw(df: DataFrame, spec: PanelSpec = DEFAULT) -> Row:
     """The report row of records that can be worked with."""
     row = raw_report(df, spec).first()
-    return _hold(
-        row,
-        (row.total_rows == 0, "the table of records is empty"),
-        (row.total_rows > 0 and row.known_sales == 0, "sales are entirely null"),
-        (0 < row.total_rows and row.series < 2, f"a panel takes multiple series, {row.series} given"),
+    check_raw(row.asDict())
+    return row
+
+
+def observe_raw(df: DataFrame, seen: Observation, spec: PanelSpec = DEFAULT) -> DataFrame:
+    """``df``, whose next write tells ``seen`` what ``check_raw`` asks for.
+
+    Two different keys are enough to know of several series: 2 stands for two or more.
+    """
+    known = F.lit(True)
+    for key in spec.keys:
+        known = known & F.col(key).isNotNull()
+    key = F.when(known, F.struct(*spec.keys))
+    lo, hi = F.min(key), F.max(key)
+    return df.observe(
+        seen,
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count(spec.target).alias("known_sales"),
+        F.when(lo.isNull(), 0).when(lo == hi, 1).otherwise(2).alias("series"),
     )
 
 
@@ -72,15 +97,43 @@ def panel_report(panel: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     return counts.withColumn("gap_series", broken)
 
 
+def check_panel(found: dict) -> dict:
+    """The counts of a complete weekly panel; negative values are only logged."""
+    nulls, gaps = found.get("null_sales") or 0, found.get("gap_series") or 0
+    if found.get("negative_sales"):
+        log.warning("panel holds %d values below zero", found["negative_sales"])
+    return _hold(
+        found,
+        (nulls > 0, f"{nulls} null values are left in the panel"),
+        (gaps > 0, f"{gaps} series have non-weekly gaps"),
+    )
+
+
 def validate_panel(panel: DataFrame, spec: PanelSpec = DEFAULT) -> Row:
-    """The report row of a complete weekly panel; negative values are only logged."""
+    """The report row of a complete weekly panel."""
     row = panel_report(panel, spec).first()
-    if row.negative_sales:
-        log.warning("panel holds %d values below zero", row.negative_sales)
-    return _hold(
-        row,
-        (row.null_sales > 0, f"{row.null_sales} null values are left in the panel"),
-        ((row.gap_series or 0) > 0, f"{row.gap_series} series have non-weekly gaps"),
+    check_panel(row.asDict())
+    return row
+
+
+def observe_panel(panel: DataFrame, seen: Observation, spec: PanelSpec = DEFAULT) -> DataFrame:
+    """``panel``, whose next write tells ``seen`` what ``check_panel`` asks for.
+
+    A step that is no week is counted once, so ``gap_series`` may exceed the number of
+    series; zero means the same. The window is the imputation's own: no exchange is added.
+    """
+    step = F.date_diff(spec.time, F.lag(spec.time).over(spec.series()))
+    target = F.col(spec.target)
+    return (
+        panel.withColumn("_step", step)
+        .observe(
+            seen,
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(target.isNull()).alias("null_sales"),
+            F.count_if(target < 0).alias("negative_sales"),
+            F.count_if(F.col("_step") != 7).alias("gap_series"),
+        )
+        .select(*panel.columns)
     )
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from weekloom.functions.calendar import week_ending
 from weekloom.operators import guards, panel
 from weekloom.operators.features import ALL_FEATURES, SEQUENCE_FEATURES, build_features, design_matrix
 from weekloom.operators.scale import fit_features, fit_target
@@ -86,6 +87,46 @@ def ingest_report(raw: DataFrame, order_by: str, spec: PanelSpec = DEFAULT) -> D
     )
 
 
+#: What a week of a series keeps of its records, beside their mean.
+COUNTS = ("_raw_rows", "_kept_rows", "_null_sales", "_negative_sales")
+
+
+def counted_weeks(raw: DataFrame, order_by: str, spec: PanelSpec = DEFAULT) -> DataFrame:
+    """Weekly means of the cleaned records, with the counts of what they were made from.
+
+    The counts ride along the two aggregates that clean and reduce the records, so that no
+    report has to read those again. Weeks of records without a key are kept here, since
+    the report counts them.
+    """
+    guards.require_columns(raw, spec)
+    rows = panel.parse_dates(raw.select(*spec.columns, order_by), spec)
+    target = F.col(spec.target)
+    cells = rows.groupBy(*spec.cell).agg(
+        F.max_by(spec.target, order_by).alias(spec.target),
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(target.isNull()).alias("_nulls"),
+        F.count_if(target < 0).alias("_negatives"),
+    )
+    sums = [F.sum("_n"), F.count(F.lit(1)), F.sum("_nulls"), F.sum("_negatives")]
+    week = week_ending(F.col(spec.time)).alias(spec.time)
+    return cells.groupBy(*spec.keys, week).agg(
+        F.avg(spec.target).alias(spec.target),
+        *[c.alias(name) for c, name in zip(sums, COUNTS, strict=True)],
+    )
+
+
+def counted_report(weeks: DataFrame) -> DataFrame:
+    """``ingest_report`` of the records behind ``counted_weeks``."""
+    raw_rows, kept, nulls, negatives = (F.coalesce(F.sum(c), F.lit(0)) for c in COUNTS)
+    return weeks.agg(
+        raw_rows.alias("raw_rows"),
+        kept.alias("kept_rows"),
+        (raw_rows - kept).alias("duplicate_rows"),
+        nulls.alias("null_sales"),
+        negatives.alias("negative_sales"),
+    )
+
+
 def run_ingestion(
     raw: DataFrame,
     order_by: str,
@@ -95,15 +136,26 @@ def run_ingestion(
 ) -> DataFrame:
     """Raw records to the imputed weekly panel, guarded on both sides.
 
-    The raw records are read once and never copied: emptiness, an all-null target and
-    a lone series show in the weekly means as they do in the records, so the input
-    guard runs there. With ``out`` the panel, the missing-week report and the quality
-    report of the raw records are written; the panel is written once and read back.
+    Two jobs: one reads the records once and writes the weekly table, one writes the panel.
+    What the guards look at is observed while these tables are written, in the stage that
+    writes them, so a stage that is run again counts nothing twice. With ``out`` the
+    panel, the missing-week report and the quality report of the raw records are written;
+    the reports come from the weekly table.
     """
-    weekly = weekly_table(clean_records(raw, order_by, spec), spec)
+    weeks = counted_weeks(raw, order_by, spec)
+    seen, whole = Observation(), Observation()
+    if check:
+        weeks = guards.observe_raw(weeks, seen, spec)
+    stored = stage(weeks, "weekly")
     if check:
-        guards.validate_raw(weekly.cells, spec)
+        guards.check_raw(seen.get)
+    known = stored
+    for key in spec.keys:
+        known = known.filter(F.col(key).isNotNull())
+    weekly = WeeklyTable(known.select(*spec.columns), spec)
     result = weekly.panel()
+    if check:
+        result = guards.observe_panel(result, whole, spec)
     if out is not None:
         schema = result.schema
         result.write.mode("overwrite").parquet(f"{out}/panel")
@@ -111,9 +163,9 @@ def run_ingestion(
     elif check:
         result = stage(result, "panel")
     if check:
-        guards.validate_panel(result, spec)
+        guards.check_panel(whole.get)
     if out is not None:
-        save_report(ingest_report(raw, order_by, spec), f"{out}/quality_report")
+        save_report(counted_report(stored), f"{out}/quality_report")
         report = weekly.missing()
         report.write.mode("overwrite").option("header", True).csv(f"{out}/missing_weeks_report")
     return result
