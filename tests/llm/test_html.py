@@ -149,3 +149,29 @@ def test_copies_of_a_page_are_one_witness(spark, copies):
     got = {r.page_id: r.text for r in html.main_text(df).collect()}
     assert {got[i] for i in range(copies)} == {"Thing\nsize\n3 cm\nmass\n9 g\nSome text"}
     assert got[99] == "Else\nOther text"
+
+
+@pytest.mark.parametrize("depth", [100, 119, 120, 121, 600, 10_000])
+def test_deep_pages(depth):
+    """Unclosed or deep elements: all text, in page order, with and without a wrapper."""
+    page = "<div>" * depth + "<p>a</p>b<div>c</div>d" + "</div>" * depth + "<p>e</p>"
+    assert html.extract(page, None) == "a\nb\nc\nd\ne"
+    pages = ["<div>" * depth + f"<p>{w} first</p>{w} second<nav><p>menu</p></nav>" for w in ("one", "two", "ten")]
+    wrapper = induced(pages)
+    for page, w in zip(pages, ("one", "two", "ten"), strict=True):
+        assert html.extract(page, wrapper) == f"{w} first\n{w} second"
+    assert html.extract("<nav>" + "<div>" * depth + "<p>menu</p>", None) == ""
+
+
+def test_template_beyond_many_page_specific_siblings():
+    """What every page has stays in the wrapper, however many siblings of one page precede it."""
+    rng = random.Random(8)
+    pages = []
+    for i in range(9):
+        own = "".join(f"<div class='n{i}x{k}'><p>{words(rng, 9)}</p></div>" for k in range(40))
+        fixed = "<div class=promoline><p>The same line on every page of this host</p></div>"
+        pages.append(f"<html><body><div class=w>{own}{fixed}</div></body></html>")
+    forward, backward = induced(pages), induced(pages[::-1])
+    for page in pages:
+        texts = {html.extract(page, w) for w in (forward, backward)}
+        assert len(texts) == 1 and "every page of this host" not in texts.pop()

@@ -44,8 +44,12 @@ FAN_IN = 32
 HELD = 2_000
 #: Characters of wrappers that are sent to every task.
 BROADCAST = 8 << 20
-#: Children of a wrapper node; what a page adds beyond them is matched by the rules alone.
-WIDTH = 64
+#: Children of a wrapper node. Beyond them, those that the fewest different pages have go,
+#: and are matched by the rules alone; a node that is template on its host stays.
+WIDTH = 128
+#: Levels of a page's tree. Elements nested deeper lie side by side in page order on the
+#: last level; what was inside boilerplate stays marked as such.
+DEPTH = 120
 
 # The elements of HTML that these rules rest on.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -152,6 +156,10 @@ def parse(html: str) -> Node:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == tag:
                         del stack[i:]
+                        if len(stack) > DEPTH:
+                            # What follows in this element comes after the one just closed.
+                            stack[-1] = Node(stack[-1].tag, stack[-1].marks)
+                            stack[DEPTH - 1].items.append(stack[-1])
                         break
                     if tag in ("p", "li", "td", "tr") and stack[i].tag in ("table", "article", "body"):
                         break
@@ -167,7 +175,9 @@ def parse(html: str) -> Node:
         while tag in CLOSED_BY.get(stack[-1].tag, ()):
             stack.pop()
         node = Node(tag, marks_of(m.group(3)))
-        stack[-1].items.append(node)
+        if len(stack) > DEPTH and is_noise(stack[-1], True) and not node.marks.startswith("!"):
+            node.marks = f"!{node.marks}"
+        stack[min(len(stack), DEPTH) - 1].items.append(node)
         stack.append(node)
         if tag in ("button", "canvas", "audio", "video", "object"):
             stop = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -218,10 +228,18 @@ def skeleton(node: Node, page: int = 0) -> list:
         else:
             out.append(made)
     made = bare(node, page)
-    made[4] = out[:WIDTH]
+    made[4] = supported(out)
     return made
 
 
+def supported(kids: list) -> list:
+    """At most ``WIDTH`` children, in page order: those that the most different pages have."""
+    if len(kids) <= WIDTH:
+        return kids
+    best = sorted(range(len(kids)), key=lambda i: (-len(kids[i][2]), i))[:WIDTH]
+    return [kids[i] for i in sorted(best)]
+
+
 def bare(node: Node, page: int = 0) -> list:
     """The wrapper of a page's element without its children."""
     own = " ".join(filter(None, (clean(x) for x in node.items if isinstance(x, str))))
@@ -238,7 +256,7 @@ def fold_run(a: list, b: list) -> None:
         if x and y:
             fold_run(x, y)
         kids.append(x or y)
-    a[4] = kids[:WIDTH]
+    a[4] = supported(kids)
 
 
 def score(a: list, b: list) -> int:
@@ -284,7 +302,7 @@ def merged(a: list, b: list) -> list:
     same = a[1] if a[1] == b[1] else None
     kids = [merged(x, y) if x and y else (x or y) for x, y in align(a[4], b[4])]
     seen = a[2] if a[2] == b[2] else sorted({*a[2], *b[2]})[:TEMPLATE_PAGES]
-    return [a[0], same, seen, max(a[3], b[3]), kids[:WIDTH], *shared_ends(a, b)]
+    return [a[0], same, seen, max(a[3], b[3]), supported(kids), *shared_ends(a, b)]
 
 
 def shared_ends(a: list, b: list) -> list[str]:
