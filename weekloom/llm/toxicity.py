@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -188,17 +189,30 @@ class Examples:
     """
 
     def __init__(self, rows: list[tuple], scale: np.ndarray, base: float) -> None:
-        self.scale, self.base = scale, base
-        n = -(-max(len(rows), 1) // BLOCK) * BLOCK
         self.doc = [r[0] for r in rows]
-        self.toxic = np.array([r[3] for r in rows], float)
-        sizes = [len(r[1]) for r in rows]
-        ids = np.array([i for r in rows for i in r[1]], np.int64)
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        counts = np.array([c for r in rows for c in r[2]], float)
-        w = self.weigh(ids, counts, owner, len(rows))
-        often = np.flatnonzero(np.bincount(ids, minlength=len(scale)) * DENSE > len(rows))
-        self.row = np.full(len(scale), -1)
+        self.toxic = np.array([r[3] for r in rows], np.int8)
+        self.cuts = np.append(0, np.cumsum([len(r[1]) for r in rows])).astype(np.int64)
+        self.ids = np.array([i for r in rows for i in r[1]], np.int32)
+        self.counts = np.array([c for r in rows for c in r[2]], np.int32)
+        self.scale, self.base = scale, base
+        self.build()
+
+    def __getstate__(self) -> dict:
+        """What travels: the texts of the examples as numbers, not the lists made of them."""
+        names = ("doc", "toxic", "cuts", "ids", "counts", "scale", "base")
+        return {n: getattr(self, n) for n in names}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.build()
+
+    def build(self) -> None:
+        rows = len(self.doc)
+        n = -(-max(rows, 1) // BLOCK) * BLOCK
+        ids, owner = self.ids, np.repeat(np.arange(rows), np.diff(self.cuts))
+        w = self.weigh(ids, self.counts, owner, rows)
+        often = np.flatnonzero(np.bincount(ids, minlength=len(self.scale)) * DENSE > rows)
+        self.row = np.full(len(self.scale), -1)
         self.row[often] = np.arange(len(often))
         head = self.row[ids] >= 0
         self.matrix = np.zeros((len(often), n))
@@ -207,7 +221,12 @@ class Examples:
         ids, owner, w = ids[~head], owner[~head], w[~head]
         order = np.argsort(ids, kind="stable")
         self.at, self.w = owner[order], w[order]
-        self.first = np.searchsorted(ids[order], np.arange(len(scale) + 1))
+        self.first = np.searchsorted(ids[order], np.arange(len(self.scale) + 1))
+
+    def text(self, j: int) -> tuple[list[int], list[int]]:
+        """(ids, counts) of an example."""
+        own = slice(self.cuts[j], self.cuts[j + 1])
+        return self.ids[own].tolist(), self.counts[own].tolist()
 
     def weigh(self, ids: np.ndarray, counts: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """Weights of the terms of ``n`` texts laid end to end, of unit length in each."""
@@ -270,26 +289,26 @@ class Examples:
         return out
 
 
-def calibration(spark: SparkSession, index: Examples, rows: list[tuple], weights: list[float]) -> list:
+def calibration(spark: SparkSession, shared: Broadcast, weights: list[float]) -> list:
     """(votes, probabilities): an isotonic fit on the examples, each voted on by the others.
 
-    ``rows`` in the order of the index; ``weights`` restore the share of either class.
+    ``shared`` holds the index; ``weights`` restore the share of either class.
     """
-    shared = spark.sparkContext.broadcast((index, rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, rows = shared.value
+        index = shared.value
         for batch in batches:
             own = batch.column(0).to_pylist()
-            votes = [v for v, _ in index.votes([rows[j][1:3] for j in own], own)]
-            labels = [float(rows[j][3]) for j in own]
-            part = [weights[rows[j][3]] for j in own]
+            votes = [v for v, _ in index.votes([index.text(j) for j in own], own)]
+            labels = [float(index.toxic[j]) for j in own]
+            part = [weights[index.toxic[j]] for j in own]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.float64()) for x in (votes, labels, part)],
                 names=["vote", "label", "weight"],
             )
 
-    votes = spark.range(0, len(rows), 1, max(1, len(rows) // 256))
+    n = len(shared.value.doc)
+    votes = spark.range(0, n, 1, n // 512 + 1)
     votes = votes.mapInArrow(run, "vote double, label double, weight double")
     model = IsotonicRegression(featuresCol="vote", weightCol="weight").fit(
         stage(votes, "toxicity-votes").orderBy("vote", "label")
@@ -331,14 +350,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Da
     scale = np.log((1 + total) / (1 + df)) + 1
     scale = scale * class_weights(ids, owner, toxic, len(number))
     index = Examples(listed, scale, base if both else min(base, 0.49))
-    curve = [np.zeros(0), np.zeros(0)]
+    shared = spark.sparkContext.broadcast(index)
+    at, chance = np.zeros(0), np.zeros(0)
     if min(marks.count(0), marks.count(1)) >= CALIBRATED:
         weights = [found[c] / marks.count(c) for c in (0, 1)]
-        curve = calibration(spark, index, listed, weights)
-    shared = spark.sparkContext.broadcast((index, curve))
+        at, chance = calibration(spark, shared, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, (at, chance) = shared.value
+        index = shared.value
         for batch in batches:
             ids, counts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             votes = index.votes(list(zip(ids, counts, strict=True)))
