@@ -300,3 +300,11 @@ def test_stored_custom_models(spark, tiny_panel, tmp_path):
     assert [r.fitted for r in own] == [None, *sales[:-1]]
     assert {r.state: r.error for r in fitted if r.error}.keys() == {"StateA", "New"}
     assert custom.predict_each(stored.limit(0), model.load).count() == 0
+
+
+def test_backtest_folds_side_by_side_equal_one_by_one(tiny_panel, monkeypatch):
+    params = {"maxIter": 3, "maxDepth": 2, "minInstancesPerNode": 3}
+    run = lambda: sorted(map(tuple, training.backtest_trained(tiny_panel, tree_params=params).collect()))
+    together = run()
+    monkeypatch.setattr(training, "FOLDS_AT_ONCE", 1)
+    assert together == run() and len(together) == 3 * 2 * 2

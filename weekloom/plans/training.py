@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from weekloom.models.gbt import PooledTrees
@@ -30,6 +32,8 @@ from weekloom.spec import BACKTEST_WEEKS, DEFAULT, FORECAST_WEEKS, PanelSpec
 CLOSED_FAMILIES = ("naive", "seasonal_naive", "seasonal_ar", "decomposition")
 TRAINED_FAMILIES = ("gbt", "seq_linear")
 FAMILIES = CLOSED_FAMILIES + TRAINED_FAMILIES
+#: Folds of a backtest whose fits run side by side.
+FOLDS_AT_ONCE = 3
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -172,23 +176,28 @@ def backtest_trained(
 ) -> DataFrame:
     """Metrics of the pooled families per series, model and fold.
 
-    Only the few folds are looped over; within a fold everything is distributed.
-    Features look backwards only, so one stored feature table serves all folds. Boosting
-    stops on the last weeks before a fold, never on the weeks that the fold scores.
+    Only the few folds are handled one by one, ``FOLDS_AT_ONCE`` of them together: their
+    fits are jobs of the same application that share its executors, since a fit alone is a
+    row of small jobs. Within a fold everything is distributed. Features look backwards
+    only, so one stored feature table serves all folds. Boosting stops on the last weeks
+    before a fold, never on the weeks that the fold scores.
     """
     origin = panel.agg(F.min(spec.time)).scalar() if origin is None else origin
     features = stage(build_features(panel, spec, origin), "features")
-    results = []
-    for fold in backtest_folds(panel, spec=spec).orderBy("fold").collect():
+
+    def one_fold(fold: Row) -> DataFrame:
         start, end = str(fold.train_end), str(fold.val_end)
         upto = features.filter(F.col(spec.time) < F.lit(fold.val_end))
         stop = str(fold.train_end - timedelta(weeks=BACKTEST_WEEKS))
         rows = with_split(upto, stop, start, spec)
         cut = evaluation(upto, start, end, spec)
         models = fit_trained(rows, spec, origin, tree_params)
-        scored = cut.metrics(cut.trained_forecasts(models))
-        results.append(scored.withColumn("fold", F.lit(fold.fold)))
-    return _union(results)
+        scored = stage(cut.metrics(cut.trained_forecasts(models)), "fold")
+        return scored.withColumn("fold", F.lit(fold.fold))
+
+    folds = backtest_folds(panel, spec=spec).orderBy("fold").collect()
+    with ThreadPoolExecutor(FOLDS_AT_ONCE) as pool:
+        return _union(list(pool.map(inheritable_thread_target(one_fold), folds)))
 
 
 def select_and_forecast(
