@@ -38,7 +38,10 @@ def test_block_max_search_is_exact(seed, dense, monkeypatch):
         return own, [rng.randrange(1, 9) for _ in own]
 
     rows = [(i, *vector(), i % 2) for i in range(500)] + [(900 + i, [3], [1], 1) for i in range(200)]
-    index = toxicity.Examples(rows, scale, 0.1)
+    cuts = np.cumsum([0] + [len(r[1]) for r in rows])
+    ids, counts = (np.array([x for r in rows for x in r[c]]) for c in (1, 2))
+    toxic = np.array([r[3] for r in rows])
+    index = toxicity.Examples([r[0] for r in rows], toxic, cuts, ids, counts, scale, 0.1)
     texts = [vector() for _ in range(90)] + [([3], [2])]
     got = [[j for _, j in found] for found in index.nearest(texts, 15)]
     assert got == plain_nearest(scale, rows, texts, 15)

@@ -29,11 +29,13 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -128,16 +130,24 @@ def counted_terms(texts: DataFrame) -> DataFrame:
     return long_rows(rows).mapInArrow(run, "doc_id long, toxic int, terms array<string>, counts array<int>")
 
 
+def hash_of(words: pa.ListScalar) -> int:
+    """A number that texts of equal documents differ by, whatever the partitioning."""
+    return zlib.crc32("\n".join(sorted(words.as_py())).encode())
+
+
 def decoded(raw: bytes | None) -> str | None:
     return None if raw is None else raw.decode("utf-8", "replace")
 
 
-def vectors(docs: DataFrame, number: dict[str, int]) -> DataFrame:
-    """(key, doc_id, ids, counts): counts of every document's terms that examples hold."""
-    shared = docs.sparkSession.sparkContext.broadcast(number)
+def vectors(docs: DataFrame, words: pa.Array) -> DataFrame:
+    """(key, doc_id, ids, counts): counts of every document's terms that examples hold.
+
+    ``words`` are the terms of the examples, in the order of their numbers.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = {w: i for i, w in enumerate(shared.value.to_pylist())}
         for whole in batches:
             for batch in slices(whole, 2):
                 ids: list[int] = []
@@ -182,20 +192,26 @@ def class_weights(ids: np.ndarray, owner: np.ndarray, toxic: np.ndarray, n: int)
 class Examples:
     """Block-max inverted index over the labelled examples.
 
-    ``rows`` are (doc_id, ids, counts, toxic), ``scale`` is the weight of each term. Examples
-    lie in blocks of ``BLOCK``. Lists of rarer terms are (example, weight) pairs; those of
-    terms that more than one example in ``DENSE`` holds are rows of a matrix, each with its
-    largest weight in every block.
+    ``ids`` and ``counts`` are the terms of all examples laid end to end, ``cuts`` where each
+    begins, ``scale`` is the weight of each term. Examples lie in blocks of ``BLOCK``. Lists
+    of rarer terms are (example, weight) pairs; those of terms that more than one example in
+    ``DENSE`` holds are rows of a matrix, each with its largest weight in every block. The
+    lists are made where the index is first asked.
     """
 
-    def __init__(self, rows: list[tuple], scale: np.ndarray, base: float) -> None:
-        self.doc = [r[0] for r in rows]
-        self.toxic = np.array([r[3] for r in rows], np.int8)
-        self.cuts = np.append(0, np.cumsum([len(r[1]) for r in rows])).astype(np.int64)
-        self.ids = np.array([i for r in rows for i in r[1]], np.int32)
-        self.counts = np.array([c for r in rows for c in r[2]], np.int32)
-        self.scale, self.base = scale, base
-        self.build()
+    def __init__(
+        self,
+        doc: list,
+        toxic: np.ndarray,
+        cuts: np.ndarray,
+        ids: np.ndarray,
+        counts: np.ndarray,
+        scale: np.ndarray,
+        base: float,
+    ) -> None:
+        self.doc, self.toxic, self.cuts = doc, toxic, cuts
+        self.ids, self.counts, self.scale, self.base = ids, counts, scale, base
+        self.matrix: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
         """What travels: the texts of the examples as numbers, not the lists made of them."""
@@ -203,8 +219,7 @@ class Examples:
         return {n: getattr(self, n) for n in names}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.build()
+        self.__dict__.update(state, matrix=None)
 
     def build(self) -> None:
         rows = len(self.doc)
@@ -242,6 +257,8 @@ class Examples:
         left out where its best sum and its largest weights do not reach the bar; what is
         left is finished with the matrix, block by block for the texts that need it.
         """
+        if self.matrix is None:
+            self.build()
         n, width = len(texts), self.matrix.shape[1]
         sizes = [len(i) for i, _ in texts]
         ids = np.array([i for own, _ in texts for i in own], np.int64)
@@ -327,33 +344,36 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Da
     spark = docs.sparkSession
     every = stage(clean_labels(labels), "toxicity-labels")
     texts = example_texts(docs, sample_labels(every, most).select("doc_id", "toxic"))
-    rows = [tuple(r) for r in counted_terms(texts).collect()]  # bounded by the sample
-    marks = [r[1] for r in rows]
+    found = counted_terms(texts).toArrow()  # bounded by the sample, as everything up to the index
+    order = [("doc_id", "ascending"), ("h", "ascending")]  # ties of cosine go to the lower document
+    found = found.append_column("h", pa.array([hash_of(t) for t in found["terms"]])).sort_by(order)
+    marks = found["toxic"].to_numpy()
     both = 0 in marks and 1 in marks
-    number: dict[str, int] = {}
-    if both:
-        number = {w: i for i, w in enumerate(sorted({w for r in rows for w in r[2]}))}
-    counted = stage(vectors(docs, number), "toxicity-vectors")
-    total, df = counted.count(), np.zeros(len(number))
-    for r in counted.select(F.explode("ids").alias("i")).groupBy("i").count().collect():
-        df[r.i] = r["count"]  # at most one row for each term of the examples
-    found = {r.toxic: r["count"] for r in every.groupBy("toxic").count().collect()}
-    base = found.get(1, 0) / max(sum(found.values()), 1)
-    listed = []
-    for doc_id, toxic, words, counts in rows if both else []:
-        own = sorted((number[w], n) for w, n in zip(words, counts, strict=True))
-        listed.append((doc_id, [i for i, _ in own], [n for _, n in own], toxic))
-    listed.sort(key=lambda r: (r[0], r[1]))  # ties of cosine go to the lower document
-    sizes = [len(r[1]) for r in listed]
-    ids = np.array([i for r in listed for i in r[1]], np.int64)
-    owner, toxic = np.repeat(np.arange(len(listed)), sizes), np.array([r[3] for r in listed], float)
-    scale = np.log((1 + total) / (1 + df)) + 1
-    scale = scale * class_weights(ids, owner, toxic, len(number))
-    index = Examples(listed, scale, base if both else min(base, 0.49))
+    if not both:
+        found = found.slice(0, 0)
+    listed = found["terms"].combine_chunks()
+    held = listed.flatten().cast(pa.string())
+    words = held.unique().sort()
+    ids = pc.index_in(held, words).to_numpy(zero_copy_only=False).astype(np.int32)
+    counts = found["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sizes = listed.value_lengths().to_numpy(zero_copy_only=False)
+    counted = stage(vectors(docs, words), "toxicity-vectors")
+    total, df = counted.count(), np.zeros(len(words))
+    # At most one row for each term of the examples.
+    often = counted.select(F.explode("ids").alias("i")).groupBy("i").count().toArrow()
+    df[often["i"].to_numpy()] = often["count"].to_numpy()
+    rates = {r.toxic: r["count"] for r in every.groupBy("toxic").count().collect()}
+    base = rates.get(1, 0) / max(sum(rates.values()), 1)
+    owner, toxic = np.repeat(np.arange(len(found)), sizes), found["toxic"].to_numpy().astype(np.int8)
+    scale = (np.log((1 + total) / (1 + df)) + 1) * class_weights(ids, owner, toxic, len(words))
+    cuts = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    base = base if both else min(base, 0.49)
+    index = Examples(found["doc_id"].to_pylist(), toxic, cuts, ids, counts, scale, base)
     shared = spark.sparkContext.broadcast(index)
     at, chance = np.zeros(0), np.zeros(0)
-    if min(marks.count(0), marks.count(1)) >= CALIBRATED:
-        weights = [found[c] / marks.count(c) for c in (0, 1)]
+    sampled = np.bincount(marks, minlength=2)
+    if sampled.min() >= CALIBRATED:
+        weights = [rates[c] / int(sampled[c]) for c in (0, 1)]
         at, chance = calibration(spark, shared, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
