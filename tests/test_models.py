@@ -13,9 +13,11 @@ from weekloom.models.gbt import PooledTrees
 from weekloom.models.seqlinear import SequenceRegression
 from weekloom.operators import baselines, closed_form, custom
 from weekloom.operators.custom import fit_predict_each
+from weekloom.operators.ensemble import final_forecast
 from weekloom.operators.features import SEQUENCE_FEATURES, TREE_FEATURES, build_features
 from weekloom.operators.split import with_split
 from weekloom.plans import training
+from weekloom.sources.staging import stage
 
 VAL, TEST = "2020-09-26", "2021-04-24"
 FIRST = date(2019, 1, 5)
@@ -308,3 +310,26 @@ def test_backtest_folds_side_by_side_equal_one_by_one(tiny_panel, monkeypatch):
     together = run()
     monkeypatch.setattr(training, "FOLDS_AT_ONCE", 1)
     assert together == run() and len(together) == 3 * 2 * 2
+
+
+def test_only_chosen_families_forecast_a_series(spark, tiny_panel):
+    """Forecasts made for the selected series alone are those of all series, selected after."""
+    small = {"maxIter": 3, "maxDepth": 2, "minInstancesPerNode": 3}
+    rows = stage(with_split(build_features(tiny_panel), VAL, TEST), "rows")
+    models = training.fit_trained(rows, tree_params=small)
+    selection = spark.createDataFrame(
+        [("StateA", "gbt", 5.0, "naive", 6.0, True), ("StateB", "seasonal_ar", 5.0, "seq_linear", 5.5, True)],
+        "state string, best_model string, best_smape double, second_model string, second_smape double, ensemble_eligible boolean",
+    )
+    extra = [models.forecasts(tiny_panel, 8, selection)]
+    assert {(r.state, r.model) for r in extra[0].collect()} == {("StateA", "gbt"), ("StateB", "seq_linear")}
+    got = training.generate_forecasts(selection, tiny_panel, 8, extra=extra)
+    every = training.future_candidates(tiny_panel).unionByName(models.forecasts(tiny_panel, 8))
+    got, want = (
+        df.orderBy("state", "date").collect() for df in (got, final_forecast(every, selection))
+    )
+    assert [r.model_used for r in got] == [r.model_used for r in want] and len(got) == 16
+    assert [r.forecast for r in got] == pytest.approx([r.forecast for r in want], rel=1e-9)
+    picked = spark.createDataFrame([("StateA", "naive", "seasonal_ar")], "state string, best_model string, second_model string")
+    made = training.future_candidates(tiny_panel, 2, selection=picked).select("state", "model").distinct()
+    assert {tuple(r) for r in made.collect()} == {("StateA", "naive"), ("StateA", "seasonal_ar")}

@@ -49,10 +49,35 @@ class TrainedModels:
     spec: PanelSpec = DEFAULT
     origin: Column | None = None
 
-    def forecasts(self, history: DataFrame, horizon: int) -> DataFrame:
+    def forecasts(
+        self, history: DataFrame, horizon: int, selection: DataFrame | None = None
+    ) -> DataFrame:
+        """Both families' forecasts; with ``selection`` only those of series that chose them."""
         rows = history.select(*self.spec.columns)
-        models = (self.trees, self.linear)
-        return _union([m.predict_recursive(rows, horizon, self.origin) for m in models])
+        origin = self.origin
+        if selection is not None and origin is None:
+            origin = rows.agg(F.min(self.spec.time)).scalar()  # of all series, chosen or not
+        models = zip(TRAINED_FAMILIES, (self.trees, self.linear), strict=True)
+        return _union(
+            [
+                m.predict_recursive(chosen(rows, selection, (name,), self.spec), horizon, origin)
+                for name, m in models
+            ]
+        )
+
+
+def chosen(
+    history: DataFrame, selection: DataFrame | None, families: tuple[str, ...], spec: PanelSpec
+) -> DataFrame:
+    """The series whose best or second model is one of ``families``; all without selection.
+
+    A semi join on one row a series, whose keys a stored selection offers as a runtime
+    filter to the scan: a family is computed for the series that use it, not for all.
+    """
+    if selection is None:
+        return history
+    named = F.col("best_model").isin(*families) | F.col("second_model").isin(*families)
+    return history.join(selection.filter(named).select(*spec.keys), list(spec.keys), "left_semi")
 
 
 def fit_trained(
@@ -127,16 +152,21 @@ def closed_forecasts(
 
 
 def future_candidates(
-    history: DataFrame, horizon: int = FORECAST_WEEKS, spec: PanelSpec = DEFAULT
+    history: DataFrame,
+    horizon: int = FORECAST_WEEKS,
+    spec: PanelSpec = DEFAULT,
+    selection: DataFrame | None = None,
 ) -> DataFrame:
-    """Every closed-form family beyond the end of ``history``."""
+    """Every closed-form family beyond the end of ``history``.
+
+    With ``selection`` a family forecasts only the series that chose it, first or second.
+    """
     rows = history.select(*spec.columns)
+    makers = (naive_forecast, seasonal_naive_forecast, seasonal_ar, decomposition)
     return _union(
         [
-            naive_forecast(rows, horizon, spec),
-            seasonal_naive_forecast(rows, horizon, spec),
-            seasonal_ar(rows, horizon, spec),
-            decomposition(rows, horizon, spec),
+            make(chosen(rows, selection, (name,), spec), horizon, spec)
+            for name, make in zip(CLOSED_FAMILIES, makers, strict=True)
         ]
     )
 
@@ -150,7 +180,7 @@ def generate_forecasts(
     spec: PanelSpec = DEFAULT,
 ) -> DataFrame:
     """Final forecasts of the selected models; ``extra`` adds trained candidates."""
-    candidates = _union([future_candidates(history, horizon, spec), *(extra or [])])
+    candidates = _union([future_candidates(history, horizon, spec, selection), *(extra or [])])
     return final_forecast(candidates, selection, use_ensemble, spec)
 
 
@@ -221,10 +251,11 @@ def select_and_forecast(
         features = stage(with_split(features, val_start, test_start, spec), "features")
         models = fit_trained(features, spec, tree_params=tree_params)
         candidates = candidates.unionByName(cut.trained_forecasts(models))
-        extra.append(models.forecasts(panel, horizon))
     candidates = stage(candidates, "candidates")
     metrics = stage(cut.metrics(candidates), "metrics")
     selection = stage(select_best(metrics, families, spec), "selection")
+    if with_trained:
+        extra.append(models.forecasts(panel, horizon, selection))
     forecasts = generate_forecasts(selection, panel, horizon, use_ensemble, extra, spec)
     return {
         "candidates": candidates,
