@@ -23,27 +23,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic by their nearest labelled examples go."""
+    """Documents predicted toxic by their nearest labelled examples go.
+
+    Null and empty texts stay unless toxic examples are the majority; of repeated rows all
+    stay or all go, null ids included. Extra columns go along, also of clashing names.
+    """
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest id."""
+    """One document of each group of near-duplicates stays: that of the smallest id.
+
+    Null and empty texts and those without words are one group; repeated rows leave one.
+    """
     return simhash.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a window with the benchmark go."""
+    """Documents that share a window with the benchmark go.
+
+    Null and empty texts share none and stay; without benchmark items every row stays.
+    """
     return winnow.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind; no document goes."""
+    """Personal data is replaced by its kind; no document goes.
+
+    Null texts stay null; repeated rows are rewritten alike, null ids included.
+    """
     return pii.redact(docs)
 
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every text, decoded again and compared."""
+    """Two sampled segmentations of every text, decoded again and compared.
+
+    Null and empty texts have one empty segmentation; a null id is key 0.
+    """
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.decoded(pieces.encode(docs, model), model)
 
