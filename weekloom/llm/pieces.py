@@ -42,7 +42,7 @@ SAMPLES = 2
 ALPHA = 0.5
 SLICE = 1 << 20
 #: Edges of known units a worker keeps, of 21 bytes each.
-KEPT = 4_000_000
+KEPT = 2_000_000
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BYTE = 3  # id of the piece of byte 0
 STEP = np.uint64(0x9FB21C651E98DF25)
@@ -244,7 +244,8 @@ class Known(dict):
         have, used = getattr(self.lattice, name), self.used[name]
         total = used + len(more)
         if total > len(have):
-            room = np.empty(max(total, 3 * len(have) // 2), more.dtype)
+            # Room for all that is kept, at once: pages that nothing is written to cost nothing.
+            room = np.empty(max(total, 3 * len(have) // 2, 3 * KEPT // 2), more.dtype)
             room[:used] = have[:used]
             setattr(self.lattice, name, room)
             have = room

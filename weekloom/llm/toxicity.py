@@ -51,7 +51,7 @@ BLOCK = 64
 #: Terms that more than one example in so many holds have their list as a row of a matrix.
 DENSE = 16
 #: Texts that are looked up together.
-GROUP = 128
+GROUP = 32
 #: Weight of the base rate in a vote, in units of cosine.
 SHRINK = 0.1
 #: Added to log-likelihood ratios: no term weighs nothing.
