@@ -2,7 +2,7 @@
 
 A text is a lattice of vocabulary pieces. No piece reaches across the start of a word or a
 line break, so the lattice is a chain of small ones, one for each word with the spaces
-before it, and the lattice of a word is built once and kept for later texts of the worker.
+before it, and the lattice of a word is built once and kept for later texts of the task.
 A piece weighs ``rank ** -alpha``; backward sums make every edge a conditional
 probability.
 
@@ -41,7 +41,7 @@ from weekloom.llm.common import byte_view, long_rows, mix64, pick, slices
 SAMPLES = 2
 ALPHA = 0.5
 SLICE = 1 << 20
-#: Edges of known units a worker keeps, of 21 bytes each.
+#: Edges of known units a task keeps, of 21 bytes each.
 KEPT = 2_000_000
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BYTE = 3  # id of the piece of byte 0
@@ -199,7 +199,7 @@ class Lattice:
 
 
 class Known(dict):
-    """Unit -> its number in one growing lattice, which a worker keeps from slice to slice.
+    """Unit -> its number in one growing lattice, which a task keeps from slice to slice.
 
     Looking up a new unit numbers it; ``solved`` then builds the lattices of the new ones
     together and appends them. Beyond ``KEPT`` edges everything is forgotten.
@@ -253,11 +253,6 @@ class Known(dict):
         self.used[name] = total
 
 
-@lru_cache(maxsize=1)
-def known_units(path: str, alpha: float) -> Known:
-    return Known(vocabulary(path, alpha))
-
-
 def mixed(start: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
     for p in parts:
         start = mix64((start + np.asarray(p).astype(np.uint64)) * STEP + np.uint64(1))
@@ -493,7 +488,7 @@ def encode(
     """(doc_id, text_crc32, segmentations, logps, inclusions): sampled without replacement."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = known_units(model, alpha)
+        known = Known(vocabulary(model, alpha))  # a task's own: later stages need the memory
         for whole in batches:
             for batch in slices(whole, 1, SLICE):
                 raw = [v.as_py() or b"" for v in batch.column(1)]

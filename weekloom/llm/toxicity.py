@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from weekloom.llm.common import keep_rows, long_rows, pick, row_key, slices
 from weekloom.sources.staging import stage
 
-MAX_EXAMPLES = 3_000
+MAX_EXAMPLES = 2_000
 MAX_CHARS = 50_000_000
 NEIGHBOURS = 15
 BLOCK = 64
