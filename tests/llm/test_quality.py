@@ -1,6 +1,7 @@
 """Counts of the quality rules by brute force, the verdict on held-out labels."""
 
 import collections
+import math
 import random
 import re
 
@@ -72,3 +73,28 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.quality(docs, labels).count() == 0
+
+
+def test_every_label_counts(spark):
+    # Labels of the negative hashes alone, 25,000 of them low, would keep the texts of kind b.
+    good, junk = [f"g{i}" for i in range(12)], [f"j{i}" for i in range(12)]
+    texts = {"a": junk, "m": good[:4] + junk[:8], "b": good[:7] + junk[:5], "g": good}
+    kind = "CASE WHEN id >= 60000 THEN 'm' WHEN id >= 50000 THEN 'g' WHEN xxhash64(id) < 0 THEN 'a' ELSE 'b' END"
+    words = " ".join(f"WHEN '{k}' THEN '{' '.join(t)}'" for k, t in texts.items())
+    rows = spark.range(60_100).selectExpr("id AS doc_id", f"{kind} AS kind", "int(id >= 50000) AS quality")
+    docs = rows.selectExpr("doc_id", f"CASE kind {words} END AS text")
+    got = quality.quality(docs, rows.select("doc_id", "quality")).join(rows, "doc_id")
+    seen = {r.kind: r for r in got.groupBy("kind").agg({"kept": "max", "score": "max"}).collect()}
+    assert {k: r["max(kept)"] for k, r in seen.items()} == {"a": False, "m": False, "b": False, "g": True}
+    # The mean over the grams of kind g, counted by hand: smoothed by one, over all trusted ones.
+    half = rows.filter("pmod(xxhash64(doc_id), 2) = 0 AND quality = 1").groupBy("kind").count()
+    n, t = dict(rows.groupBy("kind").count().collect()), dict(half.collect())
+    raw, trusted = collections.Counter(), collections.Counter()
+    for k, words in texts.items():
+        for gram in [*words, *zip(words, words[1:], strict=False)]:
+            raw[gram] += n[k]
+            trusted[gram] += t.get(k, 0)
+    total = lambda c: quality.BUCKETS + sum(c.values())
+    own = [*good, *zip(good, good[1:], strict=False)]
+    logs = [math.log((1 + trusted[x]) / (1 + raw[x]) * total(raw) / total(trusted)) for x in own]
+    assert seen["g"]["max(score)"] == pytest.approx(sum(logs) / len(logs), abs=1e-3)

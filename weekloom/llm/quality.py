@@ -6,9 +6,8 @@ by one. A document's score is the mean log ratio of its n-grams. The threshold i
 that separates labelled documents best, so it depends on the given tables alone, and every
 document is judged by it. Rules on length and repetition come first and always hold.
 
-Labels are read from at most ``MAX_LABELLED`` documents of each class, those of the
-smallest hash; half of them fit the trusted counts, the other half the threshold.
-Everything else covers all documents. Without labels of both classes in either half the
+Every label counts: a hash of the id deals labelled documents to two halves, one fits the
+trusted counts, the other the threshold. Without labels of both classes in either half the
 score is 0 or the threshold is absent, and only the rules decide.
 
 Null and empty texts have no words and fail the length rule. Repeated rows each get a row,
@@ -27,7 +26,6 @@ from weekloom.llm.common import pick
 from weekloom.sources.staging import stage
 
 BUCKETS = 10_000
-MAX_LABELLED = 20_000
 WINDOW = 5
 MIN_WORDS = 10
 #: Percent of words in repeated windows beyond which a document fails.
@@ -40,20 +38,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
 
-def sample_labels(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, quality, half): at most ``most`` documents of each class."""
-    clean = (
-        pick(labels, "doc_id", "quality")
-        .filter("doc_id IS NOT NULL AND quality IN (0, 1)")
-        .groupBy("doc_id")
+def halved_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality, half) of every labelled document."""
+    clean = pick(labels, "doc_id", "quality").filter("doc_id IS NOT NULL AND quality IN (0, 1)")
+    return (
+        clean.groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("quality"))
-        .withColumn("h", F.xxhash64("doc_id"))
-    )
-    parts = [
-        clean.filter(F.col("quality") == q).orderBy("h", "doc_id").limit(most) for q in (0, 1)
-    ]
-    return parts[0].unionByName(parts[1]).select(
-        "doc_id", "quality", F.pmod("h", F.lit(2)).cast("int").alias("half")
+        .withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
     )
 
 
@@ -75,7 +66,8 @@ def with_words(docs: DataFrame) -> DataFrame:
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float] | None:
     """Per bucket, log of trusted over raw probability; None without a trusted document."""
     trusted = labels.filter("quality = 1 AND half = 0").select("doc_id", F.lit(1).alias("t"))
-    flagged = docs.join(F.broadcast(trusted), "doc_id", "left")  # MAX_LABELLED rows at most
+    # Labels grow with the documents: the same join at every size, none by broadcast.
+    flagged = docs.join(trusted.hint("merge"), "doc_id", "left")
     counts = (
         with_grams(with_words(flagged))
         # Outer: the plain form adds a filter on the array, which would repeat its making.
@@ -150,13 +142,16 @@ def measures(docs: DataFrame, weights: list[float] | None) -> DataFrame:
     return step.drop("windows", "ordered").withColumn("base_failed", failed)
 
 
-def threshold(scored: DataFrame) -> float | None:
+def threshold(scored: DataFrame, labels: DataFrame) -> float | None:
     """The cut between labelled documents of the held half with the best balance.
 
-    ``scored(score, quality, half, base_failed)``; of equal cuts the lowest.
+    ``scored(doc_id, score, base_failed)``; of equal cuts the lowest.
     """
+    held = labels.filter("half = 1").select("doc_id", "quality")
     bins = (
-        scored.filter("half = 1 AND NOT base_failed")
+        scored.filter("NOT base_failed")
+        .select("doc_id", "score")
+        .join(held.hint("merge"), "doc_id")
         .select(F.floor(F.col("score") / BIN).alias("b"), "quality")
         .groupBy("b")
         .agg(
@@ -178,13 +173,12 @@ def threshold(scored: DataFrame) -> float | None:
     return cut
 
 
-def quality(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: its counts, ``score``, ``base_failed`` and ``kept``."""
     rows = pick(docs, "doc_id", "text")
-    labelled = stage(sample_labels(labels, most), "quality-labels")
+    labelled = stage(halved_labels(labels), "quality-labels")
     weights = log_ratios(rows, labelled)
-    joined = rows.join(F.broadcast(labelled), "doc_id", "left")  # bounded by ``most``
-    scored = stage(measures(joined, weights), "quality-scores")
-    cut = None if weights is None else threshold(scored)
+    scored = stage(measures(rows, weights), "quality-scores")
+    cut = None if weights is None else threshold(scored, labelled)
     passed = F.lit(True) if cut is None else F.col("score") >= cut
-    return scored.drop("quality", "half").withColumn("kept", ~F.col("base_failed") & passed)
+    return scored.withColumn("kept", ~F.col("base_failed") & passed)
