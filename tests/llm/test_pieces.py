@@ -3,13 +3,16 @@
 import collections
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from weekloom.llm import pieces
+from weekloom.llm.common import slices
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -104,3 +107,18 @@ def test_query_rows(spark):
     for r in got:
         assert r.n_samples == len(set(r.ids_crc32)) and all(x <= 0 for x in r.inclusions)
     assert pieces.encode(df.filter("doc_id > 999"), PATH).count() == 0
+
+
+def test_texts_of_a_batch_advance_in_bounded_memory(voc):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(500)]
+    own = [" ".join(rng.choice(words) for _ in range(400)).encode() for _ in range(450)]
+    batch = pa.record_batch([pa.array(range(len(own))), pa.array(own)], ["doc_id", "text"])
+    known, rows = pieces.Known(voc), 0
+    tracemalloc.start()
+    for part in slices(batch, 1, pieces.SLICE):
+        plain = [t.decode() for t in part.column(1).to_pylist()]
+        rows += len(pieces.segment(plain, part.column(0).to_numpy(), known, 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(own) and peak < 100 << 20
