@@ -115,6 +115,7 @@ def test_texts_of_a_batch_advance_in_bounded_memory(voc):
     own = [" ".join(rng.choice(words) for _ in range(400)).encode() for _ in range(450)]
     batch = pa.record_batch([pa.array(range(len(own))), pa.array(own)], ["doc_id", "text"])
     known, rows = pieces.Known(voc), 0
+    pieces.segment(["room"], np.array([1]), known, 2)  # for the kept units, untouched pages
     tracemalloc.start()
     for part in slices(batch, 1, pieces.SLICE):
         plain = [t.decode() for t in part.column(1).to_pylist()]

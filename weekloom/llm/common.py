@@ -88,11 +88,12 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads 64-bit values (wrapping multiplication)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))  # the only copy
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 _ODD = 0x9E3779B97F4A7C15

@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,9 @@ from weekloom.llm.common import byte_view, long_rows, mix64, pick, slices
 SAMPLES = 2
 ALPHA = 0.5
 #: Bytes of texts that advance together: a step of theirs takes a thousand times as much.
-SLICE = 1 << 17
+SLICE = 1 << 18
 #: Edges of known units a task keeps, of 21 bytes each.
-KEPT = 1_000_000
+KEPT = 2_000_000
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BYTE = 3  # id of the piece of byte 0
 STEP = np.uint64(0x9FB21C651E98DF25)
@@ -199,7 +200,7 @@ class Lattice:
         return edges, np.where(real, self.share[edges], 0.0)
 
 
-class Known(dict):
+class Known(defaultdict):
     """Unit -> its number in one growing lattice, which a task keeps from slice to slice.
 
     Looking up a new unit numbers it; ``solved`` then builds the lattices of the new ones
@@ -215,15 +216,10 @@ class Known(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.fresh: list[str] = []
+        self.default_factory = count().__next__
         self.lattice = Lattice([], self.voc)
         self.used = dict.fromkeys(self.EDGES + self.NODES + self.UNITS, 0)
 
-    def __missing__(self, unit: str) -> int:
-        number = self[unit] = len(self)
-        self.fresh.append(unit)
-        return number
-
     def begin(self) -> None:
         """Before a slice: its units stay until its end."""
         if self.used["piece"] > KEPT:
@@ -231,14 +227,14 @@ class Known(dict):
 
     def solved(self) -> Lattice:
         """The lattice of all units looked up so far."""
-        if self.fresh:
-            new = Lattice(self.fresh, self.voc)
+        fresh = list(islice(reversed(self), len(self) - self.used["start"]))[::-1]
+        if fresh:
+            new = Lattice(fresh, self.voc)
             new.first += self.used["piece"]
             new.start += self.used["first"]
             new.stop += self.used["first"]
             for name in self.used:
                 self.append(name, getattr(new, name))
-            self.fresh = []
         return self.lattice
 
     def append(self, name: str, more: np.ndarray) -> None:
@@ -256,7 +252,10 @@ class Known(dict):
 
 def mixed(start: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
     for p in parts:
-        start = mix64((start + np.asarray(p).astype(np.uint64)) * STEP + np.uint64(1))
+        start = start + np.asarray(p).astype(np.uint64)
+        start *= STEP
+        start += np.uint64(1)
+        start = mix64(start)
     return start
 
 
@@ -266,7 +265,10 @@ def key_of(*parts: np.ndarray | int) -> np.ndarray:
 
 def uniform(key: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) that depend on the key alone."""
-    return ((key >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    u = (key >> np.uint64(11)).astype(np.float64)
+    u += 0.5
+    u /= 1 << 53
+    return u
 
 
 def gumbel(u: np.ndarray) -> np.ndarray:
