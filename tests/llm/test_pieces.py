@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import tracemalloc
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -123,3 +124,38 @@ def test_texts_of_a_batch_advance_in_bounded_memory(voc):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == len(own) and peak < 100 << 20
+
+
+def test_decoding_a_batch_takes_the_memory_of_a_part_of_it(voc):
+    class Encoded:
+        def mapInArrow(self, run, schema):
+            return run
+
+    drawn = pieces.segment(["the quick brown fox " * 500], np.array([1]), voc, 2)[0]
+    one = [r[0] for r in drawn]
+    rows, crc = 300, zlib.crc32(("the quick brown fox " * 500).encode())
+    scores = pa.array([[0.0] * len(one)] * rows, pa.list_(pa.float64()))
+    batch = pa.record_batch(
+        [pa.array(range(rows)), pa.array([crc] * rows), pieces.nested([one] * rows), scores, scores],
+        ["doc_id", "text_crc32", "segmentations", "logps", "inclusions"],
+    )
+    run = pieces.decoded(Encoded(), PATH, 0.3)
+    tracemalloc.start()
+    parts = list(run(iter([batch.slice(0, 0), batch.slice(1, 1), batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = [r for p in parts for r in p.to_pylist()]
+    assert [r["doc_id"] for r in got] == [1, *range(rows)] and all(r["round_trip"] for r in got)
+    assert {tuple(r["n_pieces"]) for r in got} == {tuple(map(len, one))}
+    assert peak < batch.column(2).nbytes
+
+
+def test_what_is_forgotten_leaves_its_room_to_what_comes(voc, monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT", 100)
+    known, own = pieces.Known(voc), ["some words", "other words entirely", "some words"]
+    first = ids(pieces.segment(own[:1], np.array([7]), known, 2)[0])
+    pieces.segment(["x" * 400], np.array([1]), known, 2)
+    room = known.lattice.piece
+    assert known.used["piece"] > 100
+    again = ids(pieces.segment(own[2:], np.array([7]), known, 2)[0])
+    assert again == first and known.lattice.piece is room and known.used["piece"] < 100

@@ -77,10 +77,14 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator
 
     A single text is never cut: a slice holds one row at least.
     """
-    offsets, _ = byte_view(batch.column(column))
+    return cut_at(batch, byte_view(batch.column(column))[0], limit)
+
+
+def cut_at(batch: pa.RecordBatch, upto: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """Cut a batch where ``upto``, the size of all rows before each, has grown by ``limit``."""
     start = 0
     while start < batch.num_rows:
-        stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
+        stop = int(np.searchsorted(upto, upto[start] + limit, "right")) - 1
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop

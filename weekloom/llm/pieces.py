@@ -37,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import byte_view, long_rows, mix64, pick, slices
+from weekloom.llm.common import byte_view, cut_at, long_rows, mix64, pick, slices
 
 SAMPLES = 2
 ALPHA = 0.5
 #: Bytes of texts that advance together: a step of theirs takes a thousand times as much.
-SLICE = 1 << 18
+SLICE = 1 << 17
 #: Edges of known units a task keeps, of 21 bytes each.
-KEPT = 2_000_000
+KEPT = 1_000_000
+#: Ids that are decoded together: their places and bytes take some twenty times as much.
+DECODED = 1 << 17
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BYTE = 3  # id of the piece of byte 0
 STEP = np.uint64(0x9FB21C651E98DF25)
@@ -212,12 +214,13 @@ class Known(defaultdict):
     def __init__(self, voc: Vocabulary) -> None:
         super().__init__()
         self.voc = voc
+        self.lattice = Lattice([], voc)
         self.forget()
 
     def forget(self) -> None:
+        """The arrays stay: what comes next is written over what was there."""
         self.clear()
         self.default_factory = count().__next__
-        self.lattice = Lattice([], self.voc)
         self.used = dict.fromkeys(self.EDGES + self.NODES + self.UNITS, 0)
 
     def begin(self) -> None:
@@ -526,6 +529,13 @@ def rounded(lists: pa.ListArray) -> pa.Array:
     return pa.array([[round(v, 6) for v in own] for own in lists.to_pylist()], pa.list_(pa.float64()))
 
 
+def by_ids(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Cut a batch of ``encode``'s rows where their segmentations reach ``DECODED`` ids."""
+    lists = batch.column(2)
+    first = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+    return cut_at(batch, np.append(0, np.cumsum(lists.flatten().value_lengths().to_numpy()))[first], DECODED)
+
+
 def decoded(encoded: DataFrame, model: str, alpha: float = ALPHA) -> DataFrame:
     """Digests of ``encode``'s rows, with every segmentation decoded and compared.
 
@@ -536,7 +546,7 @@ def decoded(encoded: DataFrame, model: str, alpha: float = ALPHA) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(model, alpha)
-        for batch in batches:
+        for batch in chain.from_iterable(map(by_ids, batches)):
             size, crc, good = [], [], []
             inner = batch.column(2).flatten()
             values = inner.flatten()

@@ -37,7 +37,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -311,6 +310,8 @@ def calibration(spark: SparkSession, shared: Broadcast, weights: list[float]) ->
 
     ``shared`` holds the index; ``weights`` restore the share of either class.
     """
+    # Only the driver fits: workers import this module too and need none of its 26 MB.
+    from pyspark.ml.regression import IsotonicRegression
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
