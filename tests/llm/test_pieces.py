@@ -159,3 +159,39 @@ def test_what_is_forgotten_leaves_its_room_to_what_comes(voc, monkeypatch):
     assert known.used["piece"] > 100
     again = ids(pieces.segment(own[2:], np.array([7]), known, 2)[0])
     assert again == first and known.lattice.piece is room and known.used["piece"] < 100
+
+
+def test_units_met_often_are_not_solved_again(voc, monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT", 400)
+    known, solved = pieces.Known(voc), []
+    plain = pieces.Lattice
+    monkeypatch.setattr(pieces, "Lattice", lambda own, voc: solved.extend(own) or plain(own, voc))
+    first = None
+    for i in range(40):
+        own = ["often here", "".join(chr(97 + (7 * i + j * j) % 26) for j in range(60 + i))]
+        got = [ids(r) for r in pieces.segment(own, np.array([7, i]), known, 2)]
+        assert got == [ids(r) for r in pieces.segment(own, np.array([7, i]), voc, 2)]
+        first = first or got[0]
+        assert got[0] == first and known.used["piece"] < 2 * pieces.KEPT
+        assert list(known.values()) == list(range(len(known))) and len(known.met) == len(known)
+    # Once in the shared lattice; the others were solved for the 40 fresh ones.
+    assert solved.count(" often") == 41 and solved.count(" here") == 41
+
+
+def test_regions_left_out_could_not_win(voc, monkeypatch):
+    own = texts()
+    keys = np.arange(len(own))
+    want = pieces.segment(own, keys, voc, 4)
+    # Nothing is left out, or everything but the first edges, which then do not suffice.
+    for reach in (1e9, 41.0, 0.0):
+        monkeypatch.setattr(pieces, "REACH", reach)
+        got = pieces.segment(own, keys, voc, 4)
+        assert [ids(r) for r in got] == [ids(r) for r in want]
+        assert [[x[1:] for x in r] for r in got] == [[x[1:] for x in r] for r in want]
+
+
+def test_units_are_those_of_the_pattern():
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choice([" ", "\n", "a", "b", "\0", "é", "\t", "word"][rng.randrange(2):]) for _ in range(rng.randrange(1, 12)))
+        assert pieces.units(text) == pieces.UNIT.findall(" " + text)

@@ -44,12 +44,15 @@ ALPHA = 0.5
 #: Bytes of texts that advance together: a step of theirs takes a thousand times as much.
 SLICE = 1 << 17
 #: Edges of known units a task keeps, of 21 bytes each.
-KEPT = 1_000_000
+KEPT = 1_500_000
 #: Ids that are decoded together: their places and bytes take some twenty times as much.
 DECODED = 1 << 17
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BYTE = 3  # id of the piece of byte 0
 STEP = np.uint64(0x9FB21C651E98DF25)
+#: A Gumbel number of 53 bits is below this; log-probability by which a region may fall
+#: behind the best before its number is left out, if it cannot win.
+GUMBEL, REACH = 40.0, 50.0
 
 
 class Vocabulary:
@@ -62,7 +65,7 @@ class Vocabulary:
         n = model.get_piece_size()
         self.raw = [b""] * n
         self.weight = np.zeros(n, np.float32)
-        found: dict[int, list[tuple[int, int]]] = {}
+        found: dict[int, list[int]] = {}
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -73,19 +76,45 @@ class Vocabulary:
                 self.weight[i] = -alpha * np.log(2 - model.get_score(i))
                 if UNIT.fullmatch(piece) is None:
                     raise ValueError(f"piece {piece!r} reaches across words")
-                points = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
-                (code,) = hashes(prefix(points), np.zeros(1, np.int64), len(points))
-                found.setdefault(len(points), []).append((int(code), i))
+                found.setdefault(len(piece), []).append(i)
         self.spelling = pa.array(self.raw, pa.binary())
         self.unknown = float(self.weight.min())
         self.sizes = sorted(found)
         self.tables = {}
-        for size, rows in found.items():
-            rows.sort()
-            codes = np.array([c for c, _ in rows], np.uint64)
-            near = np.zeros(1 << 17, bool)  # most spans are no piece: a small table says so
-            near[(codes >> np.uint64(47)).astype(np.int64)] = True
-            self.tables[size] = (codes, np.array([i for _, i in rows], np.int32), near)
+        for size, own in found.items():
+            text = b"".join(map(self.raw.__getitem__, own)).decode()
+            sums = prefix(np.frombuffer(text.encode("utf-32-le"), np.uint32))
+            codes = hashes(sums, np.arange(len(own)) * size, size)
+            order = np.argsort(codes, kind="stable")
+            self.tables[size] = Table(codes[order], np.array(own, np.int32)[order])
+
+
+class Table:
+    """Pieces of one length by their hash."""
+
+    def __init__(self, codes: np.ndarray, ids: np.ndarray) -> None:
+        self.codes, self.ids = codes, ids
+        places, first, counts = np.unique(self.place(codes), return_index=True, return_counts=True)
+        self.near = np.zeros(1 << 17, bool)  # most spans are no piece: a small table says so
+        self.near[places] = True
+        self.first = np.zeros(1 << 17, np.int32)
+        self.first[places] = first
+        self.most = int(counts.max())
+
+    @staticmethod
+    def place(codes: np.ndarray) -> np.ndarray:
+        return (codes >> np.uint64(47)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``codes`` are pieces, their ids)."""
+        place = self.place(codes)
+        maybe = np.flatnonzero(self.near[place])
+        code, where = codes[maybe], self.first[place[maybe]]
+        for _ in range(self.most - 1):
+            where += self.codes[where] < code  # codes ascend, those of a place lie side by side
+            np.minimum(where, len(self.codes) - 1, out=where)
+        hit = self.codes[where] == code
+        return maybe[hit], self.ids[where[hit]]
 
 
 @lru_cache(maxsize=2)
@@ -131,18 +160,15 @@ class Lattice:
         total = len(points) + len(units)
         froms, pieces, sums = [], [], prefix(points)
         single = np.zeros(len(points), bool)
+        near = np.arange(len(points))
         for size in voc.sizes:
-            at = np.flatnonzero(left >= size)
-            codes, ids, near = voc.tables[size]
-            code = hashes(sums, at, size)
-            maybe = near[(code >> np.uint64(47)).astype(np.int64)]
-            at, code = at[maybe], code[maybe]
-            where = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            hit = codes[where] == code
-            froms.append(node[at[hit]])
-            pieces.append(ids[where[hit]])
+            near = near[left[near] >= size]
+            hit, ids = voc.tables[size].find(hashes(sums, near, size))
+            at = near[hit]
+            froms.append(node[at])
+            pieces.append(ids)
             if size == 1:
-                single[at[hit]] = True
+                single[at] = True
         bare = np.flatnonzero(~single)
         code = points[bare].astype(np.int64)
         # One byte is a piece; more are marked by the negative of their character.
@@ -152,7 +178,7 @@ class Lattice:
         extra = [voc.unknown * n_bytes, *(voc.weight[i] for i in pieces[1:])]
         sizes = [np.full(len(f), n) for f, n in zip(froms, [1, *voc.sizes], strict=True)]
         at = np.concatenate(froms)
-        order = np.argsort(at, kind="stable")  # runs in order: merged, not sorted
+        order = in_order(at, total)
         self.piece = np.concatenate(pieces)[order]
         self.size = np.concatenate(sizes)[order].astype(np.int8)
         counts = np.bincount(at, minlength=total)
@@ -164,33 +190,42 @@ class Lattice:
     def solve(self, node: np.ndarray, left: np.ndarray, to: np.ndarray, weight: np.ndarray) -> None:
         """Conditional probabilities of edges, from sums over what follows them."""
         after = np.zeros(len(self.first))
-        self.share, self.upto = weight, np.empty(len(weight))
-        order = np.argsort(left.astype(np.int32), kind="stable")
+        # Nodes by how far they are from the end, their edges side by side.
+        order = in_order(left, int(left.max(initial=0)) + 1)
+        node = node[order]
+        count = self.count[node]
+        at, heads = spread(self.first[node], count), np.cumsum(count) - count
+        to, weight = to[at], weight[at]
+        share, upto = weight, np.empty(len(weight))  # the last edge of a node takes what is left
         cuts = np.cumsum(np.bincount(left)) if len(left) else np.zeros(1, np.int64)
-        for a, z in zip(cuts, cuts[1:], strict=False):
+        edges = np.append(heads, len(at))[cuts]
+        for a, z, e, f in zip(cuts, cuts[1:], edges, edges[1:], strict=False):
             if a == z:
                 continue
-            own = node[order[a:z]]
-            count = self.count[own]
-            at = spread(self.first[own], count)
-            score, heads = weight[at] + after[to[at]], np.cumsum(count) - count
-            top = np.maximum.reduceat(score, heads)
-            mass = np.exp(score - np.repeat(top, count))
-            total = np.add.reduceat(mass, heads)
+            own, n, head = node[a:z], count[a:z], heads[a:z] - e
+            score = weight[e:f] + after[to[e:f]]
+            top = np.maximum.reduceat(score, head)
+            mass = np.exp(score - np.repeat(top, n))
+            total = np.add.reduceat(mass, head)
             after[own] = top + np.log(total)
-            mass /= np.repeat(total, count)
+            mass /= np.repeat(total, n)
             run = np.cumsum(mass)
-            before = run[heads] - mass[heads]
-            self.share[at], self.upto[at] = mass, run - np.repeat(before, count)
+            before = run[head] - mass[head]
+            share[e:f], upto[e:f] = mass, run - np.repeat(before, n)
+        upto[heads + count - 1] = 1.0
+        self.share, self.upto = np.empty(len(at)), np.empty(len(at))
+        self.share[at], self.upto[at] = share, upto
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node into whose part of (0, 1) its number falls."""
-        edge, last = self.first[node], self.first[node] + self.count[node] - 1
-        todo = np.flatnonzero(edge < last)
+        edge = self.first[node]
+        todo = np.flatnonzero(self.upto[edge] <= u)
+        now, u = edge[todo], u[todo]
         while len(todo):
-            todo = todo[(self.upto[edge[todo]] <= u[todo])]
-            edge[todo] += 1
-            todo = todo[edge[todo] < last[todo]]
+            now += 1
+            edge[todo] = now
+            more = np.flatnonzero(self.upto[now] <= u)
+            todo, now, u = todo[more], now[more], u[more]
         return edge
 
     def rows(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,7 +241,8 @@ class Known(defaultdict):
     """Unit -> its number in one growing lattice, which a task keeps from slice to slice.
 
     Looking up a new unit numbers it; ``solved`` then builds the lattices of the new ones
-    together and appends them. Beyond ``KEPT`` edges everything is forgotten.
+    together and appends them. Beyond ``KEPT`` edges those that were met most often stay, up
+    to half as many edges, and the others are forgotten.
     """
 
     EDGES, NODES, UNITS = ("piece", "size", "share", "upto"), ("first", "count"), ("start", "stop")
@@ -215,19 +251,45 @@ class Known(defaultdict):
         super().__init__()
         self.voc = voc
         self.lattice = Lattice([], voc)
-        self.forget()
-
-    def forget(self) -> None:
-        """The arrays stay: what comes next is written over what was there."""
-        self.clear()
         self.default_factory = count().__next__
         self.used = dict.fromkeys(self.EDGES + self.NODES + self.UNITS, 0)
+        self.met = np.zeros(0, np.int64)
 
     def begin(self) -> None:
         """Before a slice: its units stay until its end."""
         if self.used["piece"] > KEPT:
             self.forget()
 
+    def forget(self) -> None:
+        """The arrays stay: what is kept moves to their beginning, the next is written behind."""
+        lat, n = self.lattice, self.used["start"]
+        start, stop = lat.start[:n], lat.stop[:n]
+        first = lat.first[start]
+        size = lat.first[stop] - first  # the last node of a unit has no edges
+        often = np.argsort(-self.met, kind="stable")
+        stay = np.sort(often[np.cumsum(size[often]) <= KEPT // 2])
+        names = list(self)
+        self.clear()
+        self.update(zip(map(names.__getitem__, stay.tolist()), range(len(stay)), strict=True))
+        self.default_factory = count(len(stay)).__next__
+        self.met = self.met[stay] // 2  # what was met long ago counts less
+        start, nodes, first, size = start[stay], stop[stay] - start[stay] + 1, first[stay], size[stay]
+        node, edge = spread(start, nodes), spread(first, size)
+        first = lat.first[node] - np.repeat(first - (np.cumsum(size) - size), nodes)
+        ends = np.cumsum(nodes)
+        self.used = dict.fromkeys(self.used, 0)
+        for name in self.EDGES:
+            self.append(name, getattr(lat, name)[edge])
+        self.append("count", lat.count[node])
+        self.append("first", first)
+        self.append("start", ends - nodes)
+        self.append("stop", ends - 1)
+
+    def meet(self, numbers: np.ndarray) -> None:
+        met = np.bincount(numbers, minlength=len(self))
+        met[: len(self.met)] += self.met
+        self.met = met
+
     def solved(self) -> Lattice:
         """The lattice of all units looked up so far."""
         fresh = list(islice(reversed(self), len(self) - self.used["start"]))[::-1]
@@ -296,25 +358,29 @@ class Steps:
 def forward(lat: Lattice, node: np.ndarray, stop: np.ndarray, unit: np.ndarray, key: np.ndarray,
             round_: int) -> tuple[Steps, np.ndarray]:
     """Sample from every node to its stop; the steps, and how many each start has."""
-    active = np.flatnonzero(node < stop)
+    who = np.flatnonzero(node < stop)
     counts = np.zeros(len(node), np.int64)
-    now, parts, t = node.copy(), [], 0
-    key = mixed(key, round_, unit)
-    while len(active):
-        at = now[active]
-        edge = lat.choose(at, uniform(mixed(key[active], t)))
-        parts.append((active, np.full(len(active), t, np.int32), at, edge))
-        now[active] += lat.size[edge]
-        counts[active] += 1
-        active, t = active[now[active] < stop[active]], t + 1
-    if not parts:
-        empty = np.zeros(0, np.int64)
-        return Steps(empty, empty, np.zeros(0), empty), counts
-    who, when, at, edge = (np.concatenate(c) for c in zip(*parts, strict=True))
-    order = np.empty(len(who), np.int64)
-    order[(np.cumsum(counts) - counts)[who] + when] = np.arange(len(who))
-    edge = edge[order]
-    return Steps(at[order], edge, np.log(lat.share[edge]), unit[who[order]]), counts
+    at, end, key = node[who], stop[who], mixed(key, round_, unit)[who]
+    parts = []
+    while len(who):
+        edge = lat.choose(at, uniform(mixed(key, len(parts))))
+        parts.append((who, at, edge))
+        at = at + lat.size[edge]
+        more = at < end
+        counts[who[~more]] = len(parts)
+        more = np.flatnonzero(more)
+        who, at, end, key = who[more], at[more], end[more], key[more]
+    first = np.cumsum(counts) - counts
+    nodes, edges = (np.empty(int(counts.sum()), np.int64) for _ in range(2))
+    for t, (who, at, edge) in enumerate(parts):
+        place = first[who] + t
+        nodes[place], edges[place] = at, edge
+    return Steps(nodes, edges, np.log(lat.share[edges]), np.repeat(unit, counts)), counts
+
+
+def in_order(values: np.ndarray, top: int) -> np.ndarray:
+    """A stable sort of numbers from 0 to below ``top``; small ones are sorted by radix."""
+    return np.argsort(values.astype(np.uint16) if top <= 1 << 16 else values, kind="stable")
 
 
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -324,14 +390,24 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - first, counts) + np.arange(total)
 
 
+def units(text: str) -> list[str]:
+    """``UNIT`` on the text and the space before it; texts without double spaces are only split."""
+    whole = " " + text
+    if "  " in whole or "\0" in whole:
+        return UNIT.findall(whole)
+    cut = whole.replace(" ", "\0 ").replace("\n", "\0\n\0")
+    return list(filter(None, cut.split("\0")))
+
+
 def segment(
     texts: list[str], keys: np.ndarray, voc: Vocabulary | Known, samples: int
 ) -> list[list[tuple]]:
     """Per text, up to ``samples`` tuples (ids, log-probability, log inclusion)."""
     known = voc if isinstance(voc, Known) else Known(voc)
     known.begin()
-    found = [UNIT.findall(" " + t) if t else [] for t in texts]
+    found = [units(t) if t else [] for t in texts]
     flat = np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.int64)
+    known.meet(flat)
     lat = known.solved()
     n_units = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(n_units)
@@ -345,7 +421,7 @@ def segment(
         counts = ends[doc] - first
         rest = spread(first, counts)
         who = np.concatenate([doc, np.repeat(doc, counts)])
-        order = np.argsort(who, kind="stable")  # the partial unit of a text comes first
+        order = in_order(who, len(texts))  # the partial unit of a text comes first
         nodes = np.concatenate([node, lat.start[flat[rest]]])[order]
         stops = np.concatenate([stop, lat.stop[flat[rest]]])[order]
         units = np.concatenate([first - 1, rest])[order]
@@ -365,9 +441,9 @@ def segment(
     offset = np.cumsum(counts) - counts
     for round_ in range(samples):
         # ``history`` ends with this round's paths; ``offset`` and ``counts`` place them.
-        own = spread(offset[live], counts[live])
+        begin = int(offset[live[0]]) if len(live) else 0  # they lie side by side
         who = np.repeat(live, counts[live])
-        logp = history.logp[own]
+        logp = history.logp[begin:]
         run = np.cumsum(logp)
         first = np.cumsum(counts[live]) - counts[live]
         before = np.where(first > 0, run[np.maximum(first - 1, 0)], 0.0) if len(run) else np.zeros(len(live))
@@ -378,25 +454,40 @@ def segment(
             sums[filled] = np.add.reduceat(logp, first[filled])
         for d, total in zip(live.tolist(), sums.tolist(), strict=True):
             results[d].append((int(offset[d]), int(counts[d]), total))
-        if len(own):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                spare = prior + np.log1p(-np.minimum(np.exp(logp), 1.0))
-                index = np.arange(len(own)) - np.repeat(first, counts[live])
-                fresh = index >= lead[who]
-                round_key = np.repeat(mixed(seeds[live], 0x5A, round_), counts[live])
-                noise = gumbel(uniform(mixed(round_key, index)))
-                value = np.where(fresh & (spare > -1e300), below(top[who], spare + noise), -np.inf)
-            has = np.flatnonzero(filled)
-            for _ in range(samples - round_):
-                best = np.maximum.reduceat(value, first[has])
-                hit = np.flatnonzero(value == np.repeat(best, counts[live][has]))
-                hit = hit[~np.isneginf(value[hit])]
-                _, once = np.unique(who[hit], return_index=True)
-                for h in hit[once].tolist():
-                    step = int(own[h])
-                    shut = (int(history.edge[step]),)
-                    heaps[who[h]].append((float(value[h]), step, shut, float(prior[h])))
-                value[hit[once]] = -np.inf
+        if len(logp):
+            index = np.arange(len(logp)) - np.repeat(first, counts[live])
+            fresh = index >= lead[who]
+            highest = np.full(len(texts), -np.inf)  # of the new regions of a text
+            begun = counts[live] > lead[live]
+            highest[live[begun]] = prior[(first + lead[live])[begun]]
+            wanted, round_key = samples - round_, mixed(seeds, 0x5A, round_)
+
+            def best(some: np.ndarray, bar: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                """From ``some``, the places and values of each text's ``wanted`` highest above its bar."""
+                with np.errstate(divide="ignore"):
+                    spare = prior[some] + np.log1p(-np.minimum(np.exp(logp[some]), 1.0))
+                value = spare + gumbel(uniform(mixed(round_key[who[some]], index[some])))
+                real = (spare > -1e300) & (value > bar[who[some]])
+                some, value = some[real], value[real]
+                order = np.lexsort((-value, who[some]))
+                some, value = some[order], value[order]
+                n = np.bincount(who[some], minlength=len(texts))
+                rank = np.arange(len(some)) - np.repeat(np.cumsum(n) - n, n)
+                return some[rank < wanted], value[rank < wanted]
+
+            # No value is above its prior by more than the largest Gumbel: where enough
+            # regions near the start of a path beat that, the others need no number.
+            at, value = best(np.flatnonzero(fresh & (prior > highest[who] - REACH)), highest - REACH + GUMBEL)
+            sure = np.bincount(who[at], minlength=len(texts)) == wanted
+            sure |= np.isneginf(highest)
+            if not sure.all():
+                every = best(np.flatnonzero(fresh & ~sure[who]), np.full(len(texts), -np.inf))
+                own = sure[who[at]]
+                at, value = (np.concatenate(x) for x in zip((at[own], value[own]), every, strict=True))
+            doc, step = who[at], begin + at
+            columns = (doc, below(top[doc], value), step, history.edge[step], prior[at])
+            for d, v, h, edge, p in zip(*(c.tolist() for c in columns), strict=True):
+                heaps[d].append((v, h, (edge,), p))
         if round_ + 1 == samples:
             break
         # Pop the best region of every text that has one.
@@ -411,7 +502,8 @@ def segment(
         node, unit = history.node[step], history.unit[step]
         edges, share = lat.rows(node)
         for j, (_, r) in enumerate(picked):
-            share[j, np.isin(edges[j], r[2])] = 0.0
+            for shut in r[2]:
+                share[j, edges[j] == shut] = 0.0
         mass = share.cumsum(1)
         u = uniform(mixed(seeds[live], 0xC3, round_, unit - starts[live])) * mass[:, -1]
         column = np.minimum((mass <= u[:, None]).sum(1), mass.shape[1] - 1)
@@ -419,12 +511,13 @@ def segment(
         chance = share[np.arange(len(live)), column]
         left = mass[:, -1] - chance
         prior_at = np.array([r[3] for _, r in picked])
-        for j, (d, r) in enumerate(picked):
+        some = left > 1e-12
+        noise = gumbel(uniform(mixed(seeds[live], 0x77, round_)))
+        value_left = below(top[live], prior_at + np.log(np.where(some, left, 1.0)) + noise)
+        for (d, r), more, v, e in zip(picked, some.tolist(), value_left.tolist(), edge.tolist(), strict=True):
             heaps[d].remove(r)
-            if left[j] > 1e-12:
-                noise = gumbel(uniform(mixed(seeds[d : d + 1], 0x77, round_)))[0]
-                value_left = float(below(top[d], prior_at[j] + np.log(left[j]) + noise))
-                heaps[d].append((value_left, r[1], (*r[2], int(edge[j])), r[3]))
+            if more:
+                heaps[d].append((v, r[1], (*r[2], e), r[3]))
         # The new paths: what came before the region, its edge, and a sampled rest.
         parent = np.array([next(o for o, c, _ in results[d] if o <= s < o + c)
                            for (d, r) in picked for s in (r[1],)], np.int64)
@@ -432,7 +525,7 @@ def segment(
         tail, n_tail = suffix(live, unit + 1, node + lat.size[edge], lat.stop[flat[unit]], round_ + 1)
         head = spread(parent, n_head)
         owner = np.concatenate([np.repeat(live, n_head), live, np.repeat(docs, n_tail)])
-        order = np.argsort(owner, kind="stable")
+        order = in_order(owner, len(texts))
         with np.errstate(divide="ignore"):
             turn = [node, edge, np.log(chance), unit]
         parts = zip(history.take(head), turn, tail.columns, strict=True)
