@@ -120,3 +120,45 @@ def test_files_hold_the_ids_in_order(spark, monkeypatch):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert idcoder.id_file_digests(df, PATH).count() == 0
+
+
+def test_halves_are_those_of_the_single_part():
+    rng = random.Random(6)
+    signs = ["a", "B", "7", ".", "'", "_", "|>", "<|", "\x7f", "\x1c", "é", "Ő", "İ", "²", ")", "-"]
+    parts = ["".join(rng.choice(signs) for _ in range(rng.randrange(0, 7))) for _ in range(4000)]
+    parts = sorted(set(parts))
+    for own in (parts, parts[:1], [], ["é"], ["x."]):
+        halves, pairs = idcoder.halved(pa.array(own, pa.string()))
+        assert [(halves[a], halves[b]) for a, b in pairs.tolist()] == [idcoder.split(p) for p in own]
+
+
+def test_blocks_of_all_sizes_advance_together(monkeypatch):
+    rng = np.random.default_rng(8)
+    ids = rng.zipf(1.3, 3 * idcoder.BLOCK + 700).astype(np.int64) % 50_000
+    prior = idcoder.Prior.of(ids)
+    alone = [b for i in range(0, len(ids), idcoder.BLOCK) for b in idcoder.encode(ids[i : i + idcoder.BLOCK], prior)]
+    calls, passes = [], (idcoder.encode_lanes, idcoder.decode_lanes)
+    for f in passes:
+        monkeypatch.setattr(idcoder, f.__name__, lambda *a, f=f: calls.append(f.__name__) or f(*a))
+    blocks = idcoder.encode(ids, prior)
+    assert blocks == alone and (idcoder.decode(blocks, prior) == ids).all()
+    assert calls == ["encode_lanes", "decode_lanes"]
+    # Also in another order, with two short ones and an empty one.
+    order = [3, 0, 2, 3, 1]
+    empty = idcoder.headed(np.zeros(0, np.int32), b"")
+    got = idcoder.decode([*(blocks[i] for i in order), empty], prior)
+    assert (got == np.concatenate([ids[i * idcoder.BLOCK : (i + 1) * idcoder.BLOCK] for i in order])).all()
+
+
+def test_parts_met_often_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(idcoder, "CACHE", 20)
+    coder, plain, learnt = idcoder.Encoder(PATH), Tokenizer.from_file(PATH), []
+    learn = coder.learn
+    coder.learn = lambda parts: learnt.extend(parts) or learn(parts)
+    for i in range(30):
+        own = ["often, often here. " + " ".join(f"w{i}x{j}!" for j in range(6)), None, f"  {i}ö here."]
+        cuts, ids = coder.encode(pa.array(own))
+        got = [ids[a:z].tolist() for a, z in zip(cuts, cuts[1:], strict=False)]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in own]
+        assert len(coder.known) == len(coder.cuts) - 1 == len(coder.met) < 40
+    assert learnt.count("often") == learnt.count("here") == learnt.count(",") == 1

@@ -23,11 +23,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import long_rows, pick, slices
+from weekloom.llm.common import byte_view, long_rows, pick, slices
 from weekloom.sources.staging import staged_path
 
 BLOCK = 4096
@@ -145,45 +147,46 @@ class Predictor:
     """
 
     def __init__(self, n: int) -> None:
-        self.base = np.arange(n) * SLOTS
-        self.two_table, self.one_table = (np.zeros(n * SLOTS, np.int32) for _ in range(2))
+        self.base = np.arange(2 * n).reshape(2, n) * SLOTS  # of order 2, of order 1
+        self.table = np.zeros(2 * n * SLOTS, np.int32)
         self.event_base = np.arange(n) * 32
         self.event = np.full(n * 32, (1 << UNIT) // 3 | (2 << UNIT) // 3 << 16, np.int32)
         self.last = self.before = np.zeros(n, np.int32)
 
+    def cut(self, n: int) -> None:
+        """Only the first ``n`` blocks go on."""
+        self.base, self.event_base = self.base[:, :n], self.event_base[:n]
+        self.last, self.before = self.last[:n], self.before[:n]
+
     def look(self) -> tuple[np.ndarray, np.ndarray]:
         """What order 2 and order 1 predict."""
         spread = self.last * np.int32(0x9E3B)
-        self.two_at = self.base + (self.before * np.int32(0x2F0B) + spread >> 3 & SLOTS - 1)
-        self.one_at = self.base + (spread >> 2 & SLOTS - 1)
-        self.two, self.one = self.two_table[self.two_at], self.one_table[self.one_at]
-        two, one = self.two >> 2, self.one >> 2
-        trust = ((self.two & 3) << 3) + ((self.one & 3) << 1)
-        self.slot = self.event_base + (trust + (two == one))
-        both = self.event[self.slot]
+        own = np.empty(self.base.shape, np.int32)
+        own[0] = self.before * np.int32(0x2F0B) + spread >> 3
+        own[1] = spread >> 2
+        own &= SLOTS - 1
+        self.at = self.base + own
+        self.entry = self.table.take(self.at)
+        two, one = self.entry >> 2
+        self.trust = self.entry & 3
+        self.slot = self.event_base + ((self.trust[0] << 3) + (self.trust[1] << 1) + (two == one))
+        both = self.event.take(self.slot)
         self.first, self.second = both & 0xFFFF, both >> 16
         return two, one
 
     def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
         # Towards the side of the symbol, leaving the floor of every other one.
-        first = self.first + (GOAL_FIRST[event] - self.first >> RATE)
-        second = self.second + (GOAL_SECOND[event] - self.second >> RATE)
+        first = self.first + (GOAL_FIRST.take(event) - self.first >> RATE)
+        second = self.second + (GOAL_SECOND.take(event) - self.second >> RATE)
         self.event[self.slot] = first | second << 16
-        key, fresh = ids << 2, ids << 2 | 1
-        self.two_table[self.two_at] = learned(self.two, key, fresh)
-        self.one_table[self.one_at] = learned(self.one, key, fresh)
+        # More trust in a right entry, up to 3, less in a wrong one, a new one where there is none.
+        fresh = ids << 2 | 1
+        apart = self.entry ^ fresh - 1
+        wrong = np.where(self.trust > 0, self.entry - 1, fresh)
+        self.table[self.at] = np.where(apart < 4, fresh + np.minimum(apart, 2), wrong)
         self.before, self.last = self.last, ids
 
 
-def learned(entry: np.ndarray, key: np.ndarray, fresh: np.ndarray) -> np.ndarray:
-    """More trust in a right entry, less in a wrong one, a new one where there is none."""
-    apart = entry ^ key
-    wrong = np.where((entry & 3) > 0, entry - 1, fresh)
-    return np.where(apart < 4, key | NEXT[apart & 3], wrong)
-
-
-#: Trust after a right prediction.
-NEXT = np.array([1, 2, 3, 3], np.int32)
 # Per event: order 2 is right, order 1 is right, neither.
 GOAL_FIRST = np.array([(1 << UNIT) - 2 * FLOOR, FLOOR, FLOOR], np.int32)
 GOAL_SECOND = np.array([(1 << UNIT) - FLOOR, (1 << UNIT) - FLOOR, 2 * FLOOR], np.int32)
@@ -212,19 +215,27 @@ class Writer:
                 word = self.out[at] + np.uint16(1)
                 self.out[at] = word
                 at = at[word == 0] - 1
-        while len(short := np.flatnonzero(self.range < LOW)):
+        short = np.flatnonzero(self.range < LOW)
+        while len(short):
             low, at = self.low[short], self.at[short]
             self.out[at] = low >> 32
             self.at[short] = at + 1
             self.low[short] = (low & LOW - 1) << 16
-            self.range[short] <<= 16
+            self.range[short] = wide = self.range[short] << 16
+            short = short[wide < LOW]
 
-    def finish(self) -> list[bytes]:
+    def cut(self, n: int) -> list[bytes]:
+        """What the lanes from ``n`` on have written; the others go on."""
+        low, first, at = self.low[n:], self.first[n:], self.at[n:]
         for shift in (32, 16, 0):
-            self.out[self.at] = self.low >> shift & 0xFFFF
-            self.at += 1
-        ends = zip(self.first.tolist(), self.at.tolist(), strict=True)
-        return [self.out[a:z].astype("<u2").tobytes() for a, z in ends]
+            self.out[at] = low >> shift & 0xFFFF
+            at = at + 1
+        ends = zip(first.tolist(), at.tolist(), strict=True)
+        done = [self.out[a:z].astype("<u2").tobytes() for a, z in ends]
+        self.low, self.range, self.first, self.at = (
+            x[:n] for x in (self.low, self.range, self.first, self.at)
+        )
+        return done
 
 
 class Reader:
@@ -239,6 +250,9 @@ class Reader:
         self.words, self.at = table.reshape(-1), np.arange(n) * size + 3
         self.range = np.full(n, HIGH, np.int64)
 
+    def cut(self, n: int) -> None:
+        self.code, self.range, self.at = self.code[:n], self.range[:n], self.at[:n]
+
     def target(self, bits: int | np.ndarray) -> np.ndarray:
         self.unit = self.range >> bits
         # Exact: both are below 2^48 and the quotient is far from the next integer.
@@ -247,24 +261,35 @@ class Reader:
     def take(self, start: np.ndarray, size: np.ndarray) -> None:
         self.code -= self.unit * start
         self.range = self.unit * size
-        while len(short := np.flatnonzero(self.range < LOW)):
+        short = np.flatnonzero(self.range < LOW)
+        while len(short):
             at = self.at[short]
             self.code[short] = self.code[short] << 16 | self.words[at]
             self.at[short] = at + 1
-            self.range[short] <<= 16
+            self.range[short] = wide = self.range[short] << 16
+            short = short[wide < LOW]
+
+
+def going(sizes: np.ndarray) -> np.ndarray:
+    """How many of blocks in falling order of size have an id at each step."""
+    return len(sizes) - np.searchsorted(sizes[::-1], np.arange(int(sizes.max(initial=0))), "right")
 
 
-def encode_lanes(ids: np.ndarray, prior: Prior) -> list[bytes]:
-    """Payloads of the rows of ``ids``, blocks of one length."""
-    n, steps = ids.shape
-    ids = np.ascontiguousarray(ids.T)
+def encode_lanes(ids: np.ndarray, prior: Prior, sizes: np.ndarray) -> list[bytes]:
+    """Payloads of blocks: the first ids of the columns of ``ids``, in falling order of size."""
+    steps, n = ids.shape
     symbols = prior.symbols(ids)
     step, lane = np.nonzero(symbols < CLASSES)
     extra = np.bincount(lane, prior.extra[symbols[step, lane]], n)
     # An event and its symbol cost 26 bits at most: the floors see to that.
     room = int(extra.max(initial=0)) // 16 + 2 * steps + 8
     model, out = Predictor(n), Writer(n, room)
-    for own, symbol in zip(ids, symbols, strict=True):
+    done: list[bytes] = []
+    for own, symbol, left in zip(ids, symbols, going(sizes).tolist(), strict=True):
+        if left < n:
+            done, n = out.cut(left) + done, left
+            model.cut(n)
+        own, symbol = own[:n], symbol[:n]
         two, one = model.look()
         event = np.where(own == two, 0, 2 - (own == one))
         rest = event == 2
@@ -272,21 +297,26 @@ def encode_lanes(ids: np.ndarray, prior: Prior) -> list[bytes]:
         share *= rest
         edge = np.where(rest, model.second, model.first * event)
         wide = np.where(event == 0, model.first, model.second - model.first)
-        start = (edge.astype(np.int64) << FINE) + prior.below[symbol] * share
-        size = np.where(rest, prior.share[symbol] * share, wide.astype(np.int64) << FINE)
+        start = (edge.astype(np.int64) << FINE) + prior.below.take(symbol) * share
+        size = np.where(rest, prior.share.take(symbol) * share, wide.astype(np.int64) << FINE)
         out.put(PAIR, start, size)
         if len(lane) and (more := np.where(rest, prior.extra[symbol], 0)).any():
             value = np.where(more > 0, own - prior.base[symbol], 0)
             out.put(more, value, np.ones(n, np.int64))
         model.learn(own, event)
-    return out.finish()
+    return out.cut(0) + done
 
 
-def decode_lanes(words: list[np.ndarray], steps: int, prior: Prior) -> np.ndarray:
-    n = len(words)
+def decode_lanes(words: list[np.ndarray], sizes: np.ndarray, prior: Prior) -> np.ndarray:
+    """Rows that begin with the ids of blocks, which come in falling order of size."""
+    n, lanes = len(words), going(sizes).tolist()
     model, code, targets = Predictor(n), Reader(words), prior.targets()
-    ids, one_each = np.zeros((steps, n), np.int32), np.ones(n, np.int64)
-    for step in range(steps):
+    ids = np.zeros((len(lanes), n), np.int32)
+    for step, left in enumerate(lanes):
+        if left < n:
+            n = left
+            model.cut(n)
+            code.cut(n)
         two, one = model.look()
         target = code.target(PAIR)
         event = (target >> FINE >= model.first) + (target >> FINE >= model.second).astype(np.int32)
@@ -294,21 +324,21 @@ def decode_lanes(words: list[np.ndarray], steps: int, prior: Prior) -> np.ndarra
         second = model.second.astype(np.int64)
         share = (1 << UNIT) - second
         inner = ((target - (second << FINE)) / share).astype(np.int64)
-        symbol = targets[np.where(rest, inner, 0)]
+        symbol = targets.take(np.where(rest, inner, 0))
         share *= rest
         edge = np.where(rest, model.second, model.first * event)
         wide = np.where(event == 0, model.first, model.second - model.first)
-        start = (edge.astype(np.int64) << FINE) + prior.below[symbol] * share
-        code.take(start, np.where(rest, prior.share[symbol] * share, wide.astype(np.int64) << FINE))
+        start = (edge.astype(np.int64) << FINE) + prior.below.take(symbol) * share
+        code.take(start, np.where(rest, prior.share.take(symbol) * share, wide.astype(np.int64) << FINE))
         value = prior.base[symbol]
         more = np.where(rest, prior.extra[symbol], 0)
         if more.any():
             tail = code.target(more)
-            code.take(tail, one_each)
+            code.take(tail, np.ones(n, np.int64))
             value = value + tail
         own = np.where(rest, value, np.where(event == 0, two, one)).astype(np.int32)
         model.learn(own, event)
-        ids[step] = own
+        ids[step, :n] = own
     return np.ascontiguousarray(ids.T)
 
 
@@ -318,14 +348,19 @@ def decode_lanes(words: list[np.ndarray], steps: int, prior: Prior) -> np.ndarra
 def encode(ids: np.ndarray, prior: Prior = CLASSES_ONLY) -> list[bytes]:
     """Blocks of a run of ids below 2^28, each of ``BLOCK`` ids but the last."""
     ids = np.asarray(ids, np.int32)
-    whole = len(ids) // BLOCK
     out: list[bytes] = []
-    for at in range(0, whole, LANES):
-        rows = ids[at * BLOCK : min(whole, at + LANES) * BLOCK].reshape(-1, BLOCK)
-        out += [headed(r, p) for r, p in zip(rows, encode_lanes(rows, prior), strict=True)]
-    rest = ids[whole * BLOCK :]
-    if len(rest):
-        out.append(headed(rest, encode_lanes(rest[None], prior)[0]))
+    for at in range(0, len(ids), LANES * BLOCK):
+        own = ids[at : at + LANES * BLOCK]
+        sizes = np.minimum(len(own) - np.arange(0, len(own), BLOCK), BLOCK)
+        columns, whole = np.zeros((sizes[0], len(sizes)), np.int32), len(own) // BLOCK
+        if whole:
+            columns[:, :whole] = own[: whole * BLOCK].reshape(-1, BLOCK).T
+        # The last block may be shorter, what stands behind its ids is not coded.
+        rest = own[whole * BLOCK :]
+        columns[: len(rest), whole:] = rest[:, None]
+        payloads = encode_lanes(columns, prior, sizes)
+        cuts = range(0, len(own), BLOCK)
+        out += [headed(own[a : a + BLOCK], p) for a, p in zip(cuts, payloads, strict=True)]
     return out
 
 
@@ -339,15 +374,15 @@ def decode(blocks: list[bytes], prior: Prior = CLASSES_ONLY) -> np.ndarray:
     if any(h[0] != MAGIC for h in heads):
         raise ValueError("not a block")
     out: list[np.ndarray | None] = [None] * len(blocks)
-    for steps in sorted({h[1] for h in heads}):
-        same = [i for i, h in enumerate(heads) if h[1] == steps]
-        for at in range(0, len(same), LANES):
-            own = same[at : at + LANES]
-            words = [np.frombuffer(blocks[i][HEAD.size :], "<u2") for i in own]
-            for i, row in zip(own, decode_lanes(words, steps, prior), strict=True):
-                if zlib.crc32(row.astype("<u4").tobytes()) != heads[i][2]:
-                    raise ValueError("checksum of a block does not hold")
-                out[i] = row
+    falling = sorted(range(len(blocks)), key=lambda i: -heads[i][1])
+    for at in range(0, len(blocks), LANES):
+        own = falling[at : at + LANES]
+        words = [np.frombuffer(blocks[i][HEAD.size :], "<u2") for i in own]
+        sizes = np.array([heads[i][1] for i in own])
+        for i, row, n in zip(own, decode_lanes(words, sizes, prior), sizes.tolist(), strict=True):
+            if zlib.crc32(row[:n].astype("<u4").tobytes()) != heads[i][2]:
+                raise ValueError("checksum of a block does not hold")
+            out[i] = row[:n]
     return np.concatenate([np.zeros(0, np.int32), *out])
 
 
@@ -360,8 +395,9 @@ class Encoder:
     The vocabulary drops white space and never joins across it, so a text's ids are those
     of its space-separated parts one after the other. Nor does it join marks to the letter
     or digit before them or tell capitals from small letters: a part's ids are those of its
-    core in small letters and of the marks behind it. Arrow cuts a batch into parts and
-    numbers the different ones; only those are looked up one by one.
+    core in small letters and of the marks behind it. Arrow cuts a batch into parts, the
+    different ones into halves and numbers them; only different halves are looked up one by
+    one. Beyond ``CACHE`` halves those that were met most often stay, half as many.
     """
 
     def __init__(self, path: str) -> None:
@@ -369,18 +405,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        #: Part -> its number, which leads to its run of ids.
+        #: Half of a part -> its number, which leads to its run of ids.
         self.known: dict[str, int] = {}
         self.ids, self.cuts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def forget(self) -> None:
+        stay = np.sort(np.argsort(-self.met, kind="stable")[: CACHE // 2])
+        names = list(self.known)
+        self.known = dict(zip(map(names.__getitem__, stay.tolist()), range(len(stay)), strict=True))
+        self.met = self.met[stay] // 2  # what was met long ago counts less
+        begin, size = self.cuts[stay], self.cuts[stay + 1] - self.cuts[stay]
+        self.cuts = np.append(0, np.cumsum(size))
+        self.ids = self.ids[runs(begin, size, self.cuts)]
 
     def learn(self, parts: list[str]) -> None:
         """Encodes new parts in one call, which costs more than a part."""
         starts = np.cumsum([len(p) + 1 for p in parts])
         found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        places = np.array([a for a, _ in found.offsets], np.int64)
+        places = np.fromiter(map(itemgetter(0), found.offsets), np.int64)
         cuts = np.searchsorted(places, starts) + len(self.ids)
         self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
         self.ids = np.concatenate([self.ids, np.array(found.ids, np.int32)])
@@ -390,21 +433,58 @@ class Encoder:
         """(where each text's ids begin, and the end; the ids of all texts)."""
         lists = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
         different = lists.flatten().dictionary_encode()
-        parts = different.dictionary.to_pylist()
-        halves = list(map(split, parts))
+        number = different.indices.to_numpy()
+        halves, pairs = halved(different.dictionary)
         if len(self.known) > CACHE:
             self.forget()
-        fresh = list({h for pair in halves for h in pair if h not in self.known})
+        fresh = list(dict.fromkeys(h for h in halves if h not in self.known))
         if fresh:
             self.learn(fresh)
-        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(halves)), np.int64)
-        number = numbers.reshape(-1, 2)[different.indices.to_numpy()].reshape(-1)
-        begin = self.cuts[number]
-        size = self.cuts[number + 1] - begin
+        pairs = np.fromiter(map(self.known.__getitem__, halves), np.int64, len(halves))[pairs]
+        times = np.bincount(number, minlength=len(pairs)).repeat(2)
+        met = np.bincount(pairs.reshape(-1), times, len(self.known)).astype(np.int64)
+        met[: len(self.met)] += self.met
+        self.met = met
+        # The ids of the different parts one after the other, then those of all.
+        begin = self.cuts[pairs]
+        size = self.cuts[pairs + 1] - begin
+        cuts = np.append(0, np.cumsum(size))
+        ids = self.ids[runs(begin.reshape(-1), size.reshape(-1), cuts)]
+        begin, size = cuts[:-1:2][number], size.sum(1)[number]
         upto = np.append(0, np.cumsum(size))
-        flat = self.ids[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], size)]
         offsets = lists.offsets.to_numpy()
-        return upto[2 * (offsets - offsets[0])], flat
+        return upto[offsets - offsets[0]], ids[runs(begin, size, upto)]
+
+
+def runs(begin: np.ndarray, size: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """The places of runs one after the other; ``upto`` is where each comes to lie."""
+    at = np.repeat(begin - upto[:-1], size)
+    at += np.arange(len(at))
+    return at
+
+
+def halved(parts: pa.StringArray) -> tuple[list[str], np.ndarray]:
+    """(halves, the two places in them of each part): ``split`` of all parts at once.
+
+    ASCII is cut by Arrow and numpy, other parts one by one.
+    """
+    plain = pc.and_(pc.string_is_ascii(parts), pc.invert(pc.match_substring(parts, "|>")))
+    lower = pc.ascii_lower(parts.filter(plain))
+    upto, data = byte_view(lower)
+    core = pc.binary_length(pc.ascii_rtrim(lower, MARKS)).to_numpy()
+    end = upto[:-1] + core
+    marked = core > 0
+    marked[marked] = ALNUM[data[end[marked] - 1]]
+    cuts = np.empty(2 * len(core) + 1, np.int32)
+    cuts[::2], cuts[1::2] = upto, np.where(marked, end, upto[1:])
+    both = pa.StringArray.from_buffers(2 * len(core), pa.py_buffer(cuts), pa.py_buffer(data))
+    both = both.dictionary_encode()
+    halves = both.dictionary.to_numpy(zero_copy_only=False).tolist()
+    pairs, plain = np.empty((len(parts), 2), np.int64), plain.to_numpy(zero_copy_only=False)
+    pairs[plain] = both.indices.to_numpy().reshape(-1, 2)
+    other = parts.filter(pa.array(~plain)).to_numpy(zero_copy_only=False)
+    pairs[~plain] = np.arange(len(halves), len(halves) + 2 * len(other)).reshape(-1, 2)
+    return halves + list(chain.from_iterable(map(split, other.tolist()))), pairs
 
 
 def split(part: str) -> tuple[str, str]:
@@ -417,6 +497,8 @@ def split(part: str) -> tuple[str, str]:
 
 #: A letter or digit, then other printable ASCII; an apostrophe may begin a unit of its own.
 MARKED = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+MARKS = string.punctuation.replace("'", "")
+ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
 
 
 @cache
@@ -461,14 +543,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
             for batch in slices(whole, 1, 1 << 21):
                 starts, flat = coder.encode(text_column(batch.column(1)))
                 ends = np.insert(flat, starts[1:], end_id)  # after each text's last id
+                if held and held + len(ends) > LANES * BLOCK:  # more would be another row of blocks
+                    yield row()
+                    before += held
+                    ids, names, sizes, held = [], [], [], 0
                 ids.append(ends)
                 names.append(batch.column(0))
                 sizes.append(np.diff(starts) + 1)
                 held += len(ends)
-                if held >= LANES * BLOCK:
-                    yield row()
-                    before += held
-                    ids, names, sizes, held = [], [], [], 0
         if ids:
             yield row()
 
