@@ -162,3 +162,51 @@ def test_parts_met_often_are_not_encoded_again(monkeypatch):
         assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in own]
         assert len(coder.known) == len(coder.cuts) - 1 == len(coder.met) < 40
     assert learnt.count("often") == learnt.count("here") == learnt.count(",") == 1
+
+
+def test_words_of_small_letters_go_straight_to_the_model():
+    rng = random.Random(9)
+    words = list(idcoder.LETTERS) + ["".join(rng.choices(idcoder.LETTERS, k=rng.randrange(2, 15))) for _ in range(3000)]
+    coder, plain = idcoder.Encoder(PATH), Tokenizer.from_file(PATH)
+    coder.learn([""])
+    coder.tokenizer = None
+    cuts, ids = coder.encode(pa.array(words))
+    for w, a, z in zip(words, cuts, cuts[1:], strict=False):
+        assert ids[a:z].tolist() == plain.encode(w, add_special_tokens=False).ids
+
+
+def test_a_run_of_many_blocks_is_one_pass(monkeypatch):
+    monkeypatch.setattr(idcoder, "BLOCK", 16)
+    ids = np.random.default_rng(5).zipf(1.3, 16 * 1149 + 5).astype(np.int64) % 50_000
+    prior, calls = idcoder.Prior.of(ids), []
+    for f in (idcoder.encode_lanes, idcoder.decode_lanes):
+        monkeypatch.setattr(idcoder, f.__name__, lambda *a, f=f: calls.append(f.__name__) or f(*a))
+    blocks = idcoder.encode(ids, prior)
+    assert len(blocks) == 1150 and (idcoder.decode(blocks, prior) == ids).all()
+    assert calls == ["encode_lanes", "decode_lanes"]
+
+
+def test_carries_reach_over_many_words():
+    rng, n, steps = np.random.default_rng(7), 300, 60
+    top = 1 << idcoder.PAIR
+    out, low, size = idcoder.Writer(n, 2 * steps + 4), [0] * n, [idcoder.HIGH] * n
+    for _ in range(steps):
+        wide = rng.choice([32, 1 << 12, top // 3, top - 64], n)
+        begin = np.where(rng.random(n) < 0.8, top - wide, rng.integers(0, top - wide + 1))
+        for i in range(n):
+            unit = size[i] >> idcoder.PAIR
+            low[i], size[i] = low[i] + unit * int(begin[i]), unit * int(wide[i])
+            while size[i] < idcoder.LOW:
+                low[i], size[i] = low[i] << idcoder.SENT, size[i] << idcoder.SENT
+        out.put(begin, wide)
+    assert out.range.tolist() == size
+    for got, want in zip(out.cut(0), low, strict=True):
+        words = [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)]
+        value = sum(w << 32 * (len(words) - 1 - i) for i, w in enumerate(words))
+        assert value >> idcoder.SENT - idcoder.KEPT == want
+
+
+def test_decoded_ids_stay_in_their_task(spark):
+    df = spark.createDataFrame([(i, f"word {i}") for i in range(9)], "doc_id long, text string")
+    plan = idcoder.id_file_digests(df, PATH)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
