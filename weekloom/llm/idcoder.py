@@ -60,7 +60,7 @@ TABLE = 1 << 17
 #: Classes of ids by length in bits; the other bits of an id are coded evenly.
 CLASSES = 29
 #: Parts of texts whose ids a task keeps, and that the tokenizer gets in one call.
-CACHE, AT_ONCE = 200_000, 500
+CACHE, AT_ONCE = 400_000, 500
 
 # Models ----------------------------------------------------------------------------
 
