@@ -190,8 +190,8 @@ SHIFTS = np.array([[3], [1]], np.int32)
 #: What the two halves of a distribution, "order 2 is right" and "order 2 or 1 is", get when
 #: order 2 is right, order 1 is, neither is. The second half gets more than the first each
 #: time, so every event keeps about 2^RATE.
-GOALS = (1 << UNIT - RATE) - 1
-GOALS = np.array([GOALS - 1 | GOALS << 16, GOALS << 16, 1 << 16])
+MOST = (1 << UNIT - RATE) - 1
+GOALS = np.array([MOST - 1 | MOST << 16, MOST << 16, 1 << 16])
 HALVES = ~((1 << RATE) - 1 << 16 - RATE)
 
 
